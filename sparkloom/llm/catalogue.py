@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sparkloom.llm import subwords
+from sparkloom.llm import packing, subwords
 from sparkloom.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,7 +25,15 @@ def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return subwords.digests(subwords.encode_decode(docs, vocabulary_path("piece_bpe_32k.model")))
 
 
-QUERIES: dict[str, tuple[Query, str | None]] = {"op8_sentencepiece": (op8_sentencepiece, None)}
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into windows of 4096 tokens that each hold the sources' proportions."""
+    return packing.pack(table(spark, sf_dir, "documents"), vocabulary_path("word_bpe_49k.json")).withColumnRenamed("queue", "source")
+
+
+QUERIES: dict[str, tuple[Query, str | None]] = {
+    "op8_sentencepiece": (op8_sentencepiece, None),
+    "op3_packing": (op3_packing, None),
+}
 
 
 def queries() -> dict[str, Query]:
