@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from sparkloom.llm import packing, subwords
+from sparkloom.llm import packing, quality, subwords
 from sparkloom.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,9 +31,17 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary_path("word_bpe_49k.json")).withColumnRenamed("queue", "source")
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quality score for every document, learned outside the held-out fold."""
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    return quality.score(docs, model).withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
 QUERIES: dict[str, tuple[Query, str | None]] = {
     "op8_sentencepiece": (op8_sentencepiece, None),
     "op3_packing": (op3_packing, None),
+    "op1_quality": (op1_quality, None),
 }
 
 
