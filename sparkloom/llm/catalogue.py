@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkloom.llm import packing, quality, subwords
+from sparkloom.llm import minhash, packing, quality, subwords
 from sparkloom.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,10 +38,37 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, model).withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
 
 
+def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups of all documents on runs of four words from a similarity of 0.8."""
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), size=4, percent=80)
+
+
+OP4_SQL = r"""
+WITH RECURSIVE worded AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingled AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN []::VARCHAR[] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: w[i] || ' ' || w[i+1] || ' ' || w[i+2] || ' ' || w[i+3])) END AS s
+  FROM worded),
+sized AS (SELECT doc_id, len(s) AS n FROM shingled),
+flat AS (SELECT doc_id, unnest(s) AS sh FROM shingled),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM flat a JOIN flat b ON a.sh = b.sh AND a.doc_id < b.doc_id GROUP BY 1, 2),
+linked AS (
+  SELECT a, b FROM common JOIN sized x ON x.doc_id = a JOIN sized y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)),
+edges AS (SELECT a, b FROM linked UNION SELECT b, a FROM linked),
+reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, e.b FROM reach r JOIN edges e ON r.other = e.a)
+SELECT r.doc_id, n AS n_shingles, min(other) AS component_id, r.doc_id = min(other) AS kept
+FROM reach r JOIN sized USING (doc_id) GROUP BY r.doc_id, n
+"""
+
+
 QUERIES: dict[str, tuple[Query, str | None]] = {
     "op8_sentencepiece": (op8_sentencepiece, None),
     "op3_packing": (op3_packing, None),
     "op1_quality": (op1_quality, None),
+    "op4_minhash": (op4_minhash, OP4_SQL),
 }
 
 
