@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkloom.llm import minhash, packing, quality, subwords
+from sparkloom.llm import minhash, packing, quality, repeats, subwords
 from sparkloom.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,11 +64,18 @@ FROM reach r JOIN sized USING (doc_id) GROUP BY r.doc_id, n
 """
 
 
+def op7_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the bytes of strings of 400 bytes that occur twice or more, as digests."""
+    cut = repeats.remove_repeats(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, tuple[Query, str | None]] = {
     "op8_sentencepiece": (op8_sentencepiece, None),
     "op3_packing": (op3_packing, None),
     "op1_quality": (op1_quality, None),
     "op4_minhash": (op4_minhash, OP4_SQL),
+    "op7_suffix_array": (op7_suffix_array, None),
 }
 
 
