@@ -125,51 +125,47 @@ def anchor_rows(texts: DataFrame, length: int, first: int) -> DataFrame:
 
 def block_rows(texts: DataFrame, length: int) -> DataFrame:
     """For the listed anchors of each text: blocks of neighbouring windows with the ranks of what they share."""
+    names = ["key", "single", "rank", "next_rank", "low", "high"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = Powers()
-        names = ["key", "single", "rank", "next_rank", "low", "leaves"]
         for batch in batches:
-            rows: list[list] = [[] for _ in names]
+            parts = []
             for key, text, found in zip(*(batch.column(i) for i in range(3)), strict=True):
                 prints = Fingerprints(text.as_py().encode(), powers)
                 for x in found.as_py():
                     place, low, high = x["place"], x["low"], x["high"]
                     begin = np.arange(place + (low - place) // BLOCK * BLOCK, high + 1, BLOCK)
-                    middle, from_, to = begin + (BLOCK + length) // 2, begin + BLOCK - 1, begin + length
-                    rank = mix(prints.of(from_, middle) + (begin - place).astype(np.uint64) * np.uint64(BASE))
-                    starts = np.arange(low, high + 1)
-                    leaves = prints.of(starts, starts + length)
-                    for b, r, q in zip(begin.tolist(), rank.view(np.int64).tolist(), prints.of(middle, to).view(np.int64).tolist(), strict=True):
-                        at = max(b, low)
-                        for column, value in zip(rows, (key.as_py(), x["n"] == 1, r, q, at, leaves[at - low : b + BLOCK - low].tobytes()), strict=True):
-                            column.append(value)
-                if len(rows[0]) > 20_000:
-                    yield _blocks(rows, names)
-                    rows = [[] for _ in names]
-            yield _blocks(rows, names)
-
-    return texts.mapInArrow(run, "key bigint, single boolean, rank bigint, next_rank bigint, low int, leaves binary")
+                    middle = begin + (BLOCK + length) // 2
+                    rank = mix(prints.of(begin + BLOCK - 1, middle) + (begin - place).astype(np.uint64) * np.uint64(BASE))
+                    n = len(begin)
+                    parts.append((np.full(n, key.as_py()), np.full(n, x["n"] == 1), rank, prints.of(middle, begin + length), np.maximum(begin, low), np.minimum(begin + BLOCK - 1, high)))
+            if parts:
+                key, single, rank, behind, low, high = (np.concatenate(x) for x in zip(*parts, strict=True))
+                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(single), signed(rank), signed(behind), pa.array(low, pa.int32()), pa.array(high, pa.int32())], names=names)
 
+    return texts.mapInArrow(run, "key bigint, single boolean, rank bigint, next_rank bigint, low int, high int")
 
-def _blocks(rows: list[list], names: list[str]) -> pa.RecordBatch:
-    kinds = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(rows, kinds, strict=True)], names=names)
 
+def leaf_rows(texts: DataFrame, length: int) -> DataFrame:
+    """The rank of all ``length`` bytes at each position of the listed blocks."""
 
-def leaf_rows(blocks: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        powers = Powers()
         for batch in batches:
-            leaves = [np.frombuffer(x.as_py(), np.int64) for x in batch.column(3)]
-            sizes = np.array([len(x) for x in leaves], np.int64)
-            if not sizes.sum():
-                continue
-            take = pa.array(np.repeat(np.arange(len(sizes)), sizes))
-            inside = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-            low = np.repeat(batch.column(2).to_numpy(), sizes) + inside
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(1).take(take), pa.array(low, pa.int32()), pa.array(np.concatenate(leaves))], names=["key", "single", "low", "leaf"])
+            for key, text, found in zip(*(batch.column(i) for i in range(3)), strict=True):
+                prints = Fingerprints(text.as_py().encode(), powers)
+                low, high, single = (np.array([x[c] for x in found.as_py()]) for c in ("low", "high", "single"))
+                sizes = high - low + 1
+                starts = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes) + np.repeat(low, sizes)
+                n = len(starts)
+                for at in range(0, n, 1 << 20):
+                    part = starts[at : at + (1 << 20)]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(part), key.as_py())), pa.array(np.repeat(single, sizes)[at : at + (1 << 20)]), pa.array(part, pa.int32()), signed(prints.of(part, part + length))], names=["key", "single", "low", "leaf"]
+                    )
 
-    return blocks.select("key", "single", "low", "leaves").mapInArrow(run, "key bigint, single boolean, low int, leaf bigint")
+    return texts.mapInArrow(run, "key bigint, single boolean, low int, leaf bigint")
 
 
 def repeated_spans(texts: DataFrame, length: int = LENGTH, first: int = FIRST) -> DataFrame:
@@ -184,13 +180,14 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, first: int = FIRST) -
     several = groups.groupBy("first").agg(F.count("*").alias("kinds")).where("kinds > 1").select("first")
     open_groups = groups.join(several, "first").select("n", "at.*")
     listed = materialize(open_groups.groupBy("key").agg(F.collect_list(F.struct("place", "low", "high", "n")).alias("anchors")), "listed")
-    blocks = block_rows(with_lists(texts, listed, "anchors", 20, "inner").select("key", "text", "anchors"), length)
-    blocks = materialize(blocks.dropDuplicates(["key", "low", "rank"]), "blocks")
-    pairs = blocks.groupBy("rank", "next_rank").agg(F.count("*").alias("n")).where("n > 1").select("rank", "next_rank")
-    leaves = leaf_rows(blocks.join(pairs, ["rank", "next_rank"]))
-    leaves = materialize(leaves, "leaves")
-    twice = leaves.groupBy("leaf").agg(F.count("*").alias("n")).where("n > 1").select("leaf")
-    last = leaves.where("single").join(twice, "leaf").select("key", F.struct(F.col("low").alias("low"), (F.col("low") + length).alias("high")).alias("span"))
+    blocks = materialize(block_rows(with_lists(texts, listed, "anchors", 20, "inner").select("key", "text", "anchors"), length), "blocks")
+    # equal texts under one key give equal rows, so places are compared instead of rows counted
+    place = F.struct("key", "low")
+    two = lambda df, *ranks: df.groupBy(*ranks).agg(F.min(place).alias("a"), F.max(place).alias("b")).where("a < b").select(*ranks)
+    shared = blocks.join(two(blocks, "rank", "next_rank"), ["rank", "next_rank"])
+    open_blocks = materialize(shared.groupBy("key").agg(F.collect_set(F.struct("low", "high", "single")).alias("blocks")), "open-blocks")
+    leaves = materialize(leaf_rows(with_lists(texts, open_blocks, "blocks", 16, "inner").select("key", "text", "blocks"), length), "leaves")
+    last = leaves.where("single").join(two(leaves, "leaf"), "leaf").select("key", F.struct(F.col("low").alias("low"), (F.col("low") + length).alias("high")).alias("span"))
     return settled.union(last).groupBy("key").agg(F.collect_set("span").alias("spans"))
 
 
