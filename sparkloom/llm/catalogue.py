@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkloom.llm import minhash, packing, quality, repeats, subwords
+from sparkloom.llm import minhash, packing, pii, quality, repeats, subwords
 from sparkloom.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,12 +70,18 @@ def op7_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of personal data in every document."""
+    return pii.digests(pii.find_spans(table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, tuple[Query, str | None]] = {
     "op8_sentencepiece": (op8_sentencepiece, None),
     "op3_packing": (op3_packing, None),
     "op1_quality": (op1_quality, None),
     "op4_minhash": (op4_minhash, OP4_SQL),
     "op7_suffix_array": (op7_suffix_array, None),
+    "op10_pii": (op10_pii, None),
 }
 
 
