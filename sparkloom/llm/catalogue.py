@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkloom.llm import minhash, packing, pii, quality, repeats, subwords
+from sparkloom.llm import ann, links, minhash, packing, pii, quality, repeats, subwords
 from sparkloom.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -75,6 +75,28 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digests(pii.find_spans(table(spark, sf_dir, "documents")))
 
 
+def op2_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 nearest vectors of each row whose vec_id is divisible by 100, by Euclidean distance."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return ann.search(vectors, vectors.where("vec_id % 100 = 0"))
+
+
+def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of vectors linked by a cosine of 0.9 or more."""
+    return links.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+OP9_SQL = """
+WITH RECURSIVE n AS (SELECT vec_id, embedding::DOUBLE[] AS v, sqrt(list_sum(list_transform(embedding::DOUBLE[], lambda x: x * x))) AS len FROM embeddings),
+linked AS (SELECT a.vec_id AS a, b.vec_id AS b FROM n a JOIN n b ON a.vec_id <> b.vec_id AND a.len > 0 AND b.len > 0
+           AND list_dot_product(a.v, b.v) / (a.len * b.len) >= 0.9),
+reach(vec_id, other) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT r.vec_id, l.b FROM reach r JOIN linked l ON r.other = l.a),
+low AS (SELECT vec_id, min(other) AS component_id FROM reach GROUP BY vec_id),
+many AS (SELECT a AS vec_id, count(*) AS c FROM linked GROUP BY a)
+SELECT low.vec_id, coalesce(c, 0) AS n_links, component_id, low.vec_id = component_id AS kept FROM low LEFT JOIN many USING (vec_id)
+"""
+
+
 QUERIES: dict[str, tuple[Query, str | None]] = {
     "op8_sentencepiece": (op8_sentencepiece, None),
     "op3_packing": (op3_packing, None),
@@ -82,6 +104,8 @@ QUERIES: dict[str, tuple[Query, str | None]] = {
     "op4_minhash": (op4_minhash, OP4_SQL),
     "op7_suffix_array": (op7_suffix_array, None),
     "op10_pii": (op10_pii, None),
+    "op2_ann": (op2_ann, None),
+    "op9_embedding_dedup": (op9_embedding_dedup, OP9_SQL),
 }
 
 
