@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkloom.llm import ann, links, minhash, packing, pii, quality, repeats, subwords
+from sparkloom.llm import ann, licences, links, minhash, packing, pages, pii, quality, repeats, subwords
 from sparkloom.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -97,6 +97,23 @@ SELECT low.vec_id, coalesce(c, 0) AS n_links, component_id, low.vec_id = compone
 """
 
 
+def op5_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence notices in every document."""
+    return licences.scan(table(spark, sf_dir, "documents"))
+
+
+def op6_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return pages.extract(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("bigint"))
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages of the corpus pipeline."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, tuple[Query, str | None]] = {
     "op8_sentencepiece": (op8_sentencepiece, None),
     "op3_packing": (op3_packing, None),
@@ -106,6 +123,9 @@ QUERIES: dict[str, tuple[Query, str | None]] = {
     "op10_pii": (op10_pii, None),
     "op2_ann": (op2_ann, None),
     "op9_embedding_dedup": (op9_embedding_dedup, OP9_SQL),
+    "op5_licences": (op5_licences, None),
+    "op6_html": (op6_html, None),
+    "pipeline": (pipeline, None),
 }
 
 

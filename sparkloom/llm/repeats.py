@@ -222,6 +222,42 @@ def remove_repeats(docs: DataFrame, text: str = "text", id_column: str = "doc_id
     return joined.select("own_id", "text", "spans").mapInArrow(cut, f"{id_column} {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary")
 
 
+def without_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH, first: int = FIRST) -> DataFrame:
+    """``docs`` with the repeats cut out of the texts and their ``n_chars`` set anew; rows that lose all go.
+
+    A cut inside a character of several bytes drops what is left of that character.
+    """
+    names, at = docs.columns, docs.columns.index(text)
+    # rows of equal text would share a key here, so the key also holds the row's place
+    keyed = docs.withColumn("__key", F.xxhash64(F.monotonically_increasing_id(), F.col(text)))
+    texts = keyed.where(F.octet_length(text) >= length).select(F.col("__key").alias("key"), F.col(text).alias("text"))
+    spans = materialize(repeated_spans(texts, length, first), "spans")
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept, alive = [], []
+            for value, found in zip(batch.column(at), batch.column(len(names)), strict=True):
+                runs = merged(found.as_py()) if found.is_valid else []
+                if runs:
+                    data, parts, place = value.as_py().encode(), [], 0
+                    for low, high in runs:
+                        parts.append(data[place:low])
+                        place = high
+                    parts.append(data[place:])
+                    left = b"".join(parts).decode("utf-8", "ignore")
+                    kept.append(left)
+                    alive.append(bool(left))
+                else:
+                    kept.append(value.as_py())
+                    alive.append(True)
+            columns = [pa.array(kept, batch.column(at).type) if i == at else batch.column(i) for i in range(len(names))]
+            yield pa.RecordBatch.from_arrays(columns, names=names).filter(pa.array(alive, pa.bool_()))
+
+    joined = with_lists(keyed.withColumnRenamed("__key", "key"), spans, "spans", 16, "left").select(*names, "spans")
+    out = joined.mapInArrow(cut, docs.schema)
+    return out.withColumn("n_chars", F.length(text).cast("bigint")).select(*names) if "n_chars" in names else out
+
+
 def merged(spans: list[dict]) -> list[tuple[int, int]]:
     """Sorted ranges without overlap; ranges that touch become one."""
     out: list[tuple[int, int]] = []
