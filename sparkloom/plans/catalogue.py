@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sparkloom.plans import medallion
+from sparkloom.plans import changes, lookups, medallion
 
 Query = Callable[[SparkSession, str], DataFrame]
-MODULES = (medallion,)
+MODULES = (medallion, changes, lookups)
 
 
 def queries() -> dict[str, Query]:
