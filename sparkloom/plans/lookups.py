@@ -272,11 +272,11 @@ def gold_market_monthly(spark, sf_dir):
     o, c, n = (table(spark, sf_dir, t) for t in ("orders", "customer", "nation"))
     joined = o.join(c, o.o_custkey == c.c_custkey).join(n, c.c_nationkey == n.n_nationkey)
     return joined.groupBy(F.date_format("o_orderdate", "yyyy-MM").alias("month"), "n_name").agg(
-        F.count("*").alias("n"), F.round(F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double") / F.count("*"), 2).alias("mean"), F.floor(F.median("o_totalprice")).alias("median")
+        F.count("*").alias("n"), F.floor(F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double") / F.count("*")).alias("mean"), F.floor(F.median("o_totalprice")).alias("median")
     )
 
 
-GOLD = """SELECT strftime(o_orderdate, '%Y-%m') AS month, n_name, count(*) AS n, round(CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / count(*), 2) AS mean, CAST(floor(median(o_totalprice)) AS BIGINT) AS median
+GOLD = """SELECT strftime(o_orderdate, '%Y-%m') AS month, n_name, count(*) AS n, CAST(floor(CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / count(*)) AS BIGINT) AS mean, CAST(floor(median(o_totalprice)) AS BIGINT) AS median
 FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY 1, 2"""
 
 QUERIES = {
