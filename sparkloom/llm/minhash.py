@@ -237,15 +237,17 @@ def near_duplicates(docs: DataFrame, text: str = "text", id_column: str = "doc_i
         .withColumn("df", F.coalesce("df", F.lit(1)))
         .withColumn("place", F.row_number().over(order))
         .where((F.col("place") <= F.col("n") - F.ceil(F.col("n") * percent / 100) + 1) & (F.col("df") > 1))
-        .select("element", "rep", "component", "n")
+        .select("element", "rep", "component", "n", "place")
     )
     meeting = prefix.groupBy("element").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("element")
     prefix = materialize(prefix.join(meeting, "element"), "prefix")
-    partner = prefix.select("element", F.col("rep").alias("b"), F.col("component").alias("component_b"), F.col("n").alias("n_b"))
+    partner = prefix.select("element", F.col("rep").alias("b"), F.col("component").alias("component_b"), F.col("n").alias("n_b"), F.col("place").alias("place_b"))
+    # at the first shingle that two sets share, in the order of rarity, what is left of either still reaches the overlap
+    left_over = 1 + F.least(F.col("n") - F.col("place"), F.col("n_b") - F.col("place_b"))
     rare = (
         prefix.withColumnRenamed("rep", "a")
         .join(partner, "element")
-        .where((F.col("a") < F.col("b")) & (F.col("component") != F.col("component_b")) & (100 * F.least("n", "n_b") >= percent * F.greatest("n", "n_b")))
+        .where((F.col("a") < F.col("b")) & (F.col("component") != F.col("component_b")) & ((100 + percent) * left_over >= percent * (F.col("n") + F.col("n_b"))))
         .select("a", "b")
         .distinct()
     )
