@@ -88,7 +88,7 @@ def sunday_first(ts: Column) -> Column:
 
 def keywords(x: Column) -> Column:
     """Trimmed parts between commas and semicolons, in order, each once."""
-    return F.array_distinct(F.filter(F.transform(F.split(x, "[,;]"), F.trim), lambda p: p != ""))
+    return F.array_distinct(F.filter(F.transform(F.split(x, "[,;]"), lambda p: F.trim(p)), lambda p: p != ""))
 
 
 def flags(**columns: Column) -> Column:

@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sparkloom.plans import changes, lookups, medallion
+from sparkloom.plans import changes, lookups, medallion, texts
 
 Query = Callable[[SparkSession, str], DataFrame]
-MODULES = (medallion, changes, lookups)
+MODULES = (medallion, changes, lookups, texts)
 
 
 def queries() -> dict[str, Query]:
