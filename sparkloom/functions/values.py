@@ -76,7 +76,7 @@ def full_year(yy: Column, pivot: int, inclusive: bool = True) -> Column:
 def french_date(x: Column) -> Column:
     """'3 février 2024' and abbreviations."""
     low = F.lower(x)
-    month = F.coalesce(*[F.when(low.rlike(rf"\d\s+{m}"), F.lit(i + 1)) for i, m in enumerate(FRENCH_MONTHS)])
+    month = F.coalesce(*[F.when(low.rlike(rf"\d(?:er)?\s+{m}"), F.lit(i + 1)) for i, m in enumerate(FRENCH_MONTHS)])
     day, year = (F.nullif(F.regexp_extract(low, p, 1), F.lit("")).try_cast("int") for p in (r"(\d{1,2})(?:er)?\s", r"(\d{4})"))
     return F.when(month.isNotNull() & day.isNotNull() & year.isNotNull(), F.try_to_date(F.format_string("%04d-%02d-%02d", year, month, day)))
 
