@@ -267,9 +267,9 @@ def digests(found: DataFrame, id_column: str = "doc_id") -> DataFrame:
 def redact(docs: DataFrame, text: str = "text", id_column: str = "doc_id", model: tuple | None = None) -> DataFrame:
     """``docs`` with each span replaced by ``[KIND]``; overlapping spans become one of the first's kind. Other columns stay."""
     keyed = docs.withColumn("__row", F.monotonically_increasing_id())
-    found = find_spans(docs, text, id_column, model).select(F.col("row_id").alias("__row"), "spans")
+    found = find_spans(docs, text, id_column, model).select(F.col("row_id").alias("__row"), F.col("spans").alias("__spans"))
     merged = F.aggregate(
-        "spans",
+        "__spans",
         F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out")),
         lambda a, s: F.struct(
             F.greatest(a["at"], s["end"]).alias("at"),
@@ -278,6 +278,6 @@ def redact(docs: DataFrame, text: str = "text", id_column: str = "doc_id", model
             .alias("out"),
         ),
     )
-    joined = keyed.join(found, "__row", "left").withColumn("__m", F.when(F.size("spans") > 0, merged))
+    joined = keyed.join(found, "__row", "left").withColumn("__m", F.when(F.size("__spans") > 0, merged))
     clean = F.when(F.col("__m").isNull(), F.col(text)).otherwise(F.concat("__m.out", F.substr(F.col(text), (F.col("__m.at") + 1).cast("int"))))
     return joined.withColumn(text, clean).select(*docs.columns)

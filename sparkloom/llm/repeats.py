@@ -191,11 +191,11 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, first: int = FIRST) -
     return settled.union(last).groupBy("key").agg(F.collect_set("span").alias("spans"))
 
 
-def with_lists(texts: DataFrame, lists: DataFrame, column: str, item_bytes: int, how: str) -> DataFrame:
+def with_lists(texts: DataFrame, lists: DataFrame, column: str, item_bytes: int, how: str, key: str = "key") -> DataFrame:
     """Join of texts with a list for each key; the lists are broadcast only if their summed size allows it."""
     size = lists.agg(F.sum(F.size(column)), F.count("*")).first()
     small = (size[0] or 0) * item_bytes + size[1] * 40 <= BROADCAST_BYTES
-    return texts.join(F.broadcast(lists) if small else lists, "key", how)
+    return texts.join(F.broadcast(lists) if small else lists, key, how)
 
 
 def remove_repeats(docs: DataFrame, text: str = "text", id_column: str = "doc_id", length: int = LENGTH, first: int = FIRST) -> DataFrame:
@@ -253,7 +253,7 @@ def without_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH, f
             columns = [pa.array(kept, batch.column(at).type) if i == at else batch.column(i) for i in range(len(names))]
             yield pa.RecordBatch.from_arrays(columns, names=names).filter(pa.array(alive, pa.bool_()))
 
-    joined = with_lists(keyed.withColumnRenamed("__key", "key"), spans, "spans", 16, "left").select(*names, "spans")
+    joined = with_lists(keyed, spans.toDF("__key", "__spans"), "__spans", 16, "left", "__key").select(*names, "__spans")
     out = joined.mapInArrow(cut, docs.schema)
     return out.withColumn("n_chars", F.length(text).cast("bigint")).select(*names) if "n_chars" in names else out
 
