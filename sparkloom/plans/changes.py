@@ -143,10 +143,10 @@ SELECT event_type, count(*) AS missing_hours FROM g ANTI JOIN e USING (event_typ
 
 def stale_marking(spark, sf_dir):
     """Users not seen for three days before the newest event are offline."""
-    users = table(spark, sf_dir, "events").groupBy("user_id").agg(F.max("ts").alias("seen"))
-    newest = users.agg(F.max("seen").alias("now"))
-    joined = users.crossJoin(F.broadcast(newest))  # one row
-    return joined.select("user_id", F.when(F.col("seen") < F.col("now") - F.expr("INTERVAL 3 DAYS"), "offline").otherwise("online").alias("state"))
+    events = table(spark, sf_dir, "events")
+    now = F.lit(events.agg(F.max("ts")).first()[0])  # one value
+    users = events.groupBy("user_id").agg(F.max("ts").alias("seen"))
+    return users.select("user_id", F.when(F.col("seen") < now - F.expr("INTERVAL 3 DAYS"), "offline").otherwise("online").alias("state"))
 
 
 STALE = """SELECT user_id, CASE WHEN max(ts) < (SELECT max(ts) FROM events) - INTERVAL 3 DAYS THEN 'offline' ELSE 'online' END AS state FROM events GROUP BY 1"""
