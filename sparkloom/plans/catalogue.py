@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sparkloom.plans import changes, lookups, medallion, texts
+from sparkloom.plans import changes, extras, lookups, medallion, texts
 
 Query = Callable[[SparkSession, str], DataFrame]
-MODULES = (medallion, changes, lookups, texts)
+MODULES = (medallion, changes, lookups, texts, extras)
 
 
 def queries() -> dict[str, Query]:
