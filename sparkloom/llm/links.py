@@ -3,9 +3,9 @@
 Rows are dealt by hash into shards of bounded size; each shard's vectors form a hierarchical graph (layers
 halving by a fixed factor, links chosen by nearness). Every block of vectors queries every shard: a greedy
 descent through the layers, then a beam at the bottom, all queries of a block in
-lockstep. A beam that is full of links is doubled for that query until it reaches past
-the threshold, and a task audits a sample of its queries against the whole
-shard, widening all beams until the audit finds every link. Cosines are in double precision; the graph only proposes.
+lockstep, and from the links that it finds on over neighbours near the threshold, so that large
+groups need no wide beam. A task audits a sample of its queries against the whole
+shard, widening beams until the audit finds every link. Cosines are in double precision; the graph only proposes.
 
 A task returns, per query, how many links it found and one link into each of the shard's own
 linked groups, so large groups give no square of rows. Equal vectors are one node that counts
@@ -91,6 +91,31 @@ class Graph:
         return np.empty((len(queries), 0), np.int64), np.empty((len(queries), 0))
 
 
+    def reach(self, queries: np.ndarray, seeds: list[np.ndarray], least: float, slack: float) -> list[np.ndarray]:
+        """All nodes within the threshold that links lead to from each query's seeds, over nodes within it less ``slack``."""
+        nodes, table = self.layers[-1]
+        n, x = len(nodes), self.x[nodes]
+        place = np.empty(n, np.int64)
+        place[nodes] = np.arange(n)
+        out = []
+        for at in range(0, len(queries), 64):
+            part, own = queries[at : at + 64], seeds[at : at + 64]
+            seen, near = np.zeros(len(part) * n, bool), np.zeros(len(part) * n, bool)
+            front = np.concatenate([i * n + place[s] for i, s in enumerate(own)])
+            seen[front] = near[front] = True
+            while len(front):
+                ahead = table[front % n]
+                key = (front // n * n)[:, None] + ahead
+                key = np.unique(key[ahead >= 0])
+                key = key[~seen[key]]
+                seen[key] = True
+                score = np.einsum("kd,kd->k", part[key // n], x[key % n])
+                near[key[score >= least]] = True
+                front = key[score >= least - slack]
+            out += [nodes[np.flatnonzero(row)] for row in near.reshape(len(part), n)]
+        return out
+
+
 def beam(x: np.ndarray, table: np.ndarray, queries: np.ndarray, entry: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     """Best-first search of all queries in lockstep: each step opens every query's best unopened nodes."""
     m = len(queries)
@@ -125,30 +150,27 @@ def beam(x: np.ndarray, table: np.ndarray, queries: np.ndarray, entry: np.ndarra
 
 
 def linked(graph: Graph, queries: np.ndarray, least: float, seed: int = 1) -> list[np.ndarray]:
-    """Nodes with a cosine of at least ``least`` for each query; beams widen until audits find all of them."""
-    n, width = len(graph.x), BEAM
+    """Nodes with a cosine of at least ``least`` for each query.
+
+    A beam finds the first of them; from these the search goes on over neighbours within the threshold, less a
+    slack. Beam and slack widen until the audited queries have all their links.
+    """
+    n, width, slack = len(graph.x), BEAM, 0.05
     audit = np.random.default_rng(seed).choice(len(queries), min(AUDIT, len(queries)), replace=False)
     truth = [np.flatnonzero(graph.x @ q >= least) for q in queries[audit]]
     while True:
         out: list[np.ndarray] = [np.empty(0, np.int64)] * len(queries)
-        todo, beam_width = np.arange(len(queries)), width
-        while len(todo):
-            beam_width = min(beam_width, n)
-            rest = []
-            step = max(16, 400_000 // (beam_width + 64))
-            for at in range(0, len(todo), step):
-                own = todo[at : at + step]
-                ids, score = graph.search(queries[own], beam_width)
-                near = (score >= least) & (ids >= 0)
-                for q, row, fits in zip(own, ids, near, strict=True):
-                    out[q] = row[fits]
-                if beam_width < n:
-                    rest.append(own[near[:, -1]])  # the beam ended inside the threshold
-            todo = np.concatenate(rest) if rest else np.empty(0, np.int64)
-            beam_width *= 4
+        step = max(16, 400_000 // (width + 64))
+        for at in range(0, len(queries), step):
+            own = np.arange(at, min(at + step, len(queries)))
+            ids, score = graph.search(queries[own], min(width, n))
+            near = (score >= least) & (ids >= 0)
+            some = np.flatnonzero(near.any(1))
+            for q, row in zip(own[some], graph.reach(queries[own[some]], [ids[i][near[i]] for i in some], least, slack), strict=True):
+                out[q] = row
         if width >= n or all(len(np.intersect1d(out[q], t)) == len(t) for q, t in zip(audit, truth, strict=True)):
             return out
-        width *= 4
+        width, slack = width * 4, slack * 2
 
 
 def groups_of(pairs: list[np.ndarray]) -> np.ndarray:
