@@ -97,6 +97,11 @@ class Graph:
         n, x = len(nodes), self.x[nodes]
         place = np.empty(n, np.int64)
         place[nodes] = np.arange(n)
+        # links count both ways, so that no node lacks a way in
+        here, there = np.nonzero(table >= 0)[0], table[table >= 0]
+        start, stop = np.concatenate([here, there]), np.concatenate([there, here])
+        stop = stop[np.argsort(start, kind="stable")]
+        begin = np.concatenate([[0], np.cumsum(np.bincount(start, minlength=n))])
         out = []
         for at in range(0, len(queries), 64):
             part, own = queries[at : at + 64], seeds[at : at + 64]
@@ -104,9 +109,10 @@ class Graph:
             front = np.concatenate([i * n + place[s] for i, s in enumerate(own)])
             seen[front] = near[front] = True
             while len(front):
-                ahead = table[front % n]
-                key = (front // n * n)[:, None] + ahead
-                key = np.unique(key[ahead >= 0])
+                at_node = front % n
+                many = begin[at_node + 1] - begin[at_node]
+                ahead = np.repeat(begin[at_node] - (np.cumsum(many) - many), many) + np.arange(many.sum())
+                key = np.unique(np.repeat(front - at_node, many) + stop[ahead])
                 key = key[~seen[key]]
                 seen[key] = True
                 score = np.einsum("kd,kd->k", part[key // n], x[key % n])
