@@ -18,6 +18,8 @@ from sparkloom.session import table
 
 #: Documents that score less are rejected.
 LEAST_QUALITY = 0.3
+#: Strings of so many words that start at two or more places are repeats: passages of over 50 words.
+REPEATED_WORDS = 51
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,8 +37,8 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def repeat_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Removes repeated passages from the texts; a document without any byte left goes."""
-    return repeats.without_repeats(docs)
+    """Removes passages of over 50 words that repeat; a document without any word left goes."""
+    return repeats.without_repeats(docs, length=REPEATED_WORDS, first=17, block=8, unit=repeats.Words)
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,7 +59,7 @@ STAGES = [
     ("packing", packing_stage),
 ]
 
-#: SQL cannot express the trained stages; tests hold each stage against a brute-force version.
+#: SQL cannot express the trained stages; tests hold the operators, and the repeats stage as it runs here, against brute force.
 ORACLE_SQL = None
 
 

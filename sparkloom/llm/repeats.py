@@ -15,6 +15,9 @@ a Spark sort of ranks that keeps only what isn't unique yet:
 
 Ranks are 64-bit fingerprints; grouping equal ones is the sort. A group's rows are counted, never gathered.
 
+The same runs over words instead of bytes (``Words``): then a string of so many words is the unit, whatever its
+bytes, and white space between words doesn't count.
+
 Null texts count as empty; texts under ``LENGTH`` bytes are kept whole. Repeated rows are places like any
 others, so all copies lose their repeats. Extra columns are not read; an empty table gives no rows.
 """
@@ -22,6 +25,7 @@ others, so all copies lose their repeats. Extra columns are not read; an empty t
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -55,15 +59,49 @@ class Powers:
             self.up, self.down = np.cumprod(factors, axis=1)
 
 
+class Bytes:
+    """Bytes as units: a value for each."""
+
+    def values(self, text: str) -> np.ndarray:
+        return BYTE_VALUES[np.frombuffer(text.encode(), np.uint8)]
+
+
+class Words:
+    """Words as units: what stands between white space; in scripts without spaces, each character."""
+
+    MOST = 1_000_000
+    # Thai to Tibetan, Burmese, Khmer, then kana, Han and their forms of full width
+    SPACELESS = "\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff"
+    ANY = re.compile(f"[{SPACELESS}]")
+    WORD = re.compile(rf"[{SPACELESS}]|[^\s{SPACELESS}]+")
+
+    def __init__(self):
+        self.known: dict[str, int] = {}
+
+    def values(self, text: str) -> np.ndarray:
+        words = text.split() if text.isascii() or not self.ANY.search(text) else self.WORD.findall(text)
+        known = self.known
+        for w in set(words).difference(known):
+            known[w] = int.from_bytes(hashlib.blake2b(w.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
+        out = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+        if len(known) > self.MOST:
+            known.clear()
+        return out
+
+    def places(self, text: str) -> list[int]:
+        """Where each word starts, and the end of the text."""
+        return [m.start() for m in self.WORD.finditer(text)] + [len(text)]
+
+
 class Fingerprints:
-    """Fingerprints of any stretch of one text, from one pass over its bytes."""
+    """Fingerprints of any stretch of one text, from one pass over the values of its units."""
 
-    def __init__(self, data: bytes, powers: Powers):
-        n = len(data)
+    def __init__(self, values: np.ndarray, powers: Powers):
+        n = len(values)
         powers.reach(n + 1)
         self.down = powers.down
         self.sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(BYTE_VALUES[np.frombuffer(data, np.uint8)] * powers.up[:n], out=self.sums[1:])
+        np.cumsum(values * powers.up[:n], out=self.sums[1:])
 
     def of(self, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
         return mix((self.sums[stop] - self.sums[start]) * self.down[start])
@@ -102,13 +140,13 @@ def signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64), pa.int64())
 
 
-def anchor_rows(texts: DataFrame, length: int, first: int) -> DataFrame:
+def anchor_rows(texts: DataFrame, length: int, first: int, unit: type = Bytes) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers = Powers()
+        powers, units = Powers(), unit()
         for batch in batches:
             parts = []
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                data = (text.as_py() or "").encode()
+                data = units.values(text.as_py() or "")
                 if len(data) < length:
                     continue
                 prints = Fingerprints(data, powers)
@@ -123,23 +161,23 @@ def anchor_rows(texts: DataFrame, length: int, first: int) -> DataFrame:
     return texts.mapInArrow(run, "key bigint, first bigint, whole bigint, place int, low int, high int")
 
 
-def block_rows(texts: DataFrame, length: int) -> DataFrame:
+def block_rows(texts: DataFrame, length: int, size: int = BLOCK, unit: type = Bytes) -> DataFrame:
     """For the listed anchors of each text: blocks of neighbouring windows with the ranks of what they share."""
     names = ["key", "single", "rank", "next_rank", "low", "high"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers = Powers()
+        powers, units = Powers(), unit()
         for batch in batches:
             parts = []
             for key, text, found in zip(*(batch.column(i) for i in range(3)), strict=True):
-                prints = Fingerprints(text.as_py().encode(), powers)
+                prints = Fingerprints(units.values(text.as_py()), powers)
                 for x in found.as_py():
                     place, low, high = x["place"], x["low"], x["high"]
-                    begin = np.arange(place + (low - place) // BLOCK * BLOCK, high + 1, BLOCK)
-                    middle = begin + (BLOCK + length) // 2
-                    rank = mix(prints.of(begin + BLOCK - 1, middle) + (begin - place).astype(np.uint64) * np.uint64(BASE))
+                    begin = np.arange(place + (low - place) // size * size, high + 1, size)
+                    middle = begin + (size + length) // 2
+                    rank = mix(prints.of(begin + size - 1, middle) + (begin - place).astype(np.uint64) * np.uint64(BASE))
                     n = len(begin)
-                    parts.append((np.full(n, key.as_py()), np.full(n, x["n"] == 1), rank, prints.of(middle, begin + length), np.maximum(begin, low), np.minimum(begin + BLOCK - 1, high)))
+                    parts.append((np.full(n, key.as_py()), np.full(n, x["n"] == 1), rank, prints.of(middle, begin + length), np.maximum(begin, low), np.minimum(begin + size - 1, high)))
             if parts:
                 key, single, rank, behind, low, high = (np.concatenate(x) for x in zip(*parts, strict=True))
                 yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(single), signed(rank), signed(behind), pa.array(low, pa.int32()), pa.array(high, pa.int32())], names=names)
@@ -147,14 +185,14 @@ def block_rows(texts: DataFrame, length: int) -> DataFrame:
     return texts.mapInArrow(run, "key bigint, single boolean, rank bigint, next_rank bigint, low int, high int")
 
 
-def leaf_rows(texts: DataFrame, length: int) -> DataFrame:
-    """The rank of all ``length`` bytes at each position of the listed blocks."""
+def leaf_rows(texts: DataFrame, length: int, unit: type = Bytes) -> DataFrame:
+    """The rank of all ``length`` units at each position of the listed blocks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers = Powers()
+        powers, units = Powers(), unit()
         for batch in batches:
             for key, text, found in zip(*(batch.column(i) for i in range(3)), strict=True):
-                prints = Fingerprints(text.as_py().encode(), powers)
+                prints = Fingerprints(units.values(text.as_py()), powers)
                 low, high, single = (np.array([x[c] for x in found.as_py()]) for c in ("low", "high", "single"))
                 sizes = high - low + 1
                 starts = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes) + np.repeat(low, sizes)
@@ -168,9 +206,9 @@ def leaf_rows(texts: DataFrame, length: int) -> DataFrame:
     return texts.mapInArrow(run, "key bigint, single boolean, low int, leaf bigint")
 
 
-def repeated_spans(texts: DataFrame, length: int = LENGTH, first: int = FIRST) -> DataFrame:
-    """``(key, spans)``: for each text key with repeats, overlapping byte ranges that cover all of them."""
-    found = materialize(anchor_rows(texts, length, first), "anchors")
+def repeated_spans(texts: DataFrame, length: int = LENGTH, first: int = FIRST, block: int = BLOCK, unit: type = Bytes) -> DataFrame:
+    """``(key, spans)``: for each text key with repeats, overlapping ranges of units that cover all of them."""
+    found = materialize(anchor_rows(texts, length, first, unit), "anchors")
     again = found.groupBy("first").agg(F.count("*").alias("n")).where("n > 1").select("first")
     rows = found.join(again, "first")
     at = F.struct("key", "place", "low", "high")
@@ -180,13 +218,13 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, first: int = FIRST) -
     several = groups.groupBy("first").agg(F.count("*").alias("kinds")).where("kinds > 1").select("first")
     open_groups = groups.join(several, "first").select("n", "at.*")
     listed = materialize(open_groups.groupBy("key").agg(F.collect_list(F.struct("place", "low", "high", "n")).alias("anchors")), "listed")
-    blocks = materialize(block_rows(with_lists(texts, listed, "anchors", 20, "inner").select("key", "text", "anchors"), length), "blocks")
+    blocks = materialize(block_rows(with_lists(texts, listed, "anchors", 20, "inner").select("key", "text", "anchors"), length, block, unit), "blocks")
     # equal texts under one key give equal rows, so places are compared instead of rows counted
     place = F.struct("key", "low")
     two = lambda df, *ranks: df.groupBy(*ranks).agg(F.min(place).alias("a"), F.max(place).alias("b")).where("a < b").select(*ranks)
     shared = blocks.join(two(blocks, "rank", "next_rank"), ["rank", "next_rank"])
     open_blocks = materialize(shared.groupBy("key").agg(F.collect_set(F.struct("low", "high", "single")).alias("blocks")), "open-blocks")
-    leaves = materialize(leaf_rows(with_lists(texts, open_blocks, "blocks", 16, "inner").select("key", "text", "blocks"), length), "leaves")
+    leaves = materialize(leaf_rows(with_lists(texts, open_blocks, "blocks", 16, "inner").select("key", "text", "blocks"), length, unit), "leaves")
     last = leaves.where("single").join(two(leaves, "leaf"), "leaf").select("key", F.struct(F.col("low").alias("low"), (F.col("low") + length).alias("high")).alias("span"))
     return settled.union(last).groupBy("key").agg(F.collect_set("span").alias("spans"))
 
@@ -222,23 +260,34 @@ def remove_repeats(docs: DataFrame, text: str = "text", id_column: str = "doc_id
     return joined.select("own_id", "text", "spans").mapInArrow(cut, f"{id_column} {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary")
 
 
-def without_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH, first: int = FIRST) -> DataFrame:
+def without_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH, first: int = FIRST, block: int = BLOCK, unit: type = Bytes) -> DataFrame:
     """``docs`` with the repeats cut out of the texts and their ``n_chars`` set anew; rows that lose all go.
 
-    A cut inside a character of several bytes drops what is left of that character.
+    A cut inside a character of several bytes drops what is left of that character. Words go with the
+    white space behind them.
     """
     names, at = docs.columns, docs.columns.index(text)
     # rows of equal text would share a key here, so the key also holds the row's place
     keyed = docs.withColumn("__key", F.xxhash64(F.monotonically_increasing_id(), F.col(text)))
     texts = keyed.where(F.octet_length(text) >= length).select(F.col("__key").alias("key"), F.col(text).alias("text"))
-    spans = materialize(repeated_spans(texts, length, first), "spans")
+    spans = materialize(repeated_spans(texts, length, first, block, unit), "spans")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = Words() if unit is Words else None
         for batch in batches:
             kept, alive = [], []
             for value, found in zip(batch.column(at), batch.column(len(names)), strict=True):
                 runs = merged(found.as_py()) if found.is_valid else []
-                if runs:
+                if runs and words:
+                    whole, parts, place = value.as_py(), [], 0
+                    at_word = words.places(whole)
+                    for low, high in runs:
+                        parts.append(whole[place : at_word[low]])
+                        place = at_word[high]
+                    left = "".join([*parts, whole[place:]])
+                    kept.append(left)
+                    alive.append(bool(left.strip()))
+                elif runs:
                     data, parts, place = value.as_py().encode(), [], 0
                     for low, high in runs:
                         parts.append(data[place:low])
@@ -283,3 +332,17 @@ def removed_by_brute_force(texts: list[str | None], length: int = LENGTH) -> lis
         kept = bytes(b for i, b in enumerate(d) if i not in gone)
         out.append((len(d), len(gone), len(runs), hashlib.sha256(kept).hexdigest()))
     return out
+
+
+def words_left_by_brute_force(texts: list[str], length: int) -> list[list[str]]:
+    """Words outside all strings of ``length`` words that start at two or more places, for small tests."""
+    counts: dict[tuple[str, ...], int] = {}
+    data = [Words.WORD.findall(t) for t in texts]
+    for d in data:
+        for i in range(len(d) - length + 1):
+            counts[tuple(d[i : i + length])] = counts.get(tuple(d[i : i + length]), 0) + 1
+    out = []
+    for d in data:
+        gone = {j for i in range(len(d) - length + 1) if counts[tuple(d[i : i + length])] > 1 for j in range(i, i + length)}
+        out.append([w for j, w in enumerate(d) if j not in gone])
+    return out

@@ -140,6 +140,28 @@ def test_repeats_against_brute_force(spark):
     assert repeats.remove_repeats(docs.limit(0)).count() == 0
 
 
+def test_repeat_stage_takes_passages_of_51_words(spark):
+    import corpus_pipeline
+
+    rng = np.random.default_rng(5)
+    some = lambda n: [str(w) for w in rng.choice([f"{a}{b}" for a in "abcdefghij" for b in ["", "e", "éla", "irt", "ontou"]], n)]
+    texts = []
+    for n in (50, 51, 52, 55, 60):  # too short, then passages of 150 to 250 bytes, with other white space in the copy
+        passage = some(n)
+        texts += [" ".join(some(40) + passage + some(30)), " ".join(some(7)) + "\n" + "\n".join(passage) + " " + " ".join(some(90))]
+    short = some(51)
+    han = "".join(chr(c) for c in rng.choice(np.arange(0x4E00, 0x5E00), 60))
+    texts += [" ".join(short), " ".join(short), "前" + han + "后", "x y " + han[3:], " ".join(some(300)), "", "one two"]
+    docs = spark.createDataFrame([(i, t, "l", "s", len(t)) for i, t in enumerate(texts)], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    got = {r.doc_id: r for r in corpus_pipeline.repeat_stage(spark, docs, "").collect()}
+    left = repeats.words_left_by_brute_force(texts, 51)
+    assert sum(len(x) for x in left) < sum(len(repeats.Words.WORD.findall(t)) for t in texts) - 2 * (51 + 52 + 55 + 60)
+    for i, words in enumerate(left):
+        assert (i in got) == (bool(words) or not texts[i])
+        if i in got:
+            assert repeats.Words.WORD.findall(got[i].text) == words and got[i].n_chars == len(got[i].text)
+
+
 PLAIN = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
 
 
