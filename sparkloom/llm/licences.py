@@ -1,28 +1,48 @@
 """Licence notices by Dice coefficient of word bigrams against templates (op 5).
 
-The units of a text are its lines and its paragraphs (lines up to an empty one). A unit is compared with
-the templates whose sizes can still reach the threshold: with a and b bigrams the coefficient is at most
-2 * min(a, b) / (a + b). Templates are a parameter: pairs of a name and a normalised notice.
+Windows of words slide over the whole text, across lines, so a notice counts inside a longer line, wrapped over
+several, or as the full text of a licence. With a and b bigrams the coefficient is at most 2 * min(a, b) / (a + b),
+which bounds a template's windows, and the bigrams that they must hit: texts without so many hits close enough
+together are passed over, and no other window can reach the threshold. Windows start and end on a hit, as
+trimming anything else only raises the coefficient.
+
+Of windows that overlap, the one with most hits less misses is the notice (a full text before a sentence in it,
+ties by coefficient); the others are sought again in the words that are left. Templates are a parameter: pairs of a name
+and a text; by default, one-sentence notices and the full texts in ``licence_texts``.
 
 Null and empty texts have no notices; ties go to the template listed first; repeated rows are scanned each for itself.
 """
 
 from __future__ import annotations
 
+import heapq
+import math
 import re
+from bisect import bisect_right, insort
 from collections import Counter
 from collections.abc import Iterator
+from importlib import resources
+from itertools import repeat
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 LEAST = 0.8
 
 # Public notices as their licences word them.
-TEMPLATES = (
+NOTICES = (
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
+    # neighbours of these, which would pass for them but for their own templates
+    ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
+    ("AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3."),
+    ("LGPL-3.0", "This work is licensed under the GNU Lesser General Public License, version 3."),
+    ("LGPL-2.1", "This work is licensed under the GNU Lesser General Public License, version 2.1."),
+    *((f"CC-{kind}-{v}", f"Licensed under CC {kind} {v}.") for v in ("4.0", "3.0", "2.5", "2.0") for kind in ("BY-NC-SA", "BY-NC-ND", "BY-NC", "BY-SA", "BY-ND", "BY") if (kind, v) not in (("BY-NC", "4.0"), ("BY", "4.0"))),
+    ("Apache-1.1", "Licensed under the Apache License, Version 1.1."),
+    ("GPL-3.0-or-later", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
     ("MIT", "Released under the MIT License."),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("Apache-2.0", 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License.'),
@@ -41,27 +61,80 @@ def bigrams(text: str) -> Counter:
     return Counter(zip(words, words[1:], strict=False))
 
 
+def full_texts() -> tuple[tuple[str, str], ...]:
+    files = sorted((f for f in resources.files("sparkloom.llm").joinpath("licence_texts").iterdir() if f.name.endswith(".txt")), key=lambda f: f.name)
+    return tuple((f.name.removesuffix(".txt"), f.read_text("utf-8")) for f in files)
+
+
+TEMPLATES = NOTICES + full_texts()
+
+
 class Matcher:
-    """Templates by size, with the sizes that can reach the threshold."""
+    """Templates as bigram counts, with the window sizes and hits that can reach the threshold."""
 
     def __init__(self, templates=TEMPLATES, least: float = LEAST):
         self.least = least
-        self.templates = [(name, grams := bigrams(text), grams.total()) for name, text in templates]
-        self.smallest = min(n for *_, n in self.templates) * least / (2 - least)
-        self.largest = max(n for *_, n in self.templates) * (2 - least) / least
-
-    def best(self, unit: str) -> tuple[float, str] | None:
-        grams = bigrams(unit)
-        size = grams.total()
-        if not self.smallest <= size <= self.largest:
+        found = [(name, grams) for name, text in templates if (grams := bigrams(text))]
+        self.names = [name for name, _ in found]
+        self.kinds = {pair: i for i, pair in enumerate(dict.fromkeys(p for _, grams in found for p in grams))}
+        self.counts = np.zeros((len(found), len(self.kinds)), np.int32)
+        for row, (_, grams) in zip(self.counts, found, strict=True):
+            row[[self.kinds[p] for p in grams]] = list(grams.values())
+        self.held = self.counts > 0
+        self.sizes = self.counts.sum(1)
+        self.need = [math.ceil(n * least / (2 - least) - 1e-9) for n in self.sizes]
+        self.most = [math.floor(n * (2 - least) / least + 1e-9) for n in self.sizes]
+        self.fewest = min(self.need, default=math.inf)
+
+    def window(self, k: int, place: np.ndarray, kind: np.ndarray, at: int, end: int) -> tuple | None:
+        """Best window of template ``k`` that starts at hit ``at`` and ends before bigram ``end``."""
+        stop = np.searchsorted(place, min(end, place[at] + self.most[k]))
+        own = kind[at:stop]
+        # a kind counts as often as the template holds it
+        order = np.argsort(own, kind="stable")
+        ranked = own[order]
+        rank = np.empty(len(own), np.int64)
+        rank[order] = np.arange(len(own)) - np.searchsorted(ranked, ranked)
+        hits = np.cumsum(rank < self.counts[k][own])
+        size = place[at:stop] - place[at] + 1
+        dice = 2 * hits / (size + self.sizes[k])
+        worth = np.where(dice >= self.least, 2 * hits - size, -math.inf)
+        if not len(worth) or worth.max() == -math.inf:
             return None
-        found = None
-        for name, own, n in self.templates:
-            if 2 * min(n, size) < self.least * (n + size):
+        best = np.lexsort((-dice, -worth))[0]
+        return (-int(worth[best]), -float(dice[best]), k, int(place[at]), int(place[at + best]) + 1, at)
+
+    def notices(self, text: str) -> list[tuple[float, str]]:
+        """Coefficient and name of each notice; a notice's words are in no other."""
+        words = WORD.findall(text.lower())
+        kinds = np.fromiter(map(self.kinds.get, zip(words, words[1:], strict=False), repeat(-1)), np.int64, max(0, len(words) - 1))
+        places = np.flatnonzero(kinds >= 0)
+        if len(places) < self.fewest:
+            return []
+        kinds = kinds[places]
+        hits, heap = {}, []
+        for k in np.flatnonzero(self.held[:, kinds].sum(1) >= self.need):
+            own = self.held[k][kinds]
+            place, kind, need = places[own], kinds[own], self.need[k]
+            starts = np.flatnonzero(place[need - 1 :] - place[: len(place) - need + 1] < self.most[k])
+            if len(starts):
+                hits[k] = place, kind
+                heap += [w for at in starts if (w := self.window(k, place, kind, int(at), len(words)))]
+        heapq.heapify(heap)
+        taken: list[tuple[int, int]] = []
+        found = []
+        while heap:
+            _, dice, k, low, high, at = heapq.heappop(heap)  # words low to high
+            i = bisect_right(taken, (low, math.inf))
+            if i and taken[i - 1][1] >= low:
+                continue
+            if i < len(taken) and taken[i][0] <= high:
+                again = self.window(k, *hits[k], at, taken[i][0] - 1)
+                if again:
+                    heapq.heappush(heap, again)
                 continue
-            dice = 2 * (own & grams).total() / (n + size)
-            if dice >= self.least and (found is None or dice > found[0]):
-                found = (dice, name)
+            insort(taken, (low, high))
+            found.append((-dice, self.names[k]))
         return found
 
 
@@ -73,11 +146,7 @@ def scan(docs: DataFrame, text: str = "text", id_column: str = "doc_id", templat
         for batch in batches:
             counts, names, best = [], [], []
             for value in batch.column(1):
-                whole = value.as_py() or ""
-                units = whole.split("\n")
-                if "\n\n" in whole:
-                    units += [p for p in re.split(r"\n{2,}", whole) if "\n" in p]
-                found = [m for u in units if (m := matcher.best(u))]
+                found = matcher.notices(value.as_py() or "")
                 counts.append(len(found))
                 names.append(",".join(sorted({name for _, name in found})))
                 best.append(max((d for d, _ in found), default=0.0))

@@ -237,6 +237,43 @@ def test_licences(spark, odd):
     assert licences.scan(odd).count() == len(ODD)
 
 
+def test_licences_inside_lines_wrapped_and_whole(spark):
+    full = dict(licences.full_texts())
+    prose = "Here the story of a long walk goes on with many other words, and so it went for days"
+    rows = {
+        1: (f"{prose}. Released under the MIT License. {prose}.", "MIT", 1),
+        2: (f"{prose}\nThis Source Code Form is subject to\nthe terms of the Mozilla Public\nLicense, v. 2.0. {prose}", "MPL-2.0", 1),
+        3: (f"{prose}\n\nCopyright (c) 2020 A. Nother\n\n{full['MIT']}\n{prose}", "MIT", 1),
+        4: (f"Copyright 1999\n\n{full['BSD-3-Clause']}", "BSD-3-Clause", 1),
+        5: (full["BSD-2-Clause"], "BSD-2-Clause", 1),
+        6: (full["GPL-2.0"], "GPL-2.0", 1),
+        7: (f"{prose} licensed under CC BY-NC 4.0. {prose} Licensed under the Apache License, Version 2.0. {prose}", "Apache-2.0,CC-BY-NC-4.0", 2),
+        8: ("Licensed under CC BY-SA 4.0. Licensed under CC BY 3.0.", "CC-BY-3.0,CC-BY-SA-4.0", 2),
+        9: ("Released under the MIT License.\n" * 40, "MIT", 40),
+        10: (f"{prose}. " * 50, "", 0),
+    }
+    got = licences.scan(spark.createDataFrame([(i, t) for i, (t, _, _) in rows.items()], SCHEMA)).collect()
+    assert {r.doc_id: (r.licences, r.n_notices) for r in got} == {i: (names, n) for i, (_, names, n) in rows.items()}
+    assert all(r.best == 1.0 for r in got if r.doc_id < 10)
+
+
+def test_licence_windows_against_brute_force():
+    rng = np.random.default_rng(4)
+    templates = [("a", "one two three four five six two three"), ("b", "three four five"), ("c", "six one two one two one")]
+    matcher = licences.Matcher(templates)
+    for _ in range(300):
+        words = rng.choice(["one", "two", "three", "four", "five", "six", "x"], rng.integers(0, 30)).tolist()
+        best = 0.0
+        for _, t in templates:
+            own = licences.bigrams(t)
+            for i in range(len(words)):
+                for j in range(i + 2, len(words) + 1):
+                    grams = licences.bigrams(" ".join(words[i:j]))
+                    best = max(best, 2 * (own & grams).total() / (own.total() + grams.total()))
+        found = matcher.notices(" ".join(words))
+        assert bool(found) == (best >= 0.8) and all(0.8 <= d <= best for d, _ in found)
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline
 
