@@ -30,11 +30,19 @@ AGAIN = "\u0001again"
 
 def word_features(word: str) -> list[int]:
     """Buckets of a word and of its character n-grams between boundary marks."""
+    return list(buckets_of(word))
+
+
+def buckets_of(word: str) -> Iterator[int]:
+    """The buckets one by one, as a word without spaces can be as long as its text."""
     if word == AGAIN:
-        return [zlib.crc32(AGAIN.encode()) % BUCKETS]
-    marked = f"<{word[:64]}>"
-    grams = [marked] + [marked[i : i + n] for n in NGRAMS for i in range(len(marked) - n + 1)]
-    return [zlib.crc32(g.encode("utf-8", "replace")) % BUCKETS for g in grams]
+        yield zlib.crc32(AGAIN.encode()) % BUCKETS
+        return
+    marked = f"<{word}>"
+    yield zlib.crc32(marked.encode("utf-8", "replace")) % BUCKETS
+    for n in NGRAMS:
+        for i in range(len(marked) - n + 1):
+            yield zlib.crc32(marked[i : i + n].encode("utf-8", "replace")) % BUCKETS
 
 
 class WordTable(dict):
@@ -45,12 +53,15 @@ class WordTable(dict):
     def __init__(self, value):
         self.value = value
 
+    LONGEST = 64  # longer words are taken whole too, but not kept
+
     def __missing__(self, word: str):
+        if len(word) > self.LONGEST:
+            return self.value(np.fromiter(buckets_of(word), np.int32))
         found = self.value(word_features(word))
-        if len(word) <= 64:
-            if len(self) >= self.MOST:
-                self.clear()
-            self[word] = found
+        if len(self) >= self.MOST:
+            self.clear()
+        self[word] = found
         return found
 
 

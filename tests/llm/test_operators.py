@@ -82,6 +82,17 @@ def test_quality_on_held_out_rows(spark, odd):
     assert quality.fit(docs, empty(labels))[1] == 0.0
 
 
+def test_quality_reads_whole_long_words(spark):
+    han = lambda start, n: "".join(chr(0x4E00 + (start + 7 * i) % 2000) for i in range(n))
+    begun = han(0, 70)
+    rows = [(i, begun + han(900 + i % 2 * 500, 300)) for i in range(60)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    labels = docs.selectExpr("doc_id", "cast(doc_id % 2 as int) AS quality")
+    got = quality.score(docs, quality.fit(docs, labels)).join(labels, "doc_id").toPandas()
+    assert (got.score > 0.5).tolist() == (got.quality == 1).tolist()
+    assert len(quality.word_features("x" * 5000)) == 1 + 5001 + 5000 + 4999
+
+
 def brute_groups(rows, size, percent):
     sets = {}
     for i, text in rows:
