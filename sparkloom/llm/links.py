@@ -4,8 +4,9 @@ Rows are dealt by hash into shards of bounded size; each shard's vectors form a
 halving by a fixed factor, links chosen by nearness). Every block of vectors queries every shard: a greedy
 descent through the layers, then a beam at the bottom, all queries of a block in
 lockstep, and from the links that it finds on over neighbours near the threshold, so that large
-groups need no wide beam. A task audits a sample of its queries against the whole
-shard, widening beams until the audit finds every link. Cosines are in double precision; the graph only proposes.
+groups need no wide beam. A task audits queries against the whole
+shard until it has seen a fixed number that have links there (rare links: all queries, which settles them), and
+widens beams until the audit finds every link; where it still doesn't, the block is computed exactly. Cosines are in double precision; the graph only proposes.
 
 A task returns, per query, how many links it found and one link into each of the shard's own
 linked groups, so large groups give no square of rows. Equal vectors are one node that counts
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 from sparkloom.llm.ann import usable
 from sparkloom.llm.common import connected_components, materialize
 
-SHARD, SHARDS_AT_LEAST, DEGREE, BEAM, AUDIT = 20_000, 4, 16, 32, 64
+SHARD, SHARDS_AT_LEAST, DEGREE, BEAM, WIDEST, AUDIT = 20_000, 4, 16, 32, 512, 64
 
 
 class Graph:
@@ -65,7 +66,7 @@ class Graph:
             score = np.where(both >= 0, np.einsum("bd,bkd->bk", x[block], x[both]), -3)
             best = np.take_along_axis(both, np.argsort(-score, axis=1, kind="stable")[:, : DEGREE + DEGREE // 2], 1)
             table[block, : best.shape[1]] = best
-            # links back, in the free places; a full row keeps its nearest and one far link
+            # links back, in the free places; a full row keeps its nearest
             for node, row in zip(block, chosen, strict=True):
                 for other in row[row >= 0][:8]:
                     own = table[other]
@@ -155,28 +156,46 @@ def beam(x: np.ndarray, table: np.ndarray, queries: np.ndarray, entry: np.ndarra
     return np.take_along_axis(ids, order, 1), np.take_along_axis(score, order, 1)
 
 
-def linked(graph: Graph, queries: np.ndarray, least: float, seed: int = 1) -> list[np.ndarray]:
-    """Nodes with a cosine of at least ``least`` for each query.
+def exact(x: np.ndarray, queries: np.ndarray, least: float) -> list[np.ndarray]:
+    """Nodes with a cosine of at least ``least`` for each of a few queries, by comparing all."""
+    row, node = np.nonzero(queries @ x.T >= least - 1e-9)
+    fine = np.einsum("kd,kd->k", queries[row], x[node]) >= least
+    return np.split(node[fine], np.searchsorted(row[fine], np.arange(1, len(queries))))
+
+
+def linked(graph: Graph, queries: np.ndarray, least: float, seed: int = 1, own: bool = False) -> list[np.ndarray]:
+    """Nodes with a cosine of at least ``least`` for each query; ``own``: the queries are the nodes themselves.
 
     A beam finds the first of them; from these the search goes on over neighbours within the threshold, less a
-    slack. Beam and slack widen until the audited queries have all their links.
+    slack. Beam and slack widen until the audited queries have all their links; else all are compared.
     """
     n, width, slack = len(graph.x), BEAM, 0.05
-    audit = np.random.default_rng(seed).choice(len(queries), min(AUDIT, len(queries)), replace=False)
-    truth = [np.flatnonzero(graph.x @ q >= least) for q in queries[audit]]
-    while True:
+    truth: dict[int, np.ndarray] = {}
+    seen, order = 0, np.random.default_rng(seed).permutation(len(queries))
+    for at in range(0, len(order), 64):
+        part = order[at : at + 64]
+        for q, row in zip(part.tolist(), exact(graph.x, queries[part], least), strict=True):
+            truth[q] = row
+            seen += len(row) > own  # a node's link to itself is no link
+        if seen >= AUDIT:
+            break
+    while len(truth) < len(queries):
         out: list[np.ndarray] = [np.empty(0, np.int64)] * len(queries)
         step = max(16, 400_000 // (width + 64))
         for at in range(0, len(queries), step):
-            own = np.arange(at, min(at + step, len(queries)))
-            ids, score = graph.search(queries[own], min(width, n))
+            some_queries = np.arange(at, min(at + step, len(queries)))
+            ids, score = graph.search(queries[some_queries], min(width, n))
             near = (score >= least) & (ids >= 0)
             some = np.flatnonzero(near.any(1))
-            for q, row in zip(own[some], graph.reach(queries[own[some]], [ids[i][near[i]] for i in some], least, slack), strict=True):
+            for q, row in zip(some_queries[some], graph.reach(queries[some_queries[some]], [ids[i][near[i]] for i in some], least, slack), strict=True):
                 out[q] = row
-        if width >= n or all(len(np.intersect1d(out[q], t)) == len(t) for q, t in zip(audit, truth, strict=True)):
-            return out
+        if all(len(np.intersect1d(out[q], t)) == len(t) for q, t in truth.items()):
+            return [truth.get(q, row) for q, row in enumerate(out)]
+        if width >= min(n, WIDEST):
+            for at in range(0, len(queries), 64):
+                truth.update(enumerate(exact(graph.x, queries[at : at + 64], least), at))
         width, slack = width * 4, slack * 2
+    return [truth[q] for q in range(len(queries))]
 
 
 def groups_of(pairs: list[np.ndarray]) -> np.ndarray:
@@ -219,8 +238,9 @@ def near_duplicates(vectors: DataFrame, vector: str = "embedding", id_column: st
             left, right = left.sort_values("id"), right.sort_values("id")
             x, ids, n = units(right), right["id"].to_numpy(), right["n"].to_numpy()
             graph = Graph(x)
-            found = linked(graph, units(left), least)
-            own = groups_of(found) if left["block"].iloc[0] == right["shard"].iloc[0] else np.arange(len(ids))
+            same = left["block"].iloc[0] == right["shard"].iloc[0]
+            found = linked(graph, units(left), least, own=same)
+            own = groups_of(found) if same else np.arange(len(ids))
             for query, row in zip(left["id"], found, strict=True):
                 row = row[ids[row] != query]
                 if len(row):

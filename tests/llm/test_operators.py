@@ -232,6 +232,26 @@ def test_vector_operators(spark):
     assert ann.search(df.limit(0), df.limit(0)).count() == 0 and links.near_duplicates(df.limit(0)).count() == 0
 
 
+class Blind(links.Graph):
+    """A graph whose search finds nothing."""
+
+    def search(self, queries, width):
+        ids, score = super().search(queries, width)
+        return np.full_like(ids, -1), score
+
+
+def test_vector_links_that_the_graph_misses():
+    rng = np.random.default_rng(6)
+    x, other = (v / np.linalg.norm(v, axis=1, keepdims=True) for v in rng.normal(size=(2, 900, 16)))
+    rare = other.copy()
+    rare[[3, 700]] = x[[650, 20]]  # two links in all: hardly any audit meets one
+    common = np.concatenate([x[:450], x[:450]]) + rng.normal(size=(900, 16)) * 0.01  # each query has links; none found at any width
+    common /= np.linalg.norm(common, axis=1, keepdims=True)
+    for queries, own in ((rare, False), (common, False), (x, True)):
+        got = links.linked(Blind(x), queries, 0.9, own=own)
+        assert [sorted(row) for row in got] == [np.flatnonzero(row).tolist() for row in queries @ x.T >= 0.9]
+
+
 def test_pages(spark):
     body = "<p>First &amp; long paragraph of the story, with words.</p><ul><li>item one of list</li></ul><p>Second<br>part of it, quite long too."
     page = lambda i: f"<html><body><nav><a href='/'>Home</a></nav><div class='cookie-notice'>We use cookies</div><div class='post{i}'><h1>Title {i}</h1>{body}</div><div class='comments'><p>A reader says something long enough here.</p></div><footer>Foot</footer></body></html>"
