@@ -2,8 +2,9 @@
 
 First pass: each page scores its containers (text of blocks outside links, halved per level up) and names
 the generalised path (tags with classes, digits made equal) of its best. Spark sums these votes per host
-and path; the host's leading paths go back to its pages. Second pass: a page takes its containers at the
-first of these paths that holds text on it, and its own best container only where it has none of them.
+and path, and joins a page's own container paths to all votes of its host. Second pass: a page takes its
+containers at the path with the best product of its own score and the logarithm of the votes, or at a path
+below that one which scores more on the page (so a general path doesn't stand for a layout's own).
 Inside a container, menus, asides, footers, forms, notices, adverts and reader comments are left out.
 
 A null or empty page has an empty text. A page that ends early is read to its end. Repeated rows are read each for
@@ -13,19 +14,16 @@ itself, but vote twice. Pages without a host vote together. Extra columns are no
 from __future__ import annotations
 
 import html
+import math
 import re
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from sparkloom.llm.common import few, materialize
 
-#: Leading paths of a host that its pages try; a page with none of them uses its own best container.
-PATHS = 5
-
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*?)>", re.S)
 ATTRIBUTE = re.compile(r"(class|id|role|style|hidden)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
 RAW = {"script", "style", "noscript", "template", "svg", "iframe", "textarea", "title", "object", "math", "canvas"}
@@ -129,8 +127,8 @@ def blocks_of(page: str) -> list[tuple[str, Element, int]]:
     return blocks
 
 
-def best_container(blocks: list[tuple[str, Element, int]]) -> Element | None:
-    """The container whose blocks hold most text outside links; a level up counts half."""
+def scored_containers(blocks: list[tuple[str, Element, int]]) -> list[Element]:
+    """Containers by the text outside links that their blocks hold; a level up counts half."""
     scored: dict[int, Element] = {}
     for text, holder, links in blocks:
         worth, node = max(0.0, len(text) - 2.0 * links) * (1.0 if len(text) >= 25 else 0.3), holder
@@ -140,7 +138,20 @@ def best_container(blocks: list[tuple[str, Element, int]]) -> Element | None:
             node, worth = node.parent, worth / 2
             while node is not None and node.tag not in CONTAINERS:
                 node = node.parent
-    return max(scored.values(), key=lambda e: (e.score, -len(e.path)), default=None)
+    return list(scored.values())
+
+
+def best_container(scored: list[Element]) -> Element | None:
+    return max(scored, key=lambda e: (e.score, -len(e.path)), default=None)
+
+
+def path_scores(scored: list[Element]) -> dict[str, float]:
+    """Summed scores of the containers at each path."""
+    out: dict[str, float] = {}
+    for e in scored:
+        if e.tag in CONTAINERS:
+            out[e.path] = out.get(e.path, 0.0) + e.score
+    return out
 
 
 def inside(node: Element, path: str) -> bool:
@@ -151,39 +162,54 @@ def inside(node: Element, path: str) -> bool:
     return False
 
 
-def main_text(page: str | None, paths: list[str]) -> str:
-    """Blocks of the first path that holds text, joined by empty lines."""
+def chosen_path(scores: dict[str, float], votes: dict[str, int]) -> str | None:
+    """The path to take on a page, of those that its host's pages voted for."""
+    voted = [p for p in scores if votes.get(p)]
+    if not voted:
+        return None
+    path = max(voted, key=lambda p: (scores[p] * math.log1p(votes[p]), scores[p], len(p), p))
+    below = [p for p in voted if p.startswith(path + "/") and scores[p] > scores[path]]
+    return max(below, key=lambda p: (scores[p], len(p), p), default=path)
+
+
+def main_text(page: str | None, votes: dict[str, int]) -> str:
+    """Blocks at the chosen path, joined by empty lines."""
     blocks = blocks_of(page or "")
-    for path in paths:
-        found = [text for text, holder, _ in blocks if inside(holder, path)]
-        if found:
-            return "\n\n".join(found)
-    best = best_container(blocks)
-    return "\n\n".join(t for t, holder, _ in blocks if inside(holder, best.path)) if best is not None else ""
+    scored = scored_containers(blocks)
+    path = chosen_path(path_scores(scored), votes)
+    if path is None:
+        best = best_container(scored)
+        path = best.path if best is not None else None
+    return "\n\n".join(t for t, holder, _ in blocks if inside(holder, path)) if path is not None else ""
 
 
 def extract(pages: DataFrame, html_column: str = "html", url_column: str = "url", id_column: str = "page_id") -> DataFrame:
     """``(id, url, text)`` a row."""
     host = F.coalesce(F.lower(F.regexp_extract(F.col(url_column), r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit(""))
 
+    # pages of one host with equal text have equal containers, so they share a key
+    keyed = pages.select(F.col(id_column), F.col(url_column), F.col(html_column), host.alias("host")).withColumn("__key", F.xxhash64("host", html_column))
+
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            best = [best_container(blocks_of(x.as_py() or "")) for x in batch.column(1)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([b.path if b else None for b in best], pa.string()), pa.array([b.score if b else 0.0 for b in best], pa.float64())], names=["host", "path", "score"]
-            )
-
-    votes = pages.select(host.alias("host"), html_column).mapInArrow(vote, "host string, path string, score double").where("path IS NOT NULL")
-    summed = votes.groupBy("host", "path").agg(F.count("*").alias("pages"), F.sum(F.floor("score")).alias("worth"))
-    order = Window.partitionBy("host").orderBy(F.desc("pages"), F.desc("worth"), "path")
-    ranked = summed.withColumn("place", F.row_number().over(order)).where(F.col("place") <= PATHS)
-    winners = materialize(ranked.groupBy("host").agg(F.array_sort(F.collect_list(F.struct("place", "path"))).alias("x")).select("host", F.col("x.path").alias("paths")), "paths")
+            best, own = [], []
+            for x in batch.column(2):
+                scored = scored_containers(blocks_of(x.as_py() or ""))
+                best.append(best_container(scored))
+                own.append(list(path_scores(scored)))
+            columns = [batch.column(0), batch.column(1), pa.array([b.path if b else None for b in best], pa.string()), pa.array(own, pa.list_(pa.string()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["key", "host", "path", "own"])
+
+    cast = materialize(keyed.select("__key", "host", html_column).mapInArrow(vote, "key bigint, host string, path string, own array<string>").where("path IS NOT NULL"), "votes")
+    counted = materialize(cast.groupBy("host", "path").agg(F.count("*").alias("pages")), "paths")
+    own = cast.select("key", "host", F.explode("own").alias("path")).join(few(counted, 200), ["host", "path"])
+    lists = materialize(own.groupBy("key").agg(F.collect_set(F.struct("path", "pages")).alias("votes")), "page-paths")
 
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [main_text(page.as_py(), paths.as_py() or []) for page, paths in zip(batch.column(2), batch.column(3), strict=True)]
+            texts = [main_text(page.as_py(), {v["path"]: v["pages"] for v in votes.as_py() or []}) for page, votes in zip(batch.column(2), batch.column(3), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], names=[id_column, url_column, "text"])
 
     kinds = f"{id_column} {pages.schema[id_column].dataType.simpleString()}, {url_column} {pages.schema[url_column].dataType.simpleString()}, text string"
-    joined = pages.select(F.col(id_column), F.col(url_column), F.col(html_column), host.alias("host")).join(few(winners, 600), "host", "left")
-    return joined.select(id_column, url_column, html_column, "paths").mapInArrow(take, kinds)
+    joined = keyed.join(few(lists.withColumnRenamed("key", "__key"), 400), "__key", "left")
+    return joined.select(id_column, url_column, html_column, "votes").mapInArrow(take, kinds)

@@ -261,6 +261,22 @@ def test_pages(spark):
     assert [got[i] for i in range(3)] == [wanted.format(i) for i in range(3)] and got[8] == "" and len(got) == 5
 
 
+def test_pages_of_a_host_with_many_layouts(spark):
+    teaser = "<div class='tease'><p>A teaser that stands on many pages of this host.</p></div>"
+    story = lambda k, i: f"<p>Story {i} of layout {k} has a long paragraph with many words in it.</p><p>Its second paragraph is long as well, and ends number {i}.</p>"
+    kinds = ["alpha", "beta", "gamma", "delta", "epsilon", "zeta", "eta"]
+    rows, wanted = [], {}
+    for n, k in enumerate(kinds):
+        for i in range(9 - n):
+            rows.append((100 * n + i, "http://h.example/x", f"<html><body>{teaser}<div class='{k}'>{story(k, i)}</div></body></html>"))
+            wanted[100 * n + i] = f"Story {i} of layout {k} has a long paragraph with many words in it.\n\nIts second paragraph is long as well, and ends number {i}."
+    rows += [(1000 + i, "http://h.example/y", f"<html><body><p>Only the body holds this text of some length, number {i}.</p></body></html>") for i in range(12)]
+    rows += [(2000 + i, "http://h.example/z", f"<html><body>{teaser}</body></html>") for i in range(12)]
+    got = {r.page_id: r.text for r in pages.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    assert {i: got[i] for i in wanted} == wanted
+    assert got[1003] == "Only the body holds this text of some length, number 3." and got[2000].startswith("A teaser") and len(got) == len(rows)
+
+
 def test_licences(spark, odd):
     rows = [(1, "Prose.\nReleased under the MIT License.\nMore."), (2, "licensed under the apache license version 2.0"), (3, "The licence of a poet."), (4, None)]
     got = {r.doc_id: r.licences for r in licences.scan(spark.createDataFrame(rows, SCHEMA)).collect()}
