@@ -115,13 +115,14 @@ class WordCache(dict):
     A word is the text between two spaces, which stands for one run of the marker and
     what follows: no piece has the marker behind another symbol, so merges never cross it.
     A line break ends a word too, as no piece holds one.
-    Each word behind a space that is met for the first time is also encoded by the library, in one call per Arrow batch.
+    Each word that is met for the first time is also encoded by the library, in one call per Arrow batch (one behind a
+    line break with a letter before the break), and so are whole texts that aren't taken word by word.
     """
 
     MOST, LONGEST = 1_000_000, 80
 
     def __init__(self, vocabulary: MergeVocabulary):
-        self.vocabulary, self.fresh, self.plain = vocabulary, {}, PieceText(vocabulary.library)
+        self.vocabulary, self.fresh, self.whole, self.plain = vocabulary, {}, [], PieceText(vocabulary.library)
 
     def __missing__(self, word: str) -> tuple[str, int, str]:
         ids = self.vocabulary.ids_of(word)
@@ -134,11 +135,17 @@ class WordCache(dict):
         return found
 
     def verify(self) -> None:
-        """Compare the words that were new in this batch with the library: their ids, and the text of the ids."""
+        """Compare the words that were new in this batch, and texts taken whole, with the library: their ids, and the text of the ids."""
+        library = self.vocabulary.library
         words = list(self.fresh)
-        for word, theirs in zip(words, self.vocabulary.library.encode([w.removeprefix("\n") for w in words], num_threads=1), strict=True):
-            if word and word[0] != "\n" and theirs != self.fresh[word]:
+        before = library.encode("x")
+        for word, theirs in zip(words, library.encode(["x" + w if w[:1] == "\n" else w for w in words], num_threads=1), strict=True):
+            if word and theirs != (before + self.fresh[word] if word[0] == "\n" else self.fresh[word]):
                 raise ValueError(f"encoding differs from the library for {word[:80]!r}")
+        texts, ids, decoded = zip(*self.whole, strict=True) if self.whole else ((), (), ())
+        if texts and (library.encode(list(texts), num_threads=1) != list(ids) or library.decode(list(ids), num_threads=1) != list(decoded)):
+            raise ValueError("encoding of whole texts differs from the library")
+        self.whole.clear()
         self.fresh.clear()
         if len(self) > self.MOST:
             self.clear()
@@ -180,7 +187,9 @@ def encode_text(text: str, words: WordCache) -> tuple[str, int, str]:
                 ids += words.vocabulary.merge(symbols[start:i])
                 start = i
         joined = ",".join(map(str, ids))
-        return joined, len(ids), words.plain.decode(joined)
+        decoded = words.plain.decode(joined)
+        words.whole.append((text, ids, decoded))
+        return joined, len(ids), decoded
     found = [words[w] for w in text.replace("\n", " \n").split(" ")]
     return ",".join([x for x, _, _ in found]), sum([n for _, n, _ in found]), "".join([t for _, _, t in found])[1:]
 

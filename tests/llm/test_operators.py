@@ -48,6 +48,21 @@ def test_subwords_agree_with_the_library(spark, documents, odd):
     assert subwords.encode_decode(empty(odd), path).count() == 0
 
 
+@pytest.mark.parametrize("text", ["one\ntwo", "one  two"])
+def test_subwords_verify_line_breaks_and_whole_texts(text, monkeypatch):
+    vocabulary = subwords.MergeVocabulary(vocabulary_path("piece_bpe_32k.model"))
+    words = subwords.WordCache(vocabulary)
+    subwords.encode_text(text, words)
+    words.verify()
+    merge, ids_of = vocabulary.merge, vocabulary.ids_of
+    monkeypatch.setattr(vocabulary, "merge", lambda s: [*merge(s), 5])
+    monkeypatch.setattr(vocabulary, "ids_of", lambda w: [*ids_of(w), 5] if w[:1] == "\n" else ids_of(w))
+    words = subwords.WordCache(vocabulary)
+    subwords.encode_text(text, words)
+    with pytest.raises(ValueError):
+        words.verify()
+
+
 def test_packing_covers_every_id_once(spark, documents, odd):
     from tokenizers import Tokenizer
 
