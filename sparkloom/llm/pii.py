@@ -2,8 +2,7 @@
 
 Native: everything on the documents is SQL functions. Four base kinds are fixed by pattern and
 always stay. Further generators propose more spans (local phone numbers, obfuscated addresses,
-bank accounts, social security numbers, addresses of version 6, cards that fail their check
-digit); gradient-boosted trees score them by format and the words before them, and those above
+bank accounts, social security numbers, addresses of version 6); gradient-boosted trees score them by format and the words before them, and those above
 a threshold calibrated on held-out examples are added where they overlap nothing that stays.
 
 The trees are trained here, by numpy on the driver, on a bounded set of ``EXAMPLES`` generated

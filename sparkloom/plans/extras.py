@@ -40,7 +40,7 @@ SELECT s_suppkey, x + y < 90 AS inside, 4050.0::DOUBLE AS area, printf('POINT(%.
 
 
 def cluster_labels(spark, sf_dir):
-    """Parts of a brand whose keys differ by less than 40 are one cluster, by gaps in key order (a chain needs no graph)."""
+    """Parts of a brand whose keys differ by less than 40 are one cluster, by gaps in key order (a chain needs no graph)."""
     w = Window.partitionBy("p_brand").orderBy("p_partkey")
     p = table(spark, sf_dir, "part").withColumn("new", (F.col("p_partkey") - F.coalesce(F.lag("p_partkey").over(w), F.lit(-1000)) >= 40).cast("int"))
     p = p.withColumn("island", F.sum("new").over(w))
@@ -114,7 +114,7 @@ COLOURS = "SELECT p_partkey, '#' || printf('%02x', (p_partkey * 3 % 256)::INT) |
 
 
 def first_lines(spark, sf_dir):
-    """First line, first sentence and the words between two marks in documents."""
+    """First line, first sentence and the words between two marks in documents."""
     d = table(spark, sf_dir, "documents")
     lines = F.split("text", "\n")
     return d.select("doc_id", F.md5(F.element_at(lines, 1)).alias("first_line"), F.size(lines).cast("bigint").alias("n_lines"), F.coalesce(text.between(F.col("text"), 'token = "', '"'), F.lit("~")).alias("secret"), (text.word_count(F.element_at(lines, 1)) > 3).alias("long_title"))

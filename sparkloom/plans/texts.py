@@ -97,7 +97,7 @@ coalesce(nullif(regexp_replace(regexp_replace(regexp_extract(html, '<title>([^<]
 
 
 def html_meta(spark, sf_dir):
-    """Language, link counts and host of pages."""
+    """Language, link counts and host of pages."""
     p = table(spark, sf_dir, "pages")
     return p.select("page_id", F.regexp_extract("html", r'<html lang="([a-z]+)"', 1).alias("lang"), F.size(F.regexp_extract_all("html", F.lit(r'<a href="([^"]*)"'), F.lit(1))).cast("bigint").alias("n_links"), F.regexp_extract("url", r"^https?://([^/]+)", 1).alias("host"))
 
