@@ -2,33 +2,54 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Used only where the session has no ``spark.checkpoint.dir`` (tests, a single machine).
-LOCAL_FALLBACK = "/tmp/sparkloom-checkpoints"
-
 #: A side is broadcast only if its counted rows times this many bytes stay below it.
 BROADCAST_BYTES = 16_000_000
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; set here only where the cluster names none."""
+    """The folder that driver and executors share, as ``spark.checkpoint.dir`` names it.
+
+    Where it is unset, a folder of this machine serves a local master only: on a cluster, each executor would
+    write to a disk of its own.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = LOCAL_FALLBACK
+        master = spark.conf.get("spark.master", "")
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        root = tempfile.mkdtemp(prefix="sparkloom-")
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")
 
 
+class Workspace:
+    """Intermediate Parquet tables of one call in the shared folder: each cuts its lineage, and is dropped once it is used."""
+
+    def __init__(self, spark: SparkSession, label: str):
+        self.spark, self.root = spark, f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+    def keep(self, df: DataFrame, name: str) -> DataFrame:
+        """``df`` written as table ``name`` and read back."""
+        df.write.parquet(f"{self.root}/{name}")
+        return self.spark.read.schema(df.schema).parquet(f"{self.root}/{name}")
+
+    def drop(self, *names: str) -> None:
+        """Deletes tables that nothing reads any more."""
+        context = self.spark.sparkContext
+        for name in names:
+            path = context._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
+            path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` as Parquet into the shared folder and read it back, which cuts its lineage."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    """``df`` as one table of the shared folder that stays."""
+    return Workspace(df.sparkSession, label).keep(df, "table")
 
 
 def few(df: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> DataFrame:

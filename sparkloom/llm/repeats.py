@@ -3,23 +3,28 @@
 Every byte of a string of ``LENGTH`` bytes that starts at two or more places goes. Sorting the
 suffixes of all positions at every doubling would shuffle the input many times over, so the
 doubling runs on positions that the content itself chooses: each window of ``LENGTH`` bytes
-names the place of its smallest ``FIRST``-byte string (its anchor). Equal windows have equal
-anchors at equal places, so a window whose anchor is unique is unique itself. Rounds, each
-a Spark sort of ranks that keeps only what isn't unique yet:
+names one place in it (its anchor: the least hash of the few bytes that begin there). Equal windows
+have equal anchors at equal places, so a window whose anchor's string is unique is unique itself.
 
-1. rank of the ``FIRST`` bytes at each anchor;
-2. rank of all that the anchor's windows cover (past the threshold): equal ones are settled as repeats;
-3. of the rest, pairs of ranks (a stretch and the stretch at the offset behind it) that blocks of
-   ``BLOCK`` neighbouring windows have in common;
-4. rank of all ``LENGTH`` bytes at each position that is left.
+Spark ranks and reranks, and each round keeps only what isn't unique yet:
 
-Ranks are 64-bit fingerprints; grouping equal ones is the sort. A group's rows are counted, never gathered.
+1. Rank of the ``FIRST`` bytes at each anchor. Windows next to each other share an anchor, so a row is an anchor with its
+   run of windows. Runs whose whole stretch of text is there twice are settled as repeats; of each different stretch one
+   row goes on, and only where another stretch has the same rank.
+2. Each run is halved on and on (by ``STEP``), so that what its windows have in common grows at both ends. A row is a
+   pair: the rank so far, and what the growing offsets add. Equal pairs are one new rank; unique ones are dropped, runs
+   of equal stretches settled, the rest goes on, until runs are single windows and ranks have reached ``LENGTH`` bytes.
+
+Ranks are 128-bit digests of the bytes, so no accidental match is to be expected in any corpus; Spark groups equal ones,
+counts, and gathers no group's rows. A document's own runs that repeat without a gap (periods) are one row from the
+start, so a hot passage gives one row a document.
 
 The same runs over words instead of bytes (``Words``): then a string of so many words is the unit, whatever its
 bytes, and white space between words doesn't count.
 
-Null texts count as empty; texts under ``LENGTH`` bytes are kept whole. Repeated rows are places like any
-others, so all copies lose their repeats. Extra columns are not read; an empty table gives no rows.
+Null texts count as empty; texts under ``LENGTH`` bytes are kept whole. Equal texts share a key, as they lose the same
+bytes; repeated rows are places like any others, so all copies lose their repeats. Extra columns are not read; an empty
+table gives no rows.
 """
 
 from __future__ import annotations
@@ -33,42 +38,40 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkloom.llm.common import BROADCAST_BYTES, materialize
-from sparkloom.llm.minhash import mix
+from sparkloom.llm.common import BROADCAST_BYTES, Workspace
+from sparkloom.llm.minhash import GOLDEN, mix
 
-LENGTH, FIRST, BLOCK = 400, 100, 32
-BASE = 0x9E3779B97F4A7C15 | 1
-BASE_INVERSE = pow(BASE, -1, 1 << 64)
-BYTE_VALUES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+LENGTH, FIRST, STEP = 400, 100, 8
 #: Windows that are looked at together; a longer text is taken in stretches of so many.
-STRETCH = 1 << 22
-PLACE_BITS = np.uint64(23)
-
+STRETCH = 1 << 20
+PLACE_BITS = np.uint64(22)
+#: Rows that a task holds before it hands them on.
+ROWS = 50_000
 
-class Powers:
-    """Powers of the base and of its inverse, as far as any text so far needed them."""
 
-    def __init__(self):
-        self.up = self.down = np.ones(1, np.uint64)
-
-    def reach(self, n: int) -> None:
-        if len(self.up) < n:
-            size = max(n, 2 * len(self.up), 1 << 14)
-            factors = np.full((2, size + 1), [[np.uint64(BASE)], [np.uint64(BASE_INVERSE)]], np.uint64)
-            factors[:, 0] = 1
-            self.up, self.down = np.cumprod(factors, axis=1)
+def digest(data: bytes, salt: bytes = b"") -> bytes:
+    """A rank: 128 bits of the content."""
+    return hashlib.blake2b(data, digest_size=16, salt=salt).digest()
 
 
 class Bytes:
-    """Bytes as units: a value for each."""
+    """Bytes as units."""
+
+    width = 1
 
-    def values(self, text: str) -> np.ndarray:
-        return BYTE_VALUES[np.frombuffer(text.encode(), np.uint8)]
+    def read(self, text: str) -> tuple[bytes, np.ndarray]:
+        """The units in one string of bytes, and for each place a hash of the 8 bytes from there."""
+        data = text.encode()
+        eight = np.zeros(max(0, len(data) - 7), np.uint64)
+        for at in range(min(8, len(eight))):
+            eight[at::8] = np.frombuffer(data, "<u8", (len(data) - at) // 8, at)
+        return data, mix(eight)
 
 
 class Words:
     """Words as units: what stands between white space; in scripts without spaces, each character."""
 
+    width = 8
     MOST = 1_000_000
     # Thai to Tibetan, Burmese, Khmer, then kana, Han and their forms of full width
     SPACELESS = "\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff"
@@ -78,7 +81,8 @@ class Words:
     def __init__(self):
         self.known: dict[str, int] = {}
 
-    def values(self, text: str) -> np.ndarray:
+    def read(self, text: str) -> tuple[bytes, np.ndarray]:
+        """64 bits a word in one string of bytes, and for each place a hash of the two words from there."""
         words = text.split() if text.isascii() or not self.ANY.search(text) else self.WORD.findall(text)
         known = self.known
         for w in set(words).difference(known):
@@ -86,27 +90,13 @@ class Words:
         out = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
         if len(known) > self.MOST:
             known.clear()
-        return out
+        return out.tobytes(), mix(out[:-1] * GOLDEN + out[1:])
 
     def places(self, text: str) -> list[int]:
         """Where each word starts, and the end of the text."""
         return [m.start() for m in self.WORD.finditer(text)] + [len(text)]
 
 
-class Fingerprints:
-    """Fingerprints of any stretch of one text, from one pass over the values of its units."""
-
-    def __init__(self, values: np.ndarray, powers: Powers):
-        n = len(values)
-        powers.reach(n + 1)
-        self.down = powers.down
-        self.sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(values * powers.up[:n], out=self.sums[1:])
-
-    def of(self, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
-        return mix((self.sums[stop] - self.sums[start]) * self.down[start])
-
-
 def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
     """Least of each ``width`` neighbours."""
     n = len(values) - width + 1
@@ -118,115 +108,165 @@ def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(behind[:n], ahead[width - 1 : width - 1 + n])
 
 
-def anchors(prints: Fingerprints, size: int, length: int, first: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Anchor places and the first and last window of each run of windows that share one."""
-    places, lows, highs = [], [], []
-    for at in range(0, max(0, size - length + 1), STRETCH):
+def anchors(order: np.ndarray, size: int, length: int, first: int) -> Iterator[tuple[list[int], list[int], list[int]]]:
+    """Anchor places and the first and last window of each run of windows that share one, a stretch at a time."""
+    for at in range(0, size - length + 1, STRETCH):
         windows = min(STRETCH, size - length + 1 - at)
-        start = np.arange(at, at + windows + length - first)
-        packed = prints.of(start, start + first) >> PLACE_BITS << PLACE_BITS | (start - at).astype(np.uint64)
-        place = (sliding_least(packed, length - first + 1) & np.uint64((1 << 23) - 1)).astype(np.int64) + at
+        places = windows + length - first
+        packed = order[at : at + places] >> PLACE_BITS << PLACE_BITS | np.arange(places, dtype=np.uint64)
+        place = (sliding_least(packed, length - first + 1) & np.uint64((1 << 22) - 1)).astype(np.int64) + at
         cut = np.flatnonzero(np.diff(place)) + 1
-        low = np.concatenate([[0], cut])
-        places.append(place[low])
-        lows.append(low + at)
-        highs.append(np.concatenate([cut - 1, [windows - 1]]) + at)
-    if not places:
-        return (np.empty(0, np.int64),) * 3
-    return np.concatenate(places), np.concatenate(lows), np.concatenate(highs)
+        low, high = np.concatenate([[0], cut]), np.concatenate([cut - 1, [windows - 1]])
+        yield place[low].tolist(), (low + at).tolist(), (high + at).tolist()
+
+
+def joined_runs(rows: list[list]) -> list[list]:
+    """Rows ``[first, whole, n, place, low, high, stop]`` of one text, where equal runs that touch are one row that counts for all."""
+    out: list[list] = []
+    latest: dict[tuple[bytes, bytes], list] = {}
+    for row in rows:
+        own = latest.get((row[0], row[1]))
+        if own is not None and row[4] <= own[6]:
+            own[2], own[6] = own[2] + 1, row[6]
+            continue
+        latest[row[0], row[1]] = row
+        out.append(row)
+    return out
 
 
-def signed(x: np.ndarray) -> pa.Array:
-    return pa.array(x.view(np.int64), pa.int64())
+def table_of(rows: list[list], kinds: list[pa.DataType], names: list[str]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
 
 
 def anchor_rows(texts: DataFrame, length: int, first: int, unit: type = Bytes) -> DataFrame:
+    """An anchor with its windows a row; ``stop``: end of the text that its ``n`` equal runs cover."""
+    kinds, names = [pa.binary()] * 3 + [pa.int32()] * 5, ["key", "first", "whole", "n", "place", "low", "high", "stop"]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers, units = Powers(), unit()
+        units, w, rows = unit(), unit.width, []
         for batch in batches:
-            parts = []
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                data = units.values(text.as_py() or "")
-                if len(data) < length:
-                    continue
-                prints = Fingerprints(data, powers)
-                place, low, high = anchors(prints, len(data), length, first)
-                whole = mix(prints.of(low, high + length) + (place - low).astype(np.uint64) * np.uint64(BASE) + (high - low).astype(np.uint64))
-                parts.append((np.full(len(place), key, np.int64), prints.of(place, place + first), whole, place, low, high))
-            if parts:
-                key, begun, whole, place, low, high = (np.concatenate(x) for x in zip(*parts, strict=True))
-                arrays = [pa.array(key), signed(begun), signed(whole), *[pa.array(x, pa.int32()) for x in (place, low, high)]]
-                yield pa.RecordBatch.from_arrays(arrays, names=["key", "first", "whole", "place", "low", "high"])
+                data, order = units.read(text.as_py() or "")
+                for places, lows, highs in anchors(order, len(data) // w, length, first):
+                    own = [[digest(data[w * p : w * (p + first)]), digest(data[w * a : w * (b + length)]), 1, p, a, b, b + length] for p, a, b in zip(places, lows, highs, strict=True)]
+                    rows += [[key, *row] for row in joined_runs(own)]
+                    if len(rows) > ROWS:
+                        yield table_of(rows, kinds, names)
+                        rows = []
+        if rows:
+            yield table_of(rows, kinds, names)
 
-    return texts.mapInArrow(run, "key bigint, first bigint, whole bigint, place int, low int, high int")
+    return texts.mapInArrow(run, "key binary, first binary, whole binary, n int, place int, low int, high int, stop int")
 
 
-def block_rows(texts: DataFrame, length: int, size: int = BLOCK, unit: type = Bytes) -> DataFrame:
-    """For the listed anchors of each text: blocks of neighbouring windows with the ranks of what they share."""
-    names = ["key", "single", "rank", "next_rank", "low", "high"]
+def context_rows(texts: DataFrame, length: int, unit: type = Bytes) -> DataFrame:
+    """The listed anchors with the text around them: ``base`` is the place where it begins; places count from there."""
+    kinds = [pa.binary(), pa.binary(), pa.bool_(), pa.int32(), pa.int32(), pa.int32(), pa.binary()]
+    names = ["key", "rank", "single", "base", "place", "high", "context"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers, units = Powers(), unit()
+        units, w = unit(), unit.width
         for batch in batches:
-            parts = []
-            for key, text, found in zip(*(batch.column(i) for i in range(3)), strict=True):
-                prints = Fingerprints(units.values(text.as_py()), powers)
+            rows, done = [], set()
+            for key, text, found in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
+                if key in done:  # an equal text
+                    continue
+                done.add(key)
+                data, _ = units.read(text.as_py())
                 for x in found.as_py():
-                    place, low, high = x["place"], x["low"], x["high"]
-                    begin = np.arange(place + (low - place) // size * size, high + 1, size)
-                    middle = begin + (size + length) // 2
-                    rank = mix(prints.of(begin + size - 1, middle) + (begin - place).astype(np.uint64) * np.uint64(BASE))
-                    n = len(begin)
-                    parts.append((np.full(n, key.as_py()), np.full(n, x["n"] == 1), rank, prints.of(middle, begin + length), np.maximum(begin, low), np.minimum(begin + size - 1, high)))
-            if parts:
-                key, single, rank, behind, low, high = (np.concatenate(x) for x in zip(*parts, strict=True))
-                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(single), signed(rank), signed(behind), pa.array(low, pa.int32()), pa.array(high, pa.int32())], names=names)
+                    low, high = x["low"], x["high"]
+                    rows.append((key, x["first"], x["n"] == 1, low, x["place"] - low, high - low, data[w * low : w * (high + length)]))
+                if len(rows) > ROWS // 10:
+                    yield table_of(rows, kinds, names)
+                    rows = []
+            if rows:
+                yield table_of(rows, kinds, names)
 
-    return texts.mapInArrow(run, "key bigint, single boolean, rank bigint, next_rank bigint, low int, high int")
+    return texts.mapInArrow(run, "key binary, rank binary, single boolean, base int, place int, high int, context binary")
 
 
-def leaf_rows(texts: DataFrame, length: int, unit: type = Bytes) -> DataFrame:
-    """The rank of all ``length`` units at each position of the listed blocks."""
+def pair_rows(runs: DataFrame, size: int, before: int, length: int, first: int, unit: type = Bytes) -> DataFrame:
+    """Runs ``(id, place, context, parts)`` cut into runs of ``size`` windows at most, each with its pair of ranks.
+
+    Cuts lie at multiples of ``size`` before the anchor, so equal windows fall into equal runs. ``before`` is the size of
+    the parts: what their windows share is ranked already, and the second of the pair ranks what this round adds.
+    """
+    kinds = [pa.int64(), pa.bool_(), pa.binary(), pa.binary(), pa.binary(), pa.int32(), pa.int32()]
+    names = ["id", "single", "rank", "next", "whole", "low", "high"]
+    most = length - first
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers, units = Powers(), unit()
+        w, rows = unit.width, []
         for batch in batches:
-            for key, text, found in zip(*(batch.column(i) for i in range(3)), strict=True):
-                prints = Fingerprints(units.values(text.as_py()), powers)
-                low, high, single = (np.array([x[c] for x in found.as_py()]) for c in ("low", "high", "single"))
-                sizes = high - low + 1
-                starts = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes) + np.repeat(low, sizes)
-                n = len(starts)
-                for at in range(0, n, 1 << 20):
-                    part = starts[at : at + (1 << 20)]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(part), key.as_py())), pa.array(np.repeat(single, sizes)[at : at + (1 << 20)]), pa.array(part, pa.int32()), signed(prints.of(part, part + length))], names=["key", "single", "low", "leaf"]
-                    )
-
-    return texts.mapInArrow(run, "key bigint, single boolean, low int, leaf bigint")
-
-
-def repeated_spans(texts: DataFrame, length: int = LENGTH, first: int = FIRST, block: int = BLOCK, unit: type = Bytes) -> DataFrame:
+            for own, place, context, parts in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+                for x in parts:
+                    low, high = x["low"], x["high"]
+                    far = (place - high) // before * before
+                    old, old_end = place - far, place - min(far + before - 1, most) + length
+                    for j in range((place - high) // size, (place - low) // size + 1):
+                        near, last = j * size, min(j * size + size - 1, most)
+                        a, b = max(low, place - last), min(high, place - near)
+                        added = digest(context[w * (place - near) : w * old] + context[w * old_end : w * (place - last + length)], (near - far).to_bytes(4, "little"))
+                        rows.append((own, x["single"], x["rank"], added, digest(context[w * a : w * (b + length)]), a, b))
+                if len(rows) > ROWS:
+                    yield table_of(rows, kinds, names)
+                    rows = []
+        if rows:
+            yield table_of(rows, kinds, names)
+
+    return runs.mapInArrow(run, "id bigint, single boolean, rank binary, next binary, whole binary, low int, high int")
+
+
+def sizes_of_rounds(windows: int) -> list[int]:
+    """Run sizes of the rounds: powers of ``STEP`` below a whole run's, the largest first; the last is one window."""
+    sizes = [1]
+    while sizes[0] * STEP < windows:
+        sizes.insert(0, sizes[0] * STEP)
+    return sizes
+
+
+def repeated_spans(texts: DataFrame, work: Workspace, length: int = LENGTH, first: int = FIRST, unit: type = Bytes) -> DataFrame:
     """``(key, spans)``: for each text key with repeats, overlapping ranges of units that cover all of them."""
-    found = materialize(anchor_rows(texts, length, first, unit), "anchors")
-    again = found.groupBy("first").agg(F.count("*").alias("n")).where("n > 1").select("first")
-    rows = found.join(again, "first")
+    found = work.keep(anchor_rows(texts, length, first, unit), "anchors")
+    again = found.groupBy("first").agg(F.sum("n").alias("times")).where("times > 1").select("first")
+    shared = work.keep(found.join(again, "first"), "shared")
+    work.drop("anchors")
     at = F.struct("key", "place", "low", "high")
-    groups = materialize(rows.groupBy("first", "whole").agg(F.count("*").alias("n"), F.min(at).alias("at")), "groups")
-    equal = found.join(groups.where("n > 1").select("first", "whole"), ["first", "whole"])
-    settled = equal.select("key", F.struct(F.col("low").alias("low"), (F.col("high") + length).alias("high")).alias("span"))
-    several = groups.groupBy("first").agg(F.count("*").alias("kinds")).where("kinds > 1").select("first")
-    open_groups = groups.join(several, "first").select("n", "at.*")
-    listed = materialize(open_groups.groupBy("key").agg(F.collect_list(F.struct("place", "low", "high", "n")).alias("anchors")), "listed")
-    blocks = materialize(block_rows(with_lists(texts, listed, "anchors", 20, "inner").select("key", "text", "anchors"), length, block, unit), "blocks")
-    # equal texts under one key give equal rows, so places are compared instead of rows counted
-    place = F.struct("key", "low")
-    two = lambda df, *ranks: df.groupBy(*ranks).agg(F.min(place).alias("a"), F.max(place).alias("b")).where("a < b").select(*ranks)
-    shared = blocks.join(two(blocks, "rank", "next_rank"), ["rank", "next_rank"])
-    open_blocks = materialize(shared.groupBy("key").agg(F.collect_set(F.struct("low", "high", "single")).alias("blocks")), "open-blocks")
-    leaves = materialize(leaf_rows(with_lists(texts, open_blocks, "blocks", 16, "inner").select("key", "text", "blocks"), length, unit), "leaves")
-    last = leaves.where("single").join(two(leaves, "leaf"), "leaf").select("key", F.struct(F.col("low").alias("low"), (F.col("low") + length).alias("high")).alias("span"))
-    return settled.union(last).groupBy("key").agg(F.collect_set("span").alias("spans"))
+    groups = work.keep(shared.groupBy("first", "whole").agg(F.sum("n").alias("n"), F.min(at).alias("at")), "groups")
+    equal = shared.join(groups.where("n > 1").select("first", "whole"), ["first", "whole"], "left_semi")
+    settled = work.keep(equal.select("key", "low", F.col("stop").alias("high")), "settled")
+    several = groups.groupBy("first").agg(F.count("*").alias("kinds"), F.min("n").alias("least")).where("kinds > 1 AND least = 1").select("first")
+    listed = groups.join(several, "first").groupBy("at.key").agg(F.collect_list(F.struct("first", "at.place", "at.low", "at.high", "n")).alias("anchors"))
+    listed = work.keep(listed, "listed")
+    work.drop("shared", "groups")
+    around = context_rows(with_lists(texts, listed, "anchors", 50, "inner").select("key", "text", "anchors"), length, unit)
+    runs = work.keep(around.withColumn("id", F.monotonically_increasing_id()), "runs")
+    work.drop("listed")
+    whole_run = F.struct("rank", F.lit(0).alias("low"), "high", "single")
+    open_runs = runs.select("id", "place", "context", F.array(whole_run).alias("parts"))
+    before, ends = length - first + 1, []
+    for size in sizes_of_rounds(before):
+        rows = work.keep(pair_rows(open_runs, size, before, length, first, unit), f"pairs-{size}")
+        own = F.struct("id", "low", "high", "single")
+        ranked = work.keep(rows.groupBy("rank", "next", "whole").agg(F.count("*").alias("n"), F.min(own).alias("at"), F.max("single").alias("single")), f"ranked-{size}")
+        twice = ranked.where("n > 1 AND single").select("rank", "next", "whole")
+        ends.append(work.keep(rows.where("single").join(twice, ["rank", "next", "whole"], "left_semi").select("id", "low", "high"), f"ends-{size}"))
+        still = (F.col("n") == 1) & F.col("single")
+        several = ranked.groupBy("rank", "next").agg(F.count("*").alias("kinds"), F.max(still).alias("still")).where("kinds > 1 AND still").select("rank", "next")
+        new_rank = F.unhex(F.md5(F.concat("rank", "next")))
+        parts = ranked.join(several, ["rank", "next"]).select("at.id", F.struct(new_rank.alias("rank"), "at.low", "at.high", still.alias("single")).alias("part"))
+        parts = work.keep(parts.groupBy("id").agg(F.collect_list("part").alias("parts")), f"parts-{size}")
+        work.drop(f"pairs-{size}", f"ranked-{size}")
+        open_runs = with_lists(runs.select("id", "place", "context"), parts, "parts", 50, "inner", "id").select("id", "place", "context", "parts")
+        before = size
+    last = ends[0]
+    for more in ends[1:]:
+        last = last.union(more)
+    last = last.join(runs.select("id", "key", "base"), "id").select("key", (F.col("base") + F.col("low")).alias("low"), (F.col("base") + F.col("high") + length).alias("high"))
+    spans = work.keep(settled.union(last).groupBy("key").agg(F.collect_set(F.struct("low", "high")).alias("spans")), "spans")
+    sizes = sizes_of_rounds(length - first + 1)
+    work.drop("settled", "runs", *[f"{name}-{size}" for name in ("ends", "parts") for size in sizes])
+    return spans
 
 
 def with_lists(texts: DataFrame, lists: DataFrame, column: str, item_bytes: int, how: str, key: str = "key") -> DataFrame:
@@ -236,11 +276,16 @@ def with_lists(texts: DataFrame, lists: DataFrame, column: str, item_bytes: int,
     return texts.join(F.broadcast(lists) if small else lists, key, how)
 
 
+def content_key(text: str):
+    """128 bits of the text, which equal texts share."""
+    return F.unhex(F.md5(F.col(text).cast("binary")))
+
+
 def remove_repeats(docs: DataFrame, text: str = "text", id_column: str = "doc_id", length: int = LENGTH, first: int = FIRST) -> DataFrame:
     """``(id, n_bytes, n_removed, n_spans, kept)`` a row; ``kept``: the remaining bytes."""
     kind = docs.schema[id_column].dataType.simpleString()
-    texts = docs.select(F.xxhash64(id_column, text).alias("key"), F.col(text).alias("text"), F.col(id_column).alias("own_id"))
-    spans = materialize(repeated_spans(texts.where(F.octet_length("text") >= length).select("key", "text"), length, first), "spans")
+    texts = docs.select(content_key(text).alias("key"), F.col(text).alias("text"), F.col(id_column).alias("own_id"))
+    spans = repeated_spans(texts.where(F.octet_length("text") >= length).select("key", "text"), Workspace(docs.sparkSession, "repeats"), length, first)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -260,17 +305,16 @@ def remove_repeats(docs: DataFrame, text: str = "text", id_column: str = "doc_id
     return joined.select("own_id", "text", "spans").mapInArrow(cut, f"{id_column} {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary")
 
 
-def without_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH, first: int = FIRST, block: int = BLOCK, unit: type = Bytes) -> DataFrame:
+def without_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH, first: int = FIRST, unit: type = Bytes) -> DataFrame:
     """``docs`` with the repeats cut out of the texts and their ``n_chars`` set anew; rows that lose all go.
 
     A cut inside a character of several bytes drops what is left of that character. Words go with the
     white space behind them.
     """
     names, at = docs.columns, docs.columns.index(text)
-    # rows of equal text would share a key here, so the key also holds the row's place
-    keyed = docs.withColumn("__key", F.xxhash64(F.monotonically_increasing_id(), F.col(text)))
+    keyed = docs.withColumn("__key", content_key(text))
     texts = keyed.where(F.octet_length(text) >= length).select(F.col("__key").alias("key"), F.col(text).alias("text"))
-    spans = materialize(repeated_spans(texts, length, first, block, unit), "spans")
+    spans = repeated_spans(texts, Workspace(docs.sparkSession, "repeats"), length, first, unit)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words() if unit is Words else None
