@@ -38,7 +38,7 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def repeat_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Removes passages of over 50 words that repeat; a document without any word left goes."""
-    return repeats.without_repeats(docs, length=REPEATED_WORDS, first=17, block=8, unit=repeats.Words)
+    return repeats.without_repeats(docs, length=REPEATED_WORDS, first=17, unit=repeats.Words)
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
