@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkloom.llm.common import BROADCAST_BYTES, Workspace
+from sparkloom.llm.common import Workspace
 from sparkloom.llm.minhash import GOLDEN, mix
 
 LENGTH, FIRST, STEP = 400, 100, 8
@@ -239,7 +239,7 @@ def repeated_spans(texts: DataFrame, work: Workspace, length: int = LENGTH, firs
     listed = groups.join(several, "first").groupBy("at.key").agg(F.collect_list(F.struct("first", "at.place", "at.low", "at.high", "n")).alias("anchors"))
     listed = work.keep(listed, "listed")
     work.drop("shared", "groups")
-    around = context_rows(with_lists(texts, listed, "anchors", 50, "inner").select("key", "text", "anchors"), length, unit)
+    around = context_rows(texts.join(listed, "key").select("key", "text", "anchors"), length, unit)
     runs = work.keep(around.withColumn("id", F.monotonically_increasing_id()), "runs")
     work.drop("listed")
     whole_run = F.struct("rank", F.lit(0).alias("low"), "high", "single")
@@ -257,7 +257,7 @@ def repeated_spans(texts: DataFrame, work: Workspace, length: int = LENGTH, firs
         parts = ranked.join(several, ["rank", "next"]).select("at.id", F.struct(new_rank.alias("rank"), "at.low", "at.high", still.alias("single")).alias("part"))
         parts = work.keep(parts.groupBy("id").agg(F.collect_list("part").alias("parts")), f"parts-{size}")
         work.drop(f"pairs-{size}", f"ranked-{size}")
-        open_runs = with_lists(runs.select("id", "place", "context"), parts, "parts", 50, "inner", "id").select("id", "place", "context", "parts")
+        open_runs = runs.select("id", "place", "context").join(parts, "id").select("id", "place", "context", "parts")
         before = size
     last = ends[0]
     for more in ends[1:]:
@@ -269,13 +269,6 @@ def repeated_spans(texts: DataFrame, work: Workspace, length: int = LENGTH, firs
     return spans
 
 
-def with_lists(texts: DataFrame, lists: DataFrame, column: str, item_bytes: int, how: str, key: str = "key") -> DataFrame:
-    """Join of texts with a list for each key; the lists are broadcast only if their summed size allows it."""
-    size = lists.agg(F.sum(F.size(column)), F.count("*")).first()
-    small = (size[0] or 0) * item_bytes + size[1] * 40 <= BROADCAST_BYTES
-    return texts.join(F.broadcast(lists) if small else lists, key, how)
-
-
 def content_key(text: str):
     """128 bits of the text, which equal texts share."""
     return F.unhex(F.md5(F.col(text).cast("binary")))
@@ -301,7 +294,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", id_column: str = "doc_id
                     column.append(value)
             yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(c, pa.int64()) for c in rows[:3]], pa.array(rows[3], pa.binary())], names=[id_column, "n_bytes", "n_removed", "n_spans", "kept"])
 
-    joined = with_lists(texts, spans, "spans", 16, "left")
+    joined = texts.join(spans, "key", "left")
     return joined.select("own_id", "text", "spans").mapInArrow(cut, f"{id_column} {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary")
 
 
@@ -346,7 +339,7 @@ def without_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH, f
             columns = [pa.array(kept, batch.column(at).type) if i == at else batch.column(i) for i in range(len(names))]
             yield pa.RecordBatch.from_arrays(columns, names=names).filter(pa.array(alive, pa.bool_()))
 
-    joined = with_lists(keyed, spans.toDF("__key", "__spans"), "__spans", 16, "left", "__key").select(*names, "__spans")
+    joined = keyed.join(spans.toDF("__key", "__spans"), "__key", "left").select(*names, "__spans")
     out = joined.mapInArrow(cut, docs.schema)
     return out.withColumn("n_chars", F.length(text).cast("bigint")).select(*names) if "n_chars" in names else out
 
