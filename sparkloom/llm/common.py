@@ -4,7 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,6 +64,17 @@ def few(df: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> DataFram
     return F.broadcast(df) if df.count() * row_bytes <= limit else df
 
 
+def by_size(batches: Iterator[pa.RecordBatch], column: int, characters: int) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of texts of about so many bytes together."""
+    for batch in batches:
+        total = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))
+        at = 0
+        while at < batch.num_rows:
+            stop = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + characters, "right")))
+            yield batch.slice(at, stop - at)
+            at = stop
+
+
 def connected_components(edges: DataFrame, src: str, dst: str) -> DataFrame:
     """Smallest reachable id per node that has an edge: columns ``node`` and ``component``.
 

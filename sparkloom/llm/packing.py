@@ -16,17 +16,22 @@ pieces. Very long texts are cut over as many windows as they need.
 
 from __future__ import annotations
 
+import math
+import os
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from sparkloom.llm.common import materialize
+from sparkloom.llm.common import by_size, materialize
 
 WINDOW = 4096
 END_ID = 2
@@ -37,24 +42,33 @@ BLOCK_WINDOWS = 64
 
 
 class WordIds:
-    """Word to its ids as 32-bit bytes. Ids never cross a space or line break, so whole texts are joins.
+    """Words to their ids. Ids never cross a space or line break, so a text's ids are its words' ids in a row.
 
-    Words that a stretch of rows brings anew are encoded in one text, kept apart by a word with a single id of
-    its own, which costs less than a call for each; words that hold that word are encoded alone. Two generations bound the table: what is used stays. One table
-    serves all tasks of a worker process.
+    Texts of Latin letters are taken in lower case, as the vocabulary's normalizer does, and full stops and commas
+    behind words as words of their own, so that fewer different words are met. A batch's words are numbered by Arrow,
+    each different one is looked up once, and numpy lays the ids out. A word of letters, the common case, goes to the
+    library's merge model as the library's own steps before it would hand it over (bytes as letters); all other words
+    go through the library whole. The table is cleared when it is full, and serves all tasks of a worker process.
     """
 
-    MOST, LONGEST, APART = 250_000, 80, "photography"
+    MOST, LONGEST = 600_000, 80
+    LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+    #: A mark behind another: these are one piece, which a space would part.
+    MARKS_MEET = re.compile(r"[.,] (?<=[^\w\s].\x20)")
+    #: Characters of the texts that are laid out together.
+    CHARACTERS = 6_000_000
     shared: dict[str, WordIds] = {}
 
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the parallelism
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        alone = self.tokenizer.encode(self.APART, add_special_tokens=False).ids
-        self.apart = alone[0] if len(alone) == 1 else None
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        letters = [chr(c) for c in range(0xDF, 0x100) if chr(c).isalpha()]
+        self.as_bytes = str.maketrans({c: self.tokenizer.pre_tokenizer.pre_tokenize_str(c)[0][0] for c in letters})
+        self.known: dict[str, bytes] = {}
+        probe = ["haus", "été", "straße", "a", "niño", "word", "zoë"]
+        self.direct = self.of_letters(probe) == [self.whole(w) for w in probe] == [self.whole(w.title()) for w in probe]
 
     @classmethod
     def of(cls, path: str) -> WordIds:
@@ -62,52 +76,75 @@ class WordIds:
             cls.shared[path] = cls(path)
         return cls.shared[path]
 
-    def single(self, text: str) -> bytes:
+    def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def learn(self, words: set[str]) -> None:
-        """Puts the words into the young generation."""
-        if len(self.young) > self.MOST:
-            self.old, self.young = self.young, {}
-        fresh = []
-        for word in words.difference(self.young):
-            known = self.old.get(word)
-            if known is not None:
-                self.young[word] = known
-            elif self.apart is None or "<|" in word or len(word) > self.LONGEST or self.APART in word.lower():
-                self.young[word] = self.single(word)
-            else:
-                fresh.append(word)
-        for at in range(0, len(fresh), 2000):
-            part = fresh[at : at + 2000]
-            ids = np.array(self.tokenizer.encode(f" {self.APART} ".join(part), add_special_tokens=False).ids, "<u4")
-            cuts = np.flatnonzero(ids == self.apart)
-            data, starts, stops = ids.tobytes(), [0, *(4 * (cuts + 1)).tolist()], [*(4 * cuts).tolist(), 4 * len(ids)]
-            for word, start, stop in zip(part, starts, stops, strict=True):
-                self.young[word] = data[start:stop]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of whole texts."""
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        self.learn(set().union(*split))
-        young = self.young
-        found = [b"".join([young[w] for w in words]) for words in split]
-        for word in [w for w in set().union(*split) if len(w) > self.LONGEST]:
-            del young[word]
-        return found
+    def of_letters(self, words: list[str]) -> list[bytes]:
+        """Ids of words of Latin letters."""
+        tokenize = self.tokenizer.model.tokenize
+        ready = "\n".join(words).lower()
+        if not ready.isascii():
+            ready = ready.translate(self.as_bytes)
+        return [array("I", [t.id for t in tokenize(w)]).tobytes() for w in ready.split("\n")]
+
+    def ready(self, text: str) -> str:
+        """A text whose words stand between single spaces."""
+        text = text.replace("\n", " ")
+        if self.direct and is_latin(text) and "<|" not in text:
+            text = text.lower()
+            if not self.MARKS_MEET.search(text):
+                text = text.replace(". ", " . ").replace(", ", " , ")
+        return text
+
+    def learn(self, words: list[str]) -> list[bytes]:
+        """Ids of different words."""
+        if len(self.known) > self.MOST:
+            self.known.clear()
+        out = list(map(self.known.get, words))
+        new = [w for w, ids in zip(words, out, strict=True) if ids is None]
+        letters = [bool(self.direct and self.LETTERS.fullmatch(w)) for w in new]
+        fresh: dict[str, bytes] = {}
+        for ascii_only in (True, False):
+            some = [w for w, plain in zip(new, letters, strict=True) if plain and w.isascii() == ascii_only]
+            fresh.update(zip(some, self.of_letters(some), strict=True) if some else ())
+        fresh.update((w, self.whole(w)) for w, plain in zip(new, letters, strict=True) if not plain)
+        self.known.update(fresh if max(map(len, new), default=0) <= self.LONGEST else {w: ids for w, ids in fresh.items() if len(w) <= self.LONGEST})
+        return [fresh[w] if ids is None else ids for w, ids in zip(words, out, strict=True)]
+
+    def encode(self, texts: list[str], end: int) -> pa.Array:
+        """Little-endian 32-bit ids of each whole text, with the id ``end`` behind."""
+        ready = [self.ready(t) for t in texts]
+        words = pc.split_pattern(pa.array([" ".join(ready)], pa.large_string()), " ").values.dictionary_encode()
+        ids = self.learn(words.dictionary.to_pylist())
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        begin, flat = np.cumsum(size) - size, np.frombuffer(b"".join(ids), "<u4")
+        code = words.indices.to_numpy()
+        many = size[code]
+        stops = np.cumsum(many)
+        out = flat[np.arange(stops[-1]) + np.repeat(begin[code] - (stops - many), many)]
+        stops = stops[np.cumsum([t.count(" ") + 1 for t in ready]) - 1]
+        offsets = np.concatenate([[0], 4 * (stops + np.arange(1, len(texts) + 1))]).astype(np.int32)
+        return pa.Array.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer(offsets), pa.py_buffer(np.insert(out, stops, end).astype("<u4"))])
+
+
+def is_latin(text: str) -> bool:
+    """True if all characters are below 256: none of them combines with another, or changes with its place in lower case."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
 
 
 def tokenize(docs: DataFrame, path: str, text: str = "text", id_column: str = "doc_id", source: str = "source") -> DataFrame:
     """``(id, source, n, ids)`` a row: the little-endian 32-bit ids with the end id, and their number."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, end = WordIds.of(path), np.array([END_ID], "<u4").tobytes()
-        for batch in (whole.slice(at, 500) for whole in batches for at in range(0, whole.num_rows, 500)):
-            found = [x + end for x in words.encode([x.as_py() or "" for x in batch.column(2)])]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array([len(x) // 4 for x in found], pa.int64()), pa.array(found, pa.binary())],
-                names=[id_column, "queue", "n", "ids"],
-            )
+        words = WordIds.of(path)
+        for batch in by_size(batches, 2, words.CHARACTERS):
+            ids = words.encode([x or "" for x in batch.column(2).to_pylist()], END_ID)
+            n = pc.cast(pc.divide(pc.binary_length(ids), 4), pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), n, ids], names=[id_column, "queue", "n", "ids"])
 
     kind = docs.schema[id_column].dataType.simpleString()
     chosen = docs.select(id_column, F.coalesce(F.col(source).cast("string"), F.lit("\0")).alias("queue"), text)
@@ -192,7 +229,8 @@ def pack(docs: DataFrame, path: str, text: str = "text", id_column: str = "doc_i
         return spark.createDataFrame([], columns)
     blocks = max(1, -(-total // (window * BLOCK_WINDOWS)))
     # places in the queues: sums of salted stretches of a queue first, so that a large source isn't one group
-    lengths = tokens.select("uid", "queue", "n").withColumn("salt", F.pmod(F.xxhash64("uid"), F.lit(max(1, blocks // 4))))
+    stretches = 4 * math.isqrt(blocks) + 1
+    lengths = tokens.select("uid", "queue", "n").withColumn("salt", F.pmod(F.xxhash64("uid"), F.lit(stretches)))
     sums = lengths.groupBy("queue", "salt").agg(F.sum("n").alias("in_salt"))
     in_queue = Window.partitionBy("queue").orderBy("salt")
     sums = sums.select("queue", "salt", (F.sum("in_salt").over(in_queue) - F.col("in_salt")).alias("salt_start"))
@@ -208,16 +246,12 @@ def pack(docs: DataFrame, path: str, text: str = "text", id_column: str = "doc_i
         placed.mapInPandas(lambda x: segments(x, total, blocks), "block bigint, uid bigint, queue string, queued bigint, at bigint, start bigint, length bigint"),
         "segments",
     )
-    starts = queued.select("queued")
-
-    def before(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            b = np.arange(blocks)
-            for at in range(0, blocks, 1 << 16):
-                part = b[at : at + (1 << 16)]
-                yield pd.DataFrame({"block": part, "before": sum(np.array([block_start(int(q), int(x), blocks) for x in part]) for q in batch["queued"])})
-
-    per_block = starts.mapInPandas(before, "block bigint, before bigint").groupBy("block").agg(F.sum("before").alias("before"))
+    # tokens before each block: sums over groups of blocks first, then inside a group
+    sizes = cut.groupBy("block").agg(F.sum("length").alias("size")).withColumn("group", F.floor(F.col("block") / (math.isqrt(blocks) + 1)))
+    in_order = Window.orderBy("group")  # a row for each group of blocks only
+    groups = sizes.groupBy("group").agg(F.sum("size").alias("in_group")).select("group", (F.sum("in_group").over(in_order) - F.col("in_group")).alias("group_start"))
+    in_group = Window.partitionBy("group").orderBy("block")
+    per_block = sizes.withColumn("inside", F.sum("size").over(in_group) - F.col("size")).join(groups, "group").select("block", (F.col("group_start") + F.col("inside")).alias("before"))
 
     def plan(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         found = round_robin(int(key[0]), group, int(group["before"].iloc[0]), total, blocks, window)
