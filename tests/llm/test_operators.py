@@ -48,19 +48,38 @@ def test_subwords_agree_with_the_library(spark, documents, odd):
     assert subwords.encode_decode(empty(odd), path).count() == 0
 
 
-@pytest.mark.parametrize("text", ["one\ntwo", "one  two"])
-def test_subwords_verify_line_breaks_and_whole_texts(text, monkeypatch):
+@pytest.mark.parametrize("text", ["one two", "one\ntwo", "one  two"])
+def test_subwords_verify_words_line_breaks_and_whole_texts(text, monkeypatch):
     vocabulary = subwords.MergeVocabulary(vocabulary_path("piece_bpe_32k.model"))
-    words = subwords.WordCache(vocabulary)
-    subwords.encode_text(text, words)
-    words.verify()
+    subwords.WordCache(vocabulary).encode([text])
     merge, ids_of = vocabulary.merge, vocabulary.ids_of
     monkeypatch.setattr(vocabulary, "merge", lambda s: [*merge(s), 5])
     monkeypatch.setattr(vocabulary, "ids_of", lambda w: [*ids_of(w), 5] if w[:1] == "\n" else ids_of(w))
     words = subwords.WordCache(vocabulary)
-    subwords.encode_text(text, words)
+    together = words.lockstep.merge
+    monkeypatch.setattr(words.lockstep, "merge", lambda some: [[*(x or []), 5] for x in together(some)] if text == "one two" else together(some))
     with pytest.raises(ValueError):
-        words.verify()
+        words.encode([text])
+
+
+def test_lockstep_agendas_equal_the_list_and_the_heap():
+    words = subwords.WordCache.of(vocabulary_path("piece_bpe_32k.model"))
+    rng = np.random.default_rng(8)
+    for length in (1, 2, 3, 7, 15, 24):
+        some = ["".join(rng.choice(list("▁aeinrsté.中😀-"), length)) for _ in range(200)]
+        for word, found in zip(some, words.lockstep.merge(some), strict=True):
+            assert words.vocabulary.short(word) == words.vocabulary.long(word)
+            assert found is None or found == words.vocabulary.merge(word)
+
+
+def test_packing_words_against_the_library():
+    words = packing.WordIds.of(vocabulary_path("word_bpe_49k.json"))
+    rng = np.random.default_rng(9)
+    some = list("aÉß., \n3x!µé\u0301İΣ\xad\xa0\x85ª-") + ["  ", "'s", "..", ". ", ", ", "<|", "|>", "<|endoftext|>", "ǅ", "don't"]
+    texts = ["".join(rng.choice(some, rng.integers(0, 14))) for _ in range(3000)] + [""]
+    end = np.array([2], "<u4").tobytes()
+    assert words.direct and words.encode(texts, 2).to_pylist() == [words.whole(t) + end for t in texts]
+    assert words.encode([""], 2).to_pylist() == [end]
 
 
 def test_packing_covers_every_id_once(spark, documents, odd):
