@@ -13,9 +13,11 @@ itself, but vote twice. Pages without a host vote together. Extra columns are no
 
 from __future__ import annotations
 
+import hashlib
 import html
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -24,33 +26,49 @@ from pyspark.sql import functions as F
 
 from sparkloom.llm.common import few, materialize
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*?)>", re.S)
-ATTRIBUTE = re.compile(r"(class|id|role|style|hidden)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
-RAW = {"script", "style", "noscript", "template", "svg", "iframe", "textarea", "title", "object", "math", "canvas"}
+#: Every loop is possessive and every markup may end with the page, so that reading takes time in proportion to the page.
+TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+'|[\"'])*+)(?:>|\Z)", re.S)
+ATTRIBUTE = re.compile(r"([^\s=/\"'>]++)(?:\s*+=\s*+(\"[^\"]*+\"?|'[^']*+'?|[^\s>]++))?")
+RAW = {"script", "style", "noscript", "template", "svg", "iframe", "textarea", "title", "canvas"}
 LEFT_OUT = {"nav", "footer", "aside", "form", "button", "select", "dialog", "menu", "head"}
 CONTAINERS = {"body", "main", "article", "section", "div", "td", "center"}
 BLOCKS = {"address", "article", "blockquote", "body", "center", "dd", "details", "div", "dl", "dt", "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hr", "html", "li", "main", "nav", "ol", "p", "pre", "section", "summary", "table", "tbody", "td", "tfoot", "th", "thead", "tr", "ul", "aside"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 CLOSES_P = BLOCKS - {"td", "th", "tr"}
-BAD_WORDS = {"ad", "ads", "advert", "adverts", "advertisement", "advertising", "banner", "breadcrumb", "breadcrumbs", "byline", "comment", "comments", "consent", "cookie", "cookies", "disqus", "footer", "gdpr", "header", "menu", "modal", "nav", "navbar", "navigation", "newsletter", "notice", "pagination", "popup", "promo", "promotion", "related", "replies", "respond", "share", "sharing", "sidebar", "signup", "social", "sponsor", "sponsored", "subscribe", "toolbar", "topbar", "widget", "masthead", "reactions", "alert", "login", "search"}
-BAD_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "form", "menu"}
+BAD_WORDS = {"ad", "ads", "advert", "adverts", "advertisement", "advertising", "banner", "breadcrumb", "breadcrumbs", "comment", "comments", "consent", "cookie", "cookies", "disqus", "footer", "gdpr", "header", "menu", "modal", "nav", "navbar", "navigation", "newsletter", "notice", "pagination", "popup", "promo", "promotion", "replies", "respond", "sidebar", "signup", "sponsor", "sponsored", "subscribe", "toolbar", "topbar", "widget", "masthead", "reactions", "login"}
+BAD_ROLES = {"navigation", "banner", "contentinfo", "complementary", "dialog", "form", "menu"}
 WORDS = re.compile(r"[a-z]+|[0-9]+")
 
 
 class Element:
-    __slots__ = ("tag", "path", "out", "score", "parent")
+    """An open tag. ``path`` names its container and those around it, as a digest of the steps, so that depth costs nothing."""
 
-    def __init__(self, tag: str, path: str, out: bool, parent):
-        self.tag, self.path, self.out, self.parent, self.score = tag, path, out, parent, 0.0
+    __slots__ = ("tag", "path", "out", "score", "parent", "holder", "depth")
+
+    def __init__(self, tag: str, step: str, out: bool, parent):
+        self.tag, self.out, self.parent, self.score = tag, out, parent, 0.0
+        if parent is None:
+            self.path, self.holder, self.depth = "", self, 0
+        elif tag in CONTAINERS:
+            self.path = hashlib.blake2b(f"{parent.path}/{step}".encode("utf-8", "replace"), digest_size=12).hexdigest()
+            self.holder, self.depth = self, parent.holder.depth + 1
+        else:
+            self.path, self.holder, self.depth = parent.path, parent.holder, parent.holder.depth
 
 
 def attributes(text: str) -> dict[str, str]:
-    return {k.lower(): (v or "").strip("\"'") for k, v in ATTRIBUTE.findall(text)} if text else {}
+    """The attributes that are looked at; the first of a name counts."""
+    found: dict[str, str] = {}
+    if "class" in text or "id" in text or "role" in text or "CLASS" in text or "ID" in text or "ROLE" in text:
+        for name, value in ATTRIBUTE.findall(text):
+            if name.lower() in ("class", "id", "role"):
+                found.setdefault(name.lower(), value.strip("\"'"))
+    return found
 
 
 def left_out(tag: str, found: dict[str, str], inside_main: bool) -> bool:
     """True for parts that are never main text; a header counts as one outside articles only."""
-    if tag in LEFT_OUT or tag == "header" and not inside_main or "hidden" in found or "display:none" in found.get("style", "").replace(" ", ""):
+    if tag in LEFT_OUT or tag == "header" and not inside_main:
         return True
     if found.get("role", "").lower() in BAD_ROLES:
         return True
@@ -63,16 +81,20 @@ def blocks_of(page: str) -> list[tuple[str, Element, int]]:
     """Text blocks in page order, each with its nearest container and the length of its link text."""
     root = Element("", "", False, None)
     stack, blocks, text, links = [root], [], [], 0
-    place, in_link = 0, 0
+    place, in_link, is_open = 0, 0, Counter()  # how often each tag is open
+
+    def close(tag: str) -> None:
+        while True:
+            gone = stack.pop().tag
+            is_open[gone] -= 1
+            if gone == tag:
+                return
 
     def flush() -> None:
         nonlocal links
         joined = " ".join(html.unescape("".join(text)).split())
         if joined:
-            holder = stack[-1]
-            while holder.tag not in CONTAINERS and holder.parent is not None:
-                holder = holder.parent
-            blocks.append((joined, holder, min(links, len(joined))))
+            blocks.append((joined, stack[-1].holder, min(links, len(joined))))
         text.clear()
         links = 0
 
@@ -101,28 +123,25 @@ def blocks_of(page: str) -> list[tuple[str, Element, int]]:
             text.append(" ")
         if closing:
             in_link = 0 if tag == "a" else in_link
-            if any(e.tag == tag for e in stack[1:]):
-                while stack[-1].tag != tag:
-                    stack.pop()
-                stack.pop()
+            if is_open[tag]:
+                close(tag)
             continue
         if tag in VOID:
             continue
         if tag == "a":
             in_link = 1
         if tag in CLOSES_P and any(e.tag == "p" for e in stack[-6:]):
-            while stack[-1].tag != "p":
-                stack.pop()
-            stack.pop()
+            close("p")
         if tag == "li" and stack[-1].tag == "li":
-            stack.pop()
+            close("li")
         if tag not in BLOCKS and tag != "span":  # inline elements don't hold blocks together
             continue
         found = attributes(m.group(3))
         parent = stack[-1]
-        out = parent.out or left_out(tag, found, any(e.tag in ("article", "main") for e in stack))
+        out = parent.out or left_out(tag, found, is_open["article"] + is_open["main"] > 0)
         name = tag + "".join("." + re.sub("[0-9]+", "0", c) for c in sorted(found.get("class", "").split()))
-        stack.append(Element(tag, parent.path + "/" + name if tag in CONTAINERS else parent.path, out, parent))
+        stack.append(Element(tag, name, out, parent))
+        is_open[tag] += 1
     flush()
     return blocks
 
@@ -135,14 +154,12 @@ def scored_containers(blocks: list[tuple[str, Element, int]]) -> list[Element]:
         while node is not None and worth > 0.5:
             node.score += worth * (1.2 if node.tag in ("article", "main") else 1.0)
             scored[id(node)] = node
-            node, worth = node.parent, worth / 2
-            while node is not None and node.tag not in CONTAINERS:
-                node = node.parent
+            node, worth = node.parent and node.parent.holder, worth / 2
     return list(scored.values())
 
 
 def best_container(scored: list[Element]) -> Element | None:
-    return max(scored, key=lambda e: (e.score, -len(e.path)), default=None)
+    return max(scored, key=lambda e: (e.score, -e.depth, e.path), default=None)
 
 
 def path_scores(scored: list[Element]) -> dict[str, float]:
@@ -154,33 +171,45 @@ def path_scores(scored: list[Element]) -> dict[str, float]:
     return out
 
 
-def inside(node: Element, path: str) -> bool:
-    while node is not None:
-        if node.path == path and node.tag in CONTAINERS:
-            return True
-        node = node.parent
-    return False
+def inside(blocks: list[tuple[str, Element, int]], path: str) -> dict[int, bool]:
+    """For each block's holder and those above it: whether it lies at ``path`` or below; each is looked at once."""
+    known: dict[int, bool] = {}
+    for _, node, _ in blocks:
+        way = []
+        while node is not None and id(node) not in known and not (node.path == path and node.tag in CONTAINERS):
+            way.append(node)
+            node = node.parent and node.parent.holder
+        found = node is not None and (known[id(node)] if id(node) in known else True)
+        known.update((id(n), found) for n in way)
+        if node is not None:
+            known[id(node)] = found
+    return known
 
 
-def chosen_path(scores: dict[str, float], votes: dict[str, int]) -> str | None:
+def chosen_path(scored: list[Element], blocks: list[tuple[str, Element, int]], votes: dict[str, int]) -> str | None:
     """The path to take on a page, of those that its host's pages voted for."""
+    scores, depth = path_scores(scored), {e.path: e.depth for e in scored}
     voted = [p for p in scores if votes.get(p)]
     if not voted:
         return None
-    path = max(voted, key=lambda p: (scores[p] * math.log1p(votes[p]), scores[p], len(p), p))
-    below = [p for p in voted if p.startswith(path + "/") and scores[p] > scores[path]]
-    return max(below, key=lambda p: (scores[p], len(p), p), default=path)
+    path = max(voted, key=lambda p: (scores[p] * math.log1p(votes[p]), scores[p], depth[p], p))
+    under = inside(blocks, path)
+    below = {e.path for e in scored if under.get(id(e)) and votes.get(e.path) and scores.get(e.path, 0.0) > scores[path]}
+    return max(below, key=lambda p: (scores[p], depth[p], p), default=path)
 
 
 def main_text(page: str | None, votes: dict[str, int]) -> str:
     """Blocks at the chosen path, joined by empty lines."""
     blocks = blocks_of(page or "")
     scored = scored_containers(blocks)
-    path = chosen_path(path_scores(scored), votes)
+    path = chosen_path(scored, blocks, votes)
     if path is None:
         best = best_container(scored)
         path = best.path if best is not None else None
-    return "\n\n".join(t for t, holder, _ in blocks if inside(holder, path)) if path is not None else ""
+    if path is None:
+        return ""
+    under = inside(blocks, path)
+    return "\n\n".join(t for t, holder, _ in blocks if under[id(holder)])
 
 
 def extract(pages: DataFrame, html_column: str = "html", url_column: str = "url", id_column: str = "page_id") -> DataFrame:
