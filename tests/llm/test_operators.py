@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import re
 import zlib
+from html.parser import HTMLParser
 
 import numpy as np
 import pytest
@@ -236,6 +237,32 @@ def test_pii_against_plain_patterns(spark, documents, odd):
     assert pii.find_spans(empty(odd), model=model).count() == 0
 
 
+def test_pii_many_spans_in_one_text_and_overlaps(spark):
+    import time
+
+    model = pii.train(spark)
+    text = " ".join(f"a{i}@b.co call (020) 555-{i % 10000:04d}, 10.0.{i % 200}.7" for i in range(7000))
+    rows = [(1, text), (2, "card 4111 1111 1111 1112 and card 4111 1111 1111 1111"), (3, "+1 (017) 555-7713 call (017) 555-7713"), (4, "the order no 4111 1111 1111 1112")]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    began = time.time()
+    got = {r.doc_id: r for r in pii.digests(pii.find_spans(docs, model=model)).collect()}
+    assert time.time() - began < 60
+    assert got[1].n_email == got[1].n_ip == 7000 and len(got[1].spans.split(",")) == 21000
+    assert got[2].spans == "card_like:5:24,card:34:53" and got[4].spans == ""
+    assert got[3].spans == "phone:0:17,phone_local:23:37"
+    clean = {r.doc_id: r.text for r in pii.redact(docs, model=model).collect()}
+    assert clean[2] == "card [CARD_LIKE] and card [CARD]" and clean[3] == "[PHONE] call [PHONE_LOCAL]" and clean[1].count("[IP]") == 7000
+
+
+def test_pii_held_out_precision(spark):
+    trees, x, y = pii.fitted(spark, pii.EXAMPLES)
+    margins = np.array([sum(pii.value(t, row) for t in trees) for row in x])
+    cut = pii.smallest_cut(margins, y, pii.PRECISION)
+    taken = margins >= cut
+    assert np.isfinite(cut) and y[taken].mean() >= pii.PRECISION and y[taken].sum() / y.sum() > 0.3
+    assert 0.05 < y[margins >= 0].mean() < 1  # neither format nor context tells all
+
+
 def vectors(spark, rows):
     return spark.createDataFrame(rows, "vec_id bigint, embedding array<float>").withColumn("label", F.lit(0))
 
@@ -295,6 +322,67 @@ def test_pages(spark):
     assert [got[i] for i in range(3)] == [wanted.format(i) for i in range(3)] and got[8] == "" and len(got) == 5
 
 
+class ArticleText(HTMLParser):
+    """Blocks of text inside ``article``, read by the standard library's parser."""
+
+    def __init__(self):
+        super().__init__()
+        self.inside, self.blocks = 0, [""]
+
+    def handle_starttag(self, tag, attrs):
+        self.inside += tag == "article"
+        if tag in pages.BLOCKS:
+            self.blocks.append("")
+        elif tag == "br":
+            self.blocks[-1] += " "
+
+    def handle_endtag(self, tag):
+        self.inside -= tag == "article"
+        if tag in pages.BLOCKS:
+            self.blocks.append("")
+
+    def handle_data(self, data):
+        if self.inside:
+            self.blocks[-1] += data
+
+
+def test_pages_against_a_plain_parser(spark, sf_dir):
+    table = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    got = {r.page_id: r.text for r in pages.extract(table).collect()}
+    wanted = {}
+    for r in table.collect():
+        parser = ArticleText()
+        parser.feed(r.html or "")
+        parser.close()
+        wanted[r.page_id] = "\n\n".join(" ".join(b.split()) for b in parser.blocks if b.strip())
+    assert len(got) == len(wanted) and got == wanted
+
+
+def test_odd_pages(spark):
+    import time
+
+    story = "<p>some words that are long enough to count here</p>"
+    odd = {
+        1: "<body>" + story + "<a " + " ".join(f'a{i}="x" b="' for i in range(1000)),
+        2: "<body>" + story + "<a " * 100_000,
+        3: "<div>" * 20_000 + story,
+        4: "<!" * 100_000,
+        5: '<body><p title="a hidden gem">A</p>' + story,
+        6: '<body><div aria-hidden="false"><p>B</p></div>' + story,
+        7: '<body><p data-id="menu">C</p>' + story,
+        8: '<body><section class="search-results-study">D</section>' + story,
+        9: '<body><div class="side menu">E</div>' + story,
+    }
+    rows = [(i, f"http://h{i}/", t) for i, t in odd.items()] + [(1, "http://h1/", odd[1])]
+    table = spark.createDataFrame(rows, "page_id bigint, url string, html string").withColumn("key", F.lit(1)).withColumn("votes", F.lit("x"))
+    began = time.time()
+    got = pages.extract(table).collect()
+    assert time.time() - began < 60 and len(got) == 10
+    begins = {r.page_id: r.text[:4] for r in got}
+    assert begins == {1: "some", 2: "some", 3: "some", 4: "", 5: "A\n\ns", 6: "B\n\ns", 7: "C\n\ns", 8: "D\n\ns", 9: "some"}
+    assert pages.extract(table.limit(0)).count() == 0
+
+
 def test_pages_of_a_host_with_many_layouts(spark):
     teaser = "<div class='tease'><p>A teaser that stands on many pages of this host.</p></div>"
     story = lambda k, i: f"<p>Story {i} of layout {k} has a long paragraph with many words in it.</p><p>Its second paragraph is long as well, and ends number {i}.</p>"
