@@ -1,15 +1,17 @@
 """Near-duplicate vectors by navigable small-world graphs per shard (op 9).
 
 Rows are dealt by hash into shards of bounded size; each shard's vectors form a hierarchical graph (layers
-halving by a fixed factor, links chosen by nearness). Every block of vectors queries every shard: a greedy
-descent through the layers, then a beam at the bottom, all queries of a block in
+halving by a fixed factor, links chosen by nearness), which one task builds and stores with the vectors. The task also
+queries the shard with its own vectors, which gives the shard's linked groups. Then every shard queries every shard
+behind it with the stored graph: a greedy descent through the layers, then a beam at the bottom, all queries in
 lockstep, and from the links that it finds on over neighbours near the threshold, so that large
 groups need no wide beam. A task audits queries against the whole
 shard until it has seen a fixed number that have links there (rare links: all queries, which settles them), and
-widens beams until the audit finds every link; where it still doesn't, the block is computed exactly. Cosines are in double precision; the graph only proposes.
+widens beams until the audit finds every link; where it still doesn't, the block is computed exactly. Cosines are in
+double precision; the graph only proposes. A link is found once and counts at both ends.
 
-A task returns, per query, how many links it found and one link into each of the shard's own
-linked groups, so large groups give no square of rows. Equal vectors are one node that counts
+A task returns link counts of its rows and which groups of two shards are linked, so a large group gives as many rows as
+it has members, not their square. Equal vectors are one node that counts
 for all its rows. Vectors that are null or zero, or hold null or non-finite components, are
 components of their own without links. Extra columns are not read; an empty table gives no rows.
 """
@@ -22,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkloom.llm.ann import usable
-from sparkloom.llm.common import connected_components, materialize
+from sparkloom.llm.common import Workspace, connected_components, materialize
 
 SHARD, SHARDS_AT_LEAST, DEGREE, BEAM, WIDEST, AUDIT = 20_000, 4, 16, 32, 512, 64
 
@@ -41,6 +43,31 @@ class Graph:
             nodes = order[: (level >= at).sum()]
             self.layers.append((nodes, self.link(nodes)))
 
+    def stored(self) -> list[bytes]:
+        """For each node its place in the order of insertion and its neighbour rows, from the bottom layer up."""
+        order = self.layers[-1][0] if self.layers else np.empty(0, np.int64)
+        rows = [[np.array([i], "<i4")] for i in range(len(order))]
+        for _, table in reversed(self.layers):
+            for i, row in enumerate(table):
+                rows[i].append(row.astype("<i4"))
+        out = [b""] * len(order)
+        for node, parts in zip(order.tolist(), rows, strict=True):
+            out[node] = np.concatenate(parts).tobytes()
+        return out
+
+    @classmethod
+    def restored(cls, x: np.ndarray, stored: list[bytes]) -> "Graph":
+        """The graph of :meth:`stored`'s rows, in the order of ``x``."""
+        graph, parts = cls.__new__(cls), [np.frombuffer(s, "<i4") for s in stored]
+        order = np.argsort([p[0] for p in parts])
+        heights = np.array([(len(parts[i]) - 1) // (2 * DEGREE) for i in order])
+        graph.x, graph.layers = x, []
+        for at in range(heights.max(), 0, -1):
+            count = int((heights >= at).sum())  # higher nodes come first
+            rows = [parts[i][1 + (at - 1) * 2 * DEGREE : 1 + at * 2 * DEGREE] for i in order[:count]]
+            graph.layers.append((order[:count], np.stack(rows).astype(np.int64)))
+        return graph
+
     def link(self, nodes: np.ndarray) -> np.ndarray:
         """Neighbour table of one layer: by beam search in the part that stands, and links back."""
         n, most = len(nodes), 2 * DEGREE
@@ -198,22 +225,27 @@ def linked(graph: Graph, queries: np.ndarray, least: float, seed: int = 1, own:
     return [truth[q] for q in range(len(queries))]
 
 
-def groups_of(pairs: list[np.ndarray]) -> np.ndarray:
-    """Smallest node of each node's linked group, by union-find."""
-    root = np.arange(len(pairs))
+def both_ways(pairs: list[np.ndarray]) -> list[np.ndarray]:
+    """The same links of nodes among themselves, each at both of its ends."""
+    n = len(pairs)
+    row, other = np.repeat(np.arange(n), [len(p) for p in pairs]), np.concatenate([*pairs, np.empty(0, np.int64)]).astype(np.int64)
+    keys = np.unique(np.concatenate([row * n + other, other * n + row]))
+    return np.split(keys % max(n, 1), np.searchsorted(keys // max(n, 1), np.arange(1, n)))
 
-    def find(i: int) -> int:
-        while root[i] != i:
-            root[i] = root[root[i]]
-            i = root[i]
-        return i
 
-    for i, row in enumerate(pairs):
-        for j in row:
-            a, b = find(i), find(int(j))
-            if a != b:
-                root[max(a, b)] = min(a, b)
-    return np.array([find(i) for i in range(len(pairs))])
+def groups_of(pairs: list[np.ndarray]) -> np.ndarray:
+    """Smallest node of each node's linked group; links stand at both ends. Labels sink over links and over themselves."""
+    n = len(pairs)
+    label = np.arange(n)
+    flat = np.concatenate([np.append(p, i) for i, p in enumerate(pairs)]).astype(np.int64) if n else label
+    begin = np.cumsum([0, *[len(p) + 1 for p in pairs]])[:-1]
+    while n:
+        low = np.minimum.reduceat(label[flat], begin)
+        low = np.minimum(low, low[low])
+        if (low == label).all():
+            break
+        label = low
+    return label
 
 
 def units(rows: pd.DataFrame) -> np.ndarray:
@@ -223,40 +255,58 @@ def units(rows: pd.DataFrame) -> np.ndarray:
 
 def near_duplicates(vectors: DataFrame, vector: str = "embedding", id_column: str = "vec_id", least: float = 0.9) -> DataFrame:
     """``(id, n_links, component_id, kept)`` a row."""
-    fine = usable(vectors, vector, id_column)
-    nodes = materialize(fine.groupBy("v").agg(F.min("id").alias("id"), F.count("*").alias("n")), "nodes")
+    work = Workspace(vectors.sparkSession, "links")
+    name = lambda v: F.md5(F.array_join(v.cast("array<string>"), ",", "null"))
+    fine = usable(vectors, vector, id_column).withColumn("name", name(F.col("v")))
+    nodes = work.keep(fine.groupBy("name").agg(F.any_value("v").alias("v"), F.min("id").alias("id"), F.count("*").alias("n")), "nodes")
     count = nodes.count()
     shards = max(SHARDS_AT_LEAST, -(-count // SHARD))
-    nodes = nodes.withColumn("shard", F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int")).withColumn("w", F.size("v"))
-    every = F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))
-    asked = nodes.select("id", "v", "w", F.col("shard").alias("block"), every.alias("shard"))
-    held = nodes.select("id", "v", "n", "w", "shard", every.alias("block"))
+    dealt = nodes.select("id", "v", "n", F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int").alias("shard"), F.size("v").alias("w"))
+
+    def grow(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("id")
+        x, ids, n = units(rows), rows["id"].to_numpy(), rows["n"].to_numpy()
+        graph = Graph(x)
+        found = both_ways(linked(graph, x, least, own=True))
+        others = [int(n[row].sum() - n[i] * (row == i).sum()) for i, row in enumerate(found)]
+        return rows.assign(family=ids[groups_of(found)], links=others, graph=graph.stored())
+
+    grown = work.keep(dealt.groupBy("w", "shard").applyInPandas(grow, "id bigint, v array<double>, n bigint, shard int, w int, family bigint, links bigint, graph binary"), "graphs")
+    behind = F.explode(F.sequence(F.col("shard") + 1, F.lit(shards - 1)))
+    before = F.explode(F.sequence(F.lit(0), F.col("shard") - 1))
+    asked = grown.where(F.col("shard") < shards - 1).select("id", "v", "n", "w", "family", F.col("shard").alias("block"), behind.alias("shard"))
+    held = grown.where("shard > 0").select("id", "v", "n", "w", "family", "graph", "shard", before.alias("block"))
 
     def meet(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        if len(left) and len(right):
-            left, right = left.sort_values("id"), right.sort_values("id")
-            x, ids, n = units(right), right["id"].to_numpy(), right["n"].to_numpy()
-            graph = Graph(x)
-            same = left["block"].iloc[0] == right["shard"].iloc[0]
-            found = linked(graph, units(left), least, own=same)
-            own = groups_of(found) if same else np.arange(len(ids))
-            for query, row in zip(left["id"], found, strict=True):
-                row = row[ids[row] != query]
-                if len(row):
-                    ends = ids[np.unique(own[row])] if len(own) else ids[row]
-                    out.append((query, int(n[row].sum()), ends.tolist()))
-        return pd.DataFrame(out, columns=["id", "links", "ends"])
-
-    found = materialize(asked.groupBy("w", "block", "shard").cogroup(held.groupBy("w", "block", "shard")).applyInPandas(meet, "id bigint, links bigint, ends array<bigint>"), "links")
-    edges = found.select("id", F.explode("ends").alias("end"))
-    total = found.groupBy("id").agg(F.sum("links").alias("links"))
-    named = connected_components(edges, "id", "end")
-    named = nodes.select("v", F.col("id").alias("node"), "n").join(named, "node", "left").join(total.withColumnRenamed("id", "node"), "node", "left")
-    named = named.select("v", F.coalesce("component", "node").alias("component"), (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("links"))
-    rows = vectors.select(F.col(id_column), F.col(vector).cast("array<double>").alias("v"))
+        if not len(left) or not len(right):
+            return pd.DataFrame({"id": [], "links": [], "family": [], "other": []}).astype("int64")
+        left, right = left.sort_values("id"), right.sort_values("id")
+        graph = Graph.restored(units(right), right["graph"].to_list())
+        found = linked(graph, units(left), least)
+        many, other = left["n"].to_numpy(), right["n"].to_numpy()
+        here, there, pairs = np.zeros(len(left), np.int64), np.zeros(len(right), np.int64), set()
+        families, their = left["family"].to_numpy(), right["family"].to_numpy()
+        for i, row in enumerate(found):
+            if len(row):
+                here[i] = other[row].sum()
+                there[row] += many[i]
+                pairs.update((int(families[i]), int(f)) for f in np.unique(their[row]))
+        counts = pd.DataFrame({"id": np.concatenate([left["id"], right["id"]]), "links": np.concatenate([here, there])})
+        joined = pd.DataFrame(sorted(pairs), columns=["family", "other"], dtype="Int64")
+        return pd.concat([counts[counts["links"] > 0].astype("Int64"), joined])[["id", "links", "family", "other"]]
+
+    found = asked.groupBy("w", "block", "shard").cogroup(held.groupBy("w", "block", "shard")).applyInPandas(meet, "id bigint, links bigint, family bigint, other bigint")
+    found = work.keep(found, "found")
+    more = found.where("id IS NOT NULL").groupBy("id").agg(F.sum("links").alias("more"))
+    named = connected_components(found.where("family IS NOT NULL").select("family", "other"), "family", "other")
+    placed = grown.select("id", "links", "family").join(more, "id", "left").join(named.withColumnRenamed("node", "family"), "family", "left")
+    placed = nodes.select("name", "id", "n").join(placed, "id")
+    placed = placed.select("name", F.coalesce("component", "family").alias("component"), (F.col("links") + F.coalesce("more", F.lit(0)) + F.col("n") - 1).alias("links"))
+    placed = materialize(placed, "linked")
+    work.drop("nodes", "graphs", "found")
+    rows = vectors.select(F.col(id_column), name(F.col(vector).cast("array<double>")).alias("name"))
     ids = F.col(id_column).cast("bigint")
-    joined = rows.join(named, "v", "left")
+    joined = rows.join(placed, "name", "left")
     part = F.col("links").isNotNull() & ids.isNotNull()
     component = F.when(part, F.col("component")).otherwise(ids)
     return joined.select(id_column, F.when(part, F.col("links")).otherwise(0).alias("n_links"), component.alias("component_id"), F.coalesce(component == ids, F.lit(True)).alias("kept"))
