@@ -2,10 +2,10 @@
 
 The tree is fitted on a bounded sample (``SAMPLE`` vectors by hash order), so it has a bounded
 size and travels with the tasks. Every row is put into a leaf; a leaf's rows fall into blocks of
-bounded size, so that many equal vectors don't meet in one task. A query visits leaves in the order of a
+bounded size, and so do its queries, so that many equal vectors don't meet in one task. A query visits leaves in the order of a
 priority queue over lower distances to centres; how many is calibrated: a bounded set of
 queries (``AUDIT``) is compared with all rows, and the smallest number of visits that reaches
-``RECALL`` is taken, widening up to all leaves.
+``RECALL`` is taken, widening up to all leaves, and for each query until its leaves hold enough candidates.
 
 Vectors that are null or zero, hold null or non-finite components, or have another length than
 most take no part. Repeated ids stay separate candidates, but for the query's own id. An empty table gives no
@@ -26,6 +26,10 @@ from sparkloom.llm.common import materialize
 
 SAMPLE, BRANCHES, LEAF, AUDIT, RECALL = 16_000, 8, 64, 128, 0.97
 BLOCK_ROWS = 4096
+#: Queries of a leaf that meet a block in one task.
+BLOCK_QUERIES = 1024
+#: Rows with the query's own id that a search passes over before it could lack candidates.
+OWN_ROWS = 16
 
 
 def usable(vectors: DataFrame, vector: str, id_column: str) -> DataFrame:
@@ -77,10 +81,10 @@ class Tree:
             stack += [(child, own[near == j]) for j, child in enumerate(self.children[node]) if (near == j).any()]
         return out
 
-    def visit(self, query: np.ndarray, most: int) -> list[int]:
-        """Leaves in best-bin-first order: always on to the open branch with the nearest centre."""
-        queue, out = [(0.0, self.root)], []
-        while queue and len(out) < most:
+    def visit(self, query: np.ndarray, most: int, sizes: dict[int, int] | None = None, rows: int = 0) -> list[int]:
+        """Leaves in best-bin-first order: always on to the open branch with the nearest centre; more than ``most`` until they hold ``rows`` rows."""
+        queue, out, held = [(0.0, self.root)], [], 0
+        while queue and (len(out) < most or held < rows):
             _, node = heapq.heappop(queue)
             while node >= 0:
                 apart = ((self.centres[node] - query) ** 2).sum(1)
@@ -89,6 +93,7 @@ class Tree:
                     heapq.heappush(queue, (float(apart[j]), self.children[node][j]))
                 node = self.children[node][order[0]]
             out.append(-node - 1)
+            held += sizes.get(-node - 1, 0) if sizes else 0
         return out
 
 
@@ -132,7 +137,9 @@ def search(vectors: DataFrame, queries: DataFrame, vector: str = "embedding", id
                 yield batch.assign(leaf=tree.assign(np.stack(batch["v"].to_list())))
 
     placed = materialize(rows.mapInPandas(assign, "id bigint, v array<double>, leaf bigint"), "leaves")
-    blocks = placed.groupBy("leaf").agg(F.ceil(F.count("*") / BLOCK_ROWS).alias("blocks"))
+    in_leaf = placed.groupBy("leaf").agg(F.count("*").alias("rows"))
+    sizes = {r["leaf"]: r["rows"] for r in in_leaf.collect()}  # bounded by the tree, which is fitted on a bounded sample
+    blocks = in_leaf.select("leaf", F.ceil(F.col("rows") / BLOCK_ROWS).alias("blocks"))
     placed = placed.join(blocks, "leaf").withColumn("block", F.pmod(F.xxhash64("id"), "blocks"))
 
     # calibration: the true neighbours' leaves against the order of visits
@@ -157,13 +164,17 @@ def search(vectors: DataFrame, queries: DataFrame, vector: str = "embedding", id
 
     def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield batch.assign(leaf=[tree.visit(np.asarray(v), visits) for v in batch["v"]])
+            yield batch.assign(leaf=[tree.visit(np.asarray(v), visits, sizes, k + OWN_ROWS) for v in batch["v"]])
 
     routed = asked.mapInPandas(route, "query_id bigint, v array<double>, leaf array<bigint>").select("query_id", "v", F.explode("leaf").alias("leaf"))
-    routed = routed.join(blocks, "leaf").select("query_id", "v", "leaf", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
+    routed = materialize(routed, "routed")
+    parts = routed.groupBy("leaf").agg(F.ceil(F.count("*") / BLOCK_QUERIES).alias("parts"))
+    routed = routed.join(blocks, "leaf").join(parts, "leaf").withColumn("part", F.pmod(F.xxhash64("query_id"), "parts"))
+    routed = routed.select("query_id", "v", "leaf", "part", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
+    met = placed.join(parts, "leaf").select("id", "v", "leaf", "block", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
 
     def meet(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         return closest(left, right, k) if len(left) and len(right) else pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
 
-    found = routed.groupBy("leaf", "block").cogroup(placed.groupBy("leaf", "block")).applyInPandas(meet, "query_id bigint, vec_id bigint, score double")
+    found = routed.groupBy("leaf", "block", "part").cogroup(met.groupBy("leaf", "block", "part")).applyInPandas(meet, "query_id bigint, vec_id bigint, score double")
     return top(found, k)
