@@ -1,6 +1,7 @@
 """Near-duplicate groups by SuperMinHash signatures, banding, exact verification and union-find (op 4).
 
-Rows with the same shingle set form one class; links are looked for between classes only.
+Rows with the same shingle set form one class, named by the 128-bit digest of the set; links are looked for between
+classes only, so several rows of one doc_id with different texts keep all their links.
 1. Signatures (SuperMinHash with Fisher-Yates ranks, all documents of a batch at a time) fall
    into bands; a bucket is a band value that several classes share.
 2. Each class is verified against the most central class of its buckets (the one with most bucket mates).
@@ -141,23 +142,20 @@ def chunked(group: list[np.ndarray]) -> np.ndarray:
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame, text: str, id_column: str, size: int) -> DataFrame:
-    """``(rep, elements)``: the full set of each wanted row as sorted 64-bit bytes."""
+    """``(rep, elements)``: the full set of each wanted class as sorted 64-bit bytes; read from rows with the class's smallest id."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHash()
         for batch in batches:
-            found = [shingles(x.as_py(), hashes, size) for x in batch.column(1)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([hashlib.md5(s.tobytes()).digest() for s in found], pa.binary()), pa.array([s.tobytes() for s in found], pa.binary())],
-                names=["rep", "set_key", "elements"],
-            )
+            found = [shingles(x.as_py(), hashes, size) for x in batch.column(0)]
+            yield pa.RecordBatch.from_arrays([pa.array([hashlib.md5(s.tobytes()).digest() for s in found], pa.binary()), pa.array([s.tobytes() for s in found], pa.binary())], names=["rep", "elements"])
             if len(hashes) > hashes.MOST:
                 hashes.clear()
 
-    chosen = docs.select(F.col(id_column).alias("rep"), text).join(few(wanted.select("rep").distinct(), 16), "rep", "left_semi")
-    made = chosen.mapInArrow(run, "rep bigint, set_key binary, elements binary")
-    # a doc_id may occur on several rows: keep the row whose set is the class's
-    return made.join(few(wanted.select("rep", "set_key"), 40), ["rep", "set_key"], "left_semi").dropDuplicates(["rep"]).select("rep", "elements")
+    chosen = docs.select(F.col(id_column).alias("low_id"), text).join(few(wanted.select("low_id").distinct(), 16), "low_id", "left_semi")
+    made = chosen.select(text).mapInArrow(run, "rep binary, elements binary")
+    # an id may stand on several rows of different classes
+    return made.join(few(wanted.select("rep"), 40), "rep", "left_semi").dropDuplicates(["rep"])
 
 
 def agreement(a: pd.Series, b: pd.Series) -> pd.Series:
@@ -181,7 +179,7 @@ def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     left = sets.select(F.col("rep").alias("a"), F.col("elements").alias("set_a"))
     right = sets.select(F.col("rep").alias("b"), F.col("elements").alias("set_b"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "set_a", "set_b").mapInArrow(run, "a bigint, b bigint")
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "set_a", "set_b").mapInArrow(run, "a binary, b binary")
 
 
 def components_of(nodes: DataFrame, links: DataFrame) -> DataFrame:
@@ -197,7 +195,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", id_column: str = "doc_i
     kind = docs.schema[id_column].dataType
     docs = docs.withColumn(id_column, F.col(id_column).cast("bigint"))
     rows = materialize(signatures(docs, text, id_column, size), "signatures")
-    classes = rows.where(F.col("n") > 0).where(F.col(id_column).isNotNull()).groupBy("set_key").agg(F.min(id_column).alias("rep"), F.min("n").alias("n"), F.min("signature").alias("signature"))
+    classes = rows.where(F.col("n") > 0).where(F.col(id_column).isNotNull()).groupBy(F.col("set_key").alias("rep")).agg(F.min(id_column).alias("low_id"), F.min("n").alias("n"), F.min("signature").alias("signature"))
     width = 4 * BAND_ROWS
     bands = [F.struct(F.lit(i).alias("band"), F.substring("signature", i * width + 1, width).alias("value")) for i in range(BANDS)]
     banded = classes.select("rep", F.explode(F.array(*bands)).alias("x")).select("rep", F.xxhash64("x.band", "x.value").alias("bucket"))
@@ -205,16 +203,16 @@ def near_duplicates(docs: DataFrame, text: str = "text", id_column: str = "doc_i
     shared = materialize(banded.join(sizes, "bucket"), "buckets")
     central = shared.groupBy("rep").agg(F.sum("mates").alias("mates_of_rep"))
     ranked = shared.join(central, "rep")
-    best = F.struct(F.col("mates_of_rep").alias("w"), (-F.col("rep")).alias("r"))
+    best = F.struct("mates_of_rep", "rep")
     pivots = ranked.groupBy("bucket").agg(F.max(best).alias("pivot"))
     stars = (
         ranked.join(pivots, "bucket")
         .groupBy("rep")
         .agg(F.max("pivot").alias("pivot"))
-        .select(F.col("rep").alias("a"), (-F.col("pivot.r")).alias("b"))
+        .select(F.col("rep").alias("a"), F.col("pivot.rep").alias("b"))
         .where("a <> b")
     )
-    involved = materialize(classes.select("rep", "n", "set_key", "signature").join(central.select("rep"), "rep", "left_semi"), "involved")
+    involved = materialize(classes.join(central.select("rep"), "rep", "left_semi"), "involved")
     sets = materialize(sets_of(docs, involved, text, id_column, size), "sets")
     links = materialize(verify(stars, sets, percent), "links")
     placed = materialize(components_of(involved.select("rep"), links), "placed")
@@ -228,7 +226,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", id_column: str = "doc_i
     near = small.withColumnRenamed("rep", "a").join(other, "bucket").where("a < b AND component <> component_b").select("a", "b").distinct()
     # rare shingles of the classes in large buckets
     large = open_rows.where(F.col("mates") > PAIRWISE).select("rep", "component").distinct()
-    elements = large.join(sets, "rep").mapInArrow(_explode, "rep bigint, component bigint, n bigint, element bigint")
+    elements = large.join(sets, "rep").mapInArrow(_explode, "rep binary, component binary, n bigint, element bigint")
     elements = materialize(elements, "elements")
     counted = elements.groupBy("element").agg(F.count("*").alias("df"))
     order = Window.partitionBy("rep").orderBy("df", "element")
@@ -263,8 +261,10 @@ def near_duplicates(docs: DataFrame, text: str = "text", id_column: str = "doc_i
     )
     more = verify(candidates, sets, percent)
     links = materialize(links.union(more), "links")
-    final = components_of(involved.select("rep"), links)
-    named = classes.select("set_key", "rep").join(final, "rep", "left").select("set_key", F.coalesce("component", "rep").alias("component_id"))
+    final = involved.select("rep", "low_id").join(components_of(involved.select("rep"), links), "rep")
+    lowest = final.groupBy("component").agg(F.min("low_id").alias("least"))
+    final = final.join(lowest, "component").select("rep", "least")
+    named = classes.join(final, "rep", "left").select(F.col("rep").alias("set_key"), F.coalesce("least", "low_id").alias("component_id"))
     out = rows.select(id_column, F.col("n").alias("n_shingles"), "set_key").join(named, "set_key", "left")
     own = F.when((F.col("n_shingles") > 0) & F.col(id_column).isNotNull(), F.col("component_id")).otherwise(F.col(id_column))
     out = out.select(id_column, "n_shingles", own.alias("component_id"))
@@ -277,4 +277,4 @@ def _explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rep, component, data in zip(*(batch.column(i) for i in range(3)), strict=True):
             found = np.frombuffer(data.as_py(), np.int64)
             n = len(found)
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(n, rep.as_py())), pa.array(np.full(n, component.as_py())), pa.array(np.full(n, n)), pa.array(found)], names=["rep", "component", "n", "element"])
+            yield pa.RecordBatch.from_arrays([pa.repeat(rep, n), pa.repeat(component, n), pa.array(np.full(n, n)), pa.array(found)], names=["rep", "component", "n", "element"])

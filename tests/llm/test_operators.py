@@ -461,3 +461,35 @@ def test_queries_with_sql(spark, sf_dir, sql, name):
     from tests.conftest import check_against_sql
 
     check_against_sql(spark, sf_dir, sql, catalogue.queries()[name], catalogue.oracle_sql()[name])
+
+
+def test_minhash_keeps_links_of_rows_that_share_an_id(spark):
+    words = lambda k: " ".join(f"w{k}_{i}" for i in range(60))
+    rows = [(1, words("a")), (1, words("b")), (2, words("a") + " x"), (3, words("b") + " y"), (4, words("c"))]
+    got = {(r.doc_id, r.component_id) for r in minhash.near_duplicates(spark.createDataFrame(rows, SCHEMA), size=4).collect()}
+    assert got == {(1, 1), (2, 1), (3, 1), (4, 4)}
+
+
+def test_search_with_few_candidates_and_ties(spark):
+    rows = [(i, [1.0, float(i % 3)]) for i in range(8)] + [(500, [1.0]), (501, [2.0])]
+    table = vectors(spark, rows).withColumn("id", F.lit(1)).withColumn("leaf", F.lit("x"))
+    got = ann.search(table, table.where("vec_id = 0")).orderBy("rank").collect()
+    assert [(r.rank, r.vec_id, r.score) for r in got] == [(1, 3, 0.0), (2, 6, 0.0), (3, 1, 1.0), (4, 4, 1.0), (5, 7, 1.0), (6, 2, 2.0), (7, 5, 2.0)]
+
+
+def test_links_grow_with_a_group_not_with_its_square(spark):
+    rng = np.random.default_rng(12)
+    base = rng.normal(size=8)
+    rows = [(i, [float(v) for v in base + rng.normal(size=8) * 0.02]) for i in range(400)] + [(1000 + i, rows) for i, rows in enumerate([[1.0] * 3, [2.0] * 3, None])]
+    table = vectors(spark, rows).withColumn("v", F.lit(1)).withColumn("shard", F.lit("x"))
+    got = links.near_duplicates(table).toPandas().set_index("vec_id")
+    assert (got.loc[range(400)].n_links == 399).all() and (got.loc[range(400)].component_id == 0).all()
+    assert got.loc[1001].component_id == 1000 and got.loc[1002].n_links == 0
+
+
+def test_stored_graphs_are_restored():
+    x = np.random.default_rng(13).normal(size=(700, 8))
+    graph = links.Graph(x)
+    again = links.Graph.restored(x, graph.stored())
+    assert len(graph.layers) == len(again.layers)
+    assert all((a == c).all() and (b == d).all() for (a, b), (c, d) in zip(graph.layers, again.layers, strict=True))
