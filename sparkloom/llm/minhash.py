@@ -52,7 +52,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 class WordHash(dict):
     """Word to a 64-bit hash; bounded."""
 
-    MOST = 1_000_000
+    MOST = 400_000
 
     def __missing__(self, word: bytes) -> int:
         found = xxhash.xxh3_64_intdigest(word)

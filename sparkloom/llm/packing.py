@@ -51,12 +51,12 @@ class WordIds:
     go through the library whole. The table is cleared when it is full, and serves all tasks of a worker process.
     """
 
-    MOST, LONGEST = 600_000, 80
+    MOST, LONGEST = 300_000, 80
     LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
     #: A mark behind another: these are one piece, which a space would part.
     MARKS_MEET = re.compile(r"[.,] (?<=[^\w\s].\x20)")
     #: Characters of the texts that are laid out together.
-    CHARACTERS = 6_000_000
+    CHARACTERS = 4_000_000
     shared: dict[str, WordIds] = {}
 
     def __init__(self, path: str):

@@ -48,7 +48,7 @@ def buckets_of(word: str) -> Iterator[int]:
 class WordTable(dict):
     """Word to what ``value`` makes of its features; cleared when it has grown too large."""
 
-    MOST = 500_000
+    MOST = 350_000
 
     def __init__(self, value):
         self.value = value

@@ -72,7 +72,7 @@ class Words:
     """Words as units: what stands between white space; in scripts without spaces, each character."""
 
     width = 8
-    MOST = 1_000_000
+    MOST = 400_000
     # Thai to Tibetan, Burmese, Khmer, then kana, Han and their forms of full width
     SPACELESS = "\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff"
     ANY = re.compile(f"[{SPACELESS}]")

@@ -203,9 +203,9 @@ class WordCache:
     words all do so decodes to itself; others are decoded by the library.
     """
 
-    MOST, LONGEST, SHORT = 600_000, 80, 24
+    MOST, LONGEST, SHORT = 400_000, 80, 24
     #: Characters of the texts that are taken together.
-    CHARACTERS = 6_000_000
+    CHARACTERS = 4_000_000
     shared: dict[str, WordCache] = {}
 
     def __init__(self, vocabulary: MergeVocabulary):
