@@ -25,13 +25,22 @@ def keep_best(df: DataFrame, keys: list[str], by: Column) -> DataFrame:
     return best.select(*keys, "__best.*").select(*df.columns)
 
 
-def same_keys(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
-    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
+def same_keys(left: str, right: str, keys: list[str]) -> Column:
+    """Null-safe equality of the keys of two aliased sides."""
+    return reduce(lambda a, b: a & b, [F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}")) for k in keys])
 
 
-def upsert(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows of ``source`` replace those of equal keys; the others stay."""
-    return target.join(source.select(*keys), keys, "left_anti").unionByName(source, allowMissingColumns=True)
+def upsert(target: DataFrame, source: DataFrame, keys: list[str], order: list[Column] | None = None) -> DataFrame:
+    """Rows of ``source`` replace those of equal keys; the others stay.
+
+    Null keys are keys like any other, so a replay changes nothing. Of several source rows of one key the last in
+    ``order`` wins, which must be total; without ``order`` the source must hold one row a key.
+    """
+    if order:
+        source = keep_one(source, keys, order)
+    new = source.select(*keys).distinct().alias("new")
+    kept = target.alias("old").join(new, same_keys("old", "new", keys), "left_anti")
+    return kept.unionByName(source, allowMissingColumns=True)
 
 
 def insert_absent(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:

@@ -17,7 +17,7 @@ def snake(name: str) -> str:
     return re.sub(r"_+", "_", re.sub(r"[^\w]+|\s+", "_", name)).strip("_").lower()
 
 
-def sniff_delimiter(spark: SparkSession, path: str, candidates: str = ",;|\t") -> str:
+def sniff_delimiter(spark: SparkSession, path: str, candidates: str = "|,;\t") -> str:
     """The candidate that the first line holds most often; earlier ones win ties."""
     first = spark.read.text(path).limit(1).collect()
     line = first[0][0] if first else ""
@@ -83,7 +83,9 @@ def read_xml(spark: SparkSession, path: str, row_tag: str, schema: StructType |
 
 def read_jsonl_log(spark: SparkSession, path: str) -> DataFrame:
     """A run log; broken lines are left out."""
-    return spark.read.option("mode", "DROPMALFORMED").json(path)
+    lines = spark.read.text(path).where(F.try_parse_json("value").isNotNull())
+    fields = [f for f in spark.read.json(path).schema.fields if f.name != "_corrupt_record"]
+    return lines.select(F.from_json("value", StructType(fields)).alias("row")).select("row.*")
 
 
 def read_table(spark: SparkSession, url: str, name: str, **options: str) -> DataFrame:

@@ -10,6 +10,16 @@ from sparkloom.sources import files
 from sparkloom.streaming import upserts
 
 
+def test_upsert_twice_is_once_and_the_last_wins(spark):
+    target = spark.createDataFrame([(1, "a", 0), (None, "n", 0), (3, "c", 0)], "k int, v string, at int")
+    source = spark.createDataFrame([(1, "x", 1), (1, "y", 2), (None, "m", 1), (4, "d", 1)], "k int, v string, at int")
+    once = keyed.upsert(target, source, ["k"], [F.desc("at"), F.col("v")])
+    found = {r.k: r.v for r in once.collect()}
+    assert found == {1: "y", None: "m", 3: "c", 4: "d"} and once.count() == 4
+    again = keyed.upsert(once, source.orderBy("at"), ["k"], [F.desc("at"), F.col("v")])
+    assert {tuple(r) for r in again.collect()} == {tuple(r) for r in once.collect()} and again.count() == 4
+
+
 @pytest.fixture
 def changes(spark):
     base = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "k int, v string")
