@@ -71,3 +71,51 @@ def cascade(*found: Column, least: int = 3) -> Column:
     for items in reversed(found):
         out = F.when(F.size(items) >= least, items).otherwise(out)
     return out
+
+
+#: Codes of the cantons, and words and cities that name the country.
+CANTONS = "ZH|BE|LU|UR|SZ|OW|NW|GL|ZG|FR|SO|BS|BL|SH|AR|AI|SG|GR|AG|TG|TI|VD|VS|NE|GE|JU"
+COUNTRY = "switzerland|suisse|schweiz|svizzera"
+CITIES = "zürich|genève|geneva|basel|lausanne|bern|winterthur|luzern|lugano"
+
+
+def swiss_place(place: Column) -> Column:
+    """True where a place names the country, a canton in brackets or behind a comma, a large city, or a postal code."""
+    postal = F.regexp_extract(place, r"\b([0-9]{4})\b", 1).try_cast("int")
+    named = place.rlike(rf"(?i)\b(?:{COUNTRY})\b") | place.rlike(rf"(?:\(|, )(?:{CANTONS})\b") | place.rlike(rf"(?i)\b(?:{CITIES})\b")
+    return F.coalesce(named | postal.between(1000, 9658), F.lit(False))
+
+
+def balanced_json(text: Column, marker: str) -> Column:
+    """The object that opens behind ``marker``, to its matching brace; braces in strings don't count.
+
+    Null without the marker, without a brace behind it, or if the object never ends.
+    """
+    behind = F.when(F.instr(text, marker) > 0, F.substring_index(text, marker, -1))
+    behind = F.when(F.instr(behind, "{") > 0, F.substr(behind, F.instr(behind, "{")))
+    tokens = F.regexp_extract_all(behind, F.lit(r'("[^"\\]*+(?:\\.[^"\\]*+)*+"|[{}]|[^"{}]+|")'), F.lit(1))
+    start = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("length"))
+
+    def step(state: Column, token: Column) -> Column:
+        ended = (state["length"] > 0) & (state["depth"] == 0)
+        depth = state["depth"] + F.when(token == "{", 1).when(token == "}", -1).otherwise(0)
+        return F.when(ended, state).otherwise(F.struct(depth.alias("depth"), (state["length"] + F.length(token)).alias("length")))
+
+    end = F.aggregate(tokens, start, step)
+    return F.when(end["depth"] == 0, F.substr(behind, F.lit(1), end["length"]))
+
+
+def snake(name: Column) -> Column:
+    """``shipMode`` as ``ship_mode`` (P10)."""
+    return F.lower(F.regexp_replace(name, "([a-z0-9])([A-Z])", "$1_$2"))
+
+
+def snake_keys(json: Column) -> Column:
+    """JSON text with the keys of all levels as snake case; values stay."""
+    tokens = F.regexp_extract_all(json, F.lit(r'("[^"\\]*+(?:\\.[^"\\]*+)*+"\s*:?|[^"]+)'), F.lit(1))
+    return F.array_join(F.transform(tokens, lambda t: F.when(t.startswith('"') & t.endswith(":"), snake(t)).otherwise(t)), "")
+
+
+def known(value: Column, *sentinels: str) -> Column:
+    """Null for a text that only says that nothing is known."""
+    return F.when(~F.trim(value).isin(*sentinels), value)

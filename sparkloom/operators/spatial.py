@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sparkloom.session import with_checkpoints
+
 
 def ring_area(ring: Column) -> Column:
     """Signed area of a ring of ``(x, y)`` structs: positive if counter-clockwise."""
@@ -47,6 +49,7 @@ def box_iou(a: tuple[str, str, str, str], b: tuple[str, str, str, str]) -> Colum
 
 def clusters(edges: DataFrame, src: str, dst: str, rounds: int = 50) -> DataFrame:
     """Smallest reachable id a node: labels spread and are halved along themselves until none changes."""
+    with_checkpoints(edges.sparkSession)
     both = edges.select(F.col(src).alias("u"), F.col(dst).alias("v")).union(edges.select(F.col(dst).alias("u"), F.col(src).alias("v"))).distinct().checkpoint()
     labels = both.groupBy("u").agg(F.least(F.first("u"), F.min("v")).alias("label")).checkpoint()
     for _ in range(rounds):

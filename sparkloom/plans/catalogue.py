@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sparkloom.plans import changes, extras, lookups, medallion, records, texts
+from sparkloom.plans import changes, extras, layouts, lookups, medallion, records, texts
 
 Query = Callable[[SparkSession, str], DataFrame]
-MODULES = (medallion, changes, lookups, texts, extras, records)
+MODULES = (medallion, changes, lookups, texts, extras, records, layouts)
 
 
 def queries() -> dict[str, Query]:

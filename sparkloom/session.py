@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import DataFrame, SparkSession
 
 #: Settings the library counts on; a cluster's own submit configuration comes on top.
@@ -27,3 +29,12 @@ def build_session(app: str = "sparkloom", master: str | None = None, **extra: st
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the Parquet tables below ``sf_dir``."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def with_checkpoints(spark: SparkSession) -> SparkSession:
+    """The session with a folder for checkpoints: the one it names, or, on a local master only, one below the temporary folder."""
+    if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext.getCheckpointDir():
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-"))
+    return spark
