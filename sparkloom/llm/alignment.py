@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from sparkloom.llm.common import Workspace, by_size, few
 
 #: Characters of a block, and of new stretches that are encoded together.
-BLOCK, PIECE = 12_000_000, 100_000
+BLOCK, PIECE = 8_000_000, 100_000
 SPACE = "▁"
 SAFE = re.compile(r"(?<=\S)(?=[ \n]\S)")
 LONGS = ("n_a", "n_b", "n_groups", "n_links")
@@ -98,12 +98,13 @@ class Vocabularies:
         most = max(len(self.a_bytes), len(self.b_bytes))
         self.spelling = np.array([f"{i}{mark}" for mark in ",|;" for i in range(most)], object).reshape(3, most)
 
-    def encode(self, texts: list[str]) -> list[tuple[list[int], list[int], bool]]:
+    def encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray, bool]]:
         """Ids of both for texts that begin with a space, and whether both give back the bytes."""
         out = []
         for text, encoded in zip(texts, self.a.encode_batch_fast(texts, add_special_tokens=False), strict=True):
             a, b, data = encoded.ids, self.b.encode(text[1:], num_threads=1), text.encode()
-            out.append((a, b, b"".join([self.a_bytes[i] for i in a]) == data and b"".join([self.b_bytes[i] for i in b]) == data))
+            right = b"".join([self.a_bytes[i] for i in a]) == data and b"".join([self.b_bytes[i] for i in b]) == data
+            out.append((np.array(a, np.int32), np.array(b, np.int32), right))
         return out
 
 
@@ -120,7 +121,7 @@ class Stretches:
 
     def __init__(self, both: Vocabularies, stretches: list[str], alone: list[bool]):
         self.bad = np.zeros(len(stretches), bool)
-        ids: list[tuple[list[int], list[int]]] = []
+        ids: list[tuple[np.ndarray, np.ndarray]] = []
         owner: list[int] = []  # -1: the lead
         lengths: list[int] = []
         todo = list(self.together(stretches, alone))
@@ -136,7 +137,8 @@ class Stretches:
                     todo += [[i] for i in part]
                 else:
                     self.bad[part[0]] = True
-        a, b = (np.fromiter(itertools.chain.from_iterable(x[side] for x in ids), np.int64) for side in (0, 1))
+        a, b = (np.concatenate([np.empty(0, np.int32), *[x[side] for x in ids]]) for side in (0, 1))
+        del ids
         ends_a, ends_b = np.cumsum(both.a_length[a]), np.cumsum(both.b_length[b])
         borders, place = np.cumsum(np.array(lengths, np.int64)), np.array(owner, np.int64)
         last_a, last_b = np.searchsorted(ends_a, borders), np.searchsorted(ends_b, borders)
@@ -146,7 +148,7 @@ class Stretches:
         cuts = np.sort(np.concatenate([borders, shared_ends(ends_a, ends_b, first_a, last_a, first_b, last_b)]))
         both_ends = np.sort(np.concatenate([ends_a, ends_b]), kind="stable")
         both_ends = both_ends[np.diff(both_ends, prepend=-1) > 0]
-        codes = a[np.searchsorted(ends_a, both_ends)] << 32 | b[np.searchsorted(ends_b, both_ends)] if len(a) else np.empty(0, np.int64)
+        codes = a[np.searchsorted(ends_a, both_ends)].astype(np.int64) << 32 | b[np.searchsorted(ends_b, both_ends)] if len(a) else np.empty(0, np.int64)
         n = len(stretches)
 
         def per_stretch(ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -180,9 +182,11 @@ class Stretches:
         key = np.concatenate([2 * group_a, 2 * group_b + 1])
         order = np.argsort(key, kind="stable")
         key, ids = key[order], np.concatenate([a, b])[order]
+        del order
         ends = np.ones(len(key), bool)
         ends[:-1] = key[1:] != key[:-1]
-        mark = np.where(ends, np.where(key & 1, 2, 1), 0)
+        mark = (ends * (1 + (key & 1))).astype(np.int8)
+        del key, ends
         parts = both.spelling[mark, ids].tolist()
         texts, at = [""] * len(self.bad), 0
         for i, end in zip(place.tolist(), (last_a + last_b + 2).tolist(), strict=True):
@@ -277,7 +281,7 @@ def align(docs: DataFrame, a_path: str, b_path: str, text: str = "text", id_colu
 
     longs = ", ".join(f"{x}: bigint" for x in LONGS)
     schema = f"block string, docs array<struct<id: {kind}, {longs}, groups: string>>, pairs array<bigint>, counts array<bigint>, pair_of binary, link_ends binary, units binary, unit_ends binary"
-    blocks = space.keep(docs.select(id_column, text).mapInArrow(run, schema), "blocks")
+    blocks = space.keep(docs.select(id_column, text).mapInArrow(run, schema), "blocks", codec="zstd")
     counted = blocks.select(F.explode(F.arrays_zip("pairs", "counts")).alias("x")).groupBy(F.col("x.pairs").alias("pair")).agg(F.sum("x.counts").alias("count"))
     counted = space.keep(counted.withColumn("b", F.expr("pair & 4294967295")), "counted")
     highest = counted.groupBy("b").agg(F.max("count").alias("most"))
