@@ -10,22 +10,6 @@ from sparkloom.operators import spatial
 from sparkloom.session import table
 
 
-def fuzzy_match(spark, sf_dir):
-    """Part names against brand mates' names by edit distance; a clear winner, or for review."""
-    p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_size")
-    a = p.select("p_partkey", "p_name", "p_brand", F.col("p_size").alias("size"))
-    b = p.select(F.col("p_partkey").alias("other"), F.col("p_name").alias("other_name"), "p_brand", F.col("p_size").alias("size"))
-    near = a.join(b, ["p_brand", "size"]).where("p_partkey <> other").withColumn("d", F.levenshtein("p_name", "other_name"))
-    best = near.groupBy("p_partkey").agg(F.min(F.struct("d", "other")).alias("x"), F.count("*").alias("candidates"))
-    status = F.when(F.col("x.d") <= 4, "matched").when(F.col("x.d") <= 9, "needs_review").otherwise("unmatched")
-    return best.select("p_partkey", F.col("x.other").alias("other"), F.col("x.d").cast("bigint").alias("distance"), "candidates", status.alias("status"))
-
-
-FUZZY = """WITH n AS (SELECT a.p_partkey, b.p_partkey AS other, levenshtein(a.p_name, b.p_name) AS d FROM part a JOIN part b ON a.p_brand = b.p_brand AND a.p_size = b.p_size AND a.p_partkey <> b.p_partkey)
-SELECT p_partkey, other, d AS distance, count(*) OVER (PARTITION BY p_partkey) AS candidates, CASE WHEN d <= 4 THEN 'matched' WHEN d <= 9 THEN 'needs_review' ELSE 'unmatched' END AS status
-FROM n QUALIFY row_number() OVER (PARTITION BY p_partkey ORDER BY d, other) = 1"""
-
-
 def point_in_zone(spark, sf_dir):
     """Suppliers as points in a triangle, and the triangle's area."""
     s = table(spark, sf_dir, "supplier")
@@ -133,7 +117,6 @@ def order_chain(spark, sf_dir):
 CHAIN = """SELECT c_nationkey, count(DISTINCT o_custkey) AS customers, count(*) AS lines FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey GROUP BY 1 ORDER BY lines DESC, c_nationkey LIMIT 10"""
 
 QUERIES = {
-    "fuzzy_match": (fuzzy_match, FUZZY),
     "point_in_zone": (point_in_zone, ZONE),
     "clusters": (cluster_labels, CLUSTERS),
     "unseen_children": (unseen_children, UNSEEN),

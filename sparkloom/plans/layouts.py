@@ -94,35 +94,6 @@ r AS (SELECT id AS u, id AS v FROM c UNION SELECT r.u, e.v FROM r JOIN e ON r.v
 SELECT u AS id, min(v) AS label FROM r GROUP BY u"""
 
 
-def fuzzy_names(spark, sf_dir):
-    """Part names with a lost or a swapped character, or unlike any, against the list of all names; 85 or more of 100 and 5 ahead of the next is a match.
-
-    Equal names are one row on both sides, so pairs grow with the distinct names alone. A score of 85 lets lengths differ by
-    15 in a hundred at most, so names meet in bands of length; those without partner stay as unmatched.
-    """
-    p = table(spark, sf_dir, "part")
-    key, name = F.col("p_partkey"), F.concat_ws(" ", "p_name", (F.col("p_size") % 10).cast("string"))
-    lost, swapped, unlike = F.concat(F.substring(name, 1, 2), F.substring(name, 4, 200)), F.concat(F.col("p_name"), F.lit(" x")), F.concat(F.lit("??"), F.reverse(name))
-    noisy = F.when(key % 15 == 2, unlike).when(key % 3 == 0, lost).when(key % 3 == 1, swapped).otherwise(name)
-    parts = p.select(key, noisy.alias("given"))
-    given = parts.select("given").distinct().withColumn("size", F.explode(F.sequence(F.floor(F.length("given") * 0.85).cast("int"), F.ceil(F.length("given") / 0.85).cast("int"))))
-    names = p.select(name.alias("other")).distinct().withColumn("size", F.length("other"))
-    longest = F.greatest(F.length("given"), "size")
-    scored = given.join(names, "size").withColumn("score", F.floor(100 * (longest - F.levenshtein("given", "other")) / longest)).where("score >= 85")
-    best = scored.groupBy("given").agg(F.max(F.struct("score", "other")).alias("top"), F.sort_array(F.collect_list("score"), asc=False).alias("scores"))
-    ahead = F.col("top.score") - F.coalesce(F.try_element_at("scores", F.lit(2)), F.lit(0)) >= 5
-    status = F.when(F.col("top").isNull(), "unmatched").when(ahead, "matched").otherwise("needs_review")
-    return parts.join(best, "given", "left").select("p_partkey", "given", F.col("top.other").alias("other"), F.col("top.score").alias("score"), status.alias("status"))
-
-
-FUZZY = """WITH p AS (SELECT p_partkey, p_name AS base, p_name || ' ' || p_size % 10 AS name FROM part),
-g AS (SELECT p_partkey, CASE WHEN p_partkey % 15 = 2 THEN '??' || reverse(name) WHEN p_partkey % 3 = 0 THEN substr(name, 1, 2) || substr(name, 4) WHEN p_partkey % 3 = 1 THEN base || ' x' ELSE name END AS given FROM p),
-s AS (SELECT given, other, 100 * (greatest(length(given), length(other)) - levenshtein(given, other)) // greatest(length(given), length(other)) AS score
-FROM (SELECT DISTINCT given FROM g) CROSS JOIN (SELECT DISTINCT name AS other FROM p)),
-r AS (SELECT given, other, score, score - coalesce(lead(score) OVER w, 0) AS ahead FROM s WHERE score >= 85 WINDOW w AS (PARTITION BY given ORDER BY score DESC, other DESC) QUALIFY row_number() OVER w = 1)
-SELECT p_partkey, g.given, other, score, CASE WHEN other IS NULL THEN 'unmatched' WHEN ahead >= 5 THEN 'matched' ELSE 'needs_review' END AS status FROM g LEFT JOIN r ON g.given = r.given"""
-
-
 def swiss_customers(spark, sf_dir):
     """Customers whose composed address, or second place, lies in the country, by nations of a list."""
     c = table(spark, sf_dir, "customer").join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
@@ -164,7 +135,6 @@ QUERIES = {
     "sheet_rows": (sheet_rows, SHEETS),
     "legend_labels": (legend_labels, LEGEND),
     "near_clusters": (near_clusters, NEAR),
-    "fuzzy_names": (fuzzy_names, FUZZY),
     "swiss_customers": (swiss_customers, SWISS),
     "mapped_records": (mapped_records, MAPPED),
 }
