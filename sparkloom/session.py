@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -38,3 +39,13 @@ def with_checkpoints(spark: SparkSession) -> SparkSession:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-"))
     return spark
+
+
+def shared_folder(spark: SparkSession, label: str) -> str:
+    """A new folder for intermediate files below ``spark.checkpoint.dir``; where that is unset, on a local master only, below the temporary folder."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        root = tempfile.mkdtemp(prefix="spark-")
+    return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
