@@ -43,38 +43,49 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str], order: list[Co
     return kept.unionByName(source, allowMissingColumns=True)
 
 
-def insert_absent(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows of ``source`` whose keys aren't there yet, once each."""
-    return source.join(target.select(*keys), keys, "left_anti").dropDuplicates(keys)
+def one_a_key(df: DataFrame, keys: list[str], order: list[Column] | None) -> DataFrame:
+    """One row a key: the first in ``order``, or without one the last by the values of the other columns, so that any run keeps the same."""
+    return keep_one(df, keys, order or [F.desc(c) for c in df.columns if c not in keys] or [F.lit(0)])
+
+
+def insert_absent(target: DataFrame, source: DataFrame, keys: list[str], order: list[Column] | None = None) -> DataFrame:
+    """Rows of ``source`` whose keys aren't there yet, one a key as :func:`one_a_key` says (K3, K6, J7). Null keys are keys like any other."""
+    known = target.select(*keys).distinct().alias("old")
+    return one_a_key(source.alias("new").join(known, same_keys("new", "old", keys), "left_anti"), keys, order)
 
 
 def upsert_if_changed(target: DataFrame, source: DataFrame, keys: list[str], digest: str) -> DataFrame:
     """As :func:`upsert`, but a row of an equal digest stays as it is; a null digest counts as changed."""
-    known = target.select(*keys, F.col(digest).alias("__old"))
-    changed = source.join(known, keys, "left").where(F.col("__old").isNull() | ~F.col("__old").eqNullSafe(F.col(digest))).drop("__old")
+    known = target.select(*keys, F.col(digest).alias("__old")).alias("old")
+    joined = source.alias("new").join(known, same_keys("new", "old", keys), "left")
+    changed = joined.where(F.col("__old").isNull() | ~F.col("__old").eqNullSafe(F.col(f"new.{digest}"))).select("new.*")
     return upsert(target, changed, keys)
 
 
 def delete_missing(target: DataFrame, source: DataFrame, parent: list[str], keys: list[str]) -> DataFrame:
-    """Drops rows that a parent's new set lacks. Parents without a new set stay untouched (K5)."""
-    touched = target.join(source.select(*parent).distinct(), parent, "left_semi")
-    untouched = target.join(source.select(*parent).distinct(), parent, "left_anti")
-    return untouched.unionByName(touched.join(source.select(*parent, *keys), [*parent, *keys], "left_semi"))
+    """Drops rows that a parent's new set lacks. Parents without a new set stay untouched; null keys are keys like any other (K5).
+
+    The target is read once and meets the new parents and the new sets.
+    """
+    news = source.select(*parent, *keys).distinct()
+    touched = target.alias("old").join(news.select(*parent).distinct().withColumn("__touched", F.lit(True)).alias("p"), same_keys("old", "p", parent), "left")
+    known = touched.select("old.*", "__touched").alias("old").join(news.withColumn("__known", F.lit(True)).alias("n"), same_keys("old", "n", [*parent, *keys]), "left")
+    return known.where("__touched IS NULL OR __known").select(*[F.col(f"old.{c}") for c in target.columns])
 
 
-def apply_changes(target: DataFrame, changes: DataFrame, keys: list[str], status: str, keep: tuple[str, ...] = ()) -> DataFrame:
+def apply_changes(target: DataFrame, changes: DataFrame, keys: list[str], status: str, keep: tuple[str, ...] = (), order: list[Column] | None = None) -> DataFrame:
     """Additions if absent, then changes of what is there, then deletions.
 
-    ``status`` holds A, C or D; columns in ``keep`` aren't overwritten by changes.
+    ``status`` holds A, C or D; columns in ``keep`` aren't overwritten by changes. Of several additions or changes of one key
+    the first in ``order`` counts (see :func:`one_a_key`), so no row is doubled. Null keys are keys like any other.
     """
     part = lambda s: changes.where(F.col(status) == s).drop(status)
-    grown = target.unionByName(insert_absent(target, part("A"), keys))
+    grown = target.unionByName(insert_absent(target, part("A"), keys, order))
     rest = [c for c in target.columns if c not in keys and c not in keep]
-    news = part("C").select(*keys, F.struct(*rest).alias("__new"))
-    changed = grown.join(news, keys, "left").select(
-        *[F.when(F.col("__new").isNotNull(), F.col(f"__new.{c}")).otherwise(F.col(c)).alias(c) if c in rest else F.col(c) for c in target.columns]
-    )
-    return changed.join(part("D").select(*keys), keys, "left_anti")
+    news = one_a_key(part("C"), keys, order).select(*keys, F.struct(*rest).alias("__new")).alias("new")
+    joined = grown.alias("old").join(news, same_keys("old", "new", keys), "left")
+    changed = joined.select(*[F.when(F.col("__new").isNotNull(), F.col(f"__new.{c}")).otherwise(F.col(f"old.{c}")).alias(c) if c in rest else F.col(f"old.{c}").alias(c) for c in target.columns])
+    return changed.alias("old").join(part("D").select(*keys).distinct().alias("gone"), same_keys("old", "gone", keys), "left_anti")
 
 
 def mark_stale(df: DataFrame, seen: Column, now: Column, days: int, fetched: int, least: int, state: str = "state") -> DataFrame:

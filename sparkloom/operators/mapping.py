@@ -20,10 +20,17 @@ def at(document: Column, path: str, kind: str) -> Column:
     return F.try_variant_get(document, path, kind)
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once."""
+    return F.transform(F.array(value), use)[0]
+
+
 def plain(document: Column, path: str) -> Column:
     """Trimmed text of what stands at a path, null if that is blank, a list or an object."""
-    found = at(document, path, "variant")
-    return F.when(~F.schema_of_variant(found).rlike("^(?:OBJECT|ARRAY)"), F.nullif(F.trim(F.try_variant_get(found, "$", "string")), F.lit("")))
+    # an object or a list reads as JSON text: only what looks like it is asked for its kind
+    # an object or a list reads as JSON text: only what looks like it is asked for its kind
+    is_text = F.schema_of_variant(at(document, path, "variant")) == "STRING"
+    return let(F.trim(at(document, path, "string")), lambda t: F.when(F.substring(t, 1, 1).isin("{", "["), F.when(is_text, t)).when(t != "", t))
 
 
 class Field:
@@ -86,8 +93,8 @@ class Record(Field):
     def column(self, document: Column) -> Column:
         inner = document if self.path == "$" else at(document, self.path, "variant")
         made = {name: f.column(inner) for name, f in self.fields.items()}
-        filled = [c for name, c in made.items() if not isinstance(self.fields[name], Constant)]
-        return F.when(any_filled(filled), F.struct(*[c.alias(n) for n, c in made.items()]))
+        filled = [name for name, f in self.fields.items() if not isinstance(f, Constant)]
+        return let(F.struct(*[c.alias(n) for n, c in made.items()]), lambda r: F.when(any_filled([r[n] for n in filled]), r))
 
 
 def any_filled(columns: list[Column]) -> Column:
@@ -107,7 +114,7 @@ class Many(Field):
 
     def column(self, document: Column) -> Column:
         lists = [F.filter(F.transform(at(document, p, "array<variant>"), self.item.column), lambda x: x.isNotNull()) for p in self.paths]
-        return F.coalesce(*[F.when(F.size(x) > 0, x) for x in lists])
+        return F.coalesce(*[let(x, lambda found: F.when(F.size(found) > 0, found)) for x in lists])
 
 
 @dataclass(frozen=True)
@@ -146,7 +153,8 @@ def map_records(df: DataFrame, json: str, fields: dict[str, Field], keep: tuple[
 
     Text that isn't JSON, and null, is a document without fields.
     """
-    parsed = df.withColumn("__document", F.try_parse_json(json))
+    # generated, so that neither a filter nor a field repeats the parsing
+    parsed = df.select(*keep, F.explode(F.array(F.try_parse_json(json))).alias("__document"))
     document = F.col("__document")
     mapped = parsed.select(*keep, *[f.column(document).alias(name) for name, f in fields.items()])
     return mapped.dropna(subset=list(required)) if required else mapped

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from sparkloom.operators import extraction, layout
+from sparkloom.operators import extraction, layout, tables
 from sparkloom.operators.mapping import Constant, Either, Joined, Json, Many, Record, Text, Value, map_records
 from sparkloom.session import shared_folder, table
 from sparkloom.sources import archives
@@ -110,9 +110,38 @@ SELECT doc_id, len(regexp_extract_all(text, 'token = "[0-9a-f]{40}"')) AS n_keys
 nullif(least(CASE WHEN contains(t, repeat('~', 50)) THEN instr(t, repeat('~', 50)) ELSE 1e9 END, CASE WHEN len(hosts) > 0 THEN length(regexp_extract(t, '(?s)^(.*?)\b[0-9]{1,3}(?:\.[0-9]{1,3}){3}\b', 1)) + 1 ELSE 1e9 END,
   CASE WHEN len(numbers) > 0 THEN length(regexp_extract(t, '(?s)^(.*?)[0-9]{6,}', 1)) + 1 ELSE 1e9 END), 1e9)::BIGINT AS place FROM e"""
 
+def checked_orders(spark, sf_dir):
+    """Orders loaded under four rules; what broke which rule, from the rows put apart, beside the counts of the writing pass."""
+    o = table(spark, sf_dir, "orders").withColumn("note", F.when(F.col("o_orderkey") % 5 > 0, F.col("o_orderpriority")))
+    rules = {"dear": F.col("o_totalprice") < 400000, "open": ~((F.col("o_orderstatus") == "O") & (F.col("o_custkey") % 10 == 0)), "noted": F.col("note") != "1-URGENT", "keyed": F.col("o_orderkey").isNotNull()}
+    report, passed, failed = tables.checked_load(o, rules, shared_folder(spark, "checked"))
+    counted = F.create_map(*[x for name in ("rows", "loaded", *rules) for x in (F.lit(name), F.lit(report[name]))])
+    each = failed.select(F.explode("violations").alias("rule"), "o_orderkey").union(passed.select(F.lit("loaded"), "o_orderkey"))
+    return each.groupBy("rule").agg(F.count("*").alias("n"), F.sum("o_orderkey").alias("keys")).select("rule", "n", "keys", counted[F.col("rule")].alias("counted"), F.lit(report["rows"]).alias("rows"))
+
+
+CHECKED = """WITH o AS (SELECT o_orderkey AS k, o_totalprice >= 400000 AS dear, o_orderstatus = 'O' AND o_custkey % 10 = 0 AS open, o_orderkey % 5 > 0 AND o_orderpriority = '1-URGENT' AS noted FROM orders),
+e AS (SELECT k, unnest(CASE WHEN dear OR open OR noted THEN list_filter([CASE WHEN dear THEN 'dear' END, CASE WHEN open THEN 'open' END, CASE WHEN noted THEN 'noted' END], lambda x: x IS NOT NULL) ELSE ['loaded'] END) AS rule FROM o)
+SELECT rule, count(*) AS n, sum(k)::BIGINT AS keys, count(*) AS counted, (SELECT count(*) FROM orders) AS rows FROM e GROUP BY rule"""
+
+
+def merged_versions(spark, sf_dir):
+    """Customers of a table on storage after two merges, the second for one nation's, with each row's version."""
+    c = table(spark, sf_dir, "customer").select(F.nullif("c_custkey", F.lit(0)).alias("key"), F.col("c_acctbal").alias("balance"), "c_nationkey")
+    stored = tables.ManifestTable(spark, shared_folder(spark, "merged"), ["key"], buckets=16)
+    stored.merge(c.withColumn("version", F.lit(1)), [F.desc("balance")])
+    twice = c.where("c_nationkey = 3").withColumn("version", F.lit(2))
+    stored.merge(twice.union(twice.withColumn("balance", F.col("balance") + 1)), [F.desc("balance")])
+    return stored.read()
+
+
+MERGED = """SELECT nullif(c_custkey, 0) AS key, c_acctbal + CASE WHEN c_nationkey = 3 THEN 1 ELSE 0 END AS balance, c_nationkey, CASE WHEN c_nationkey = 3 THEN 2 ELSE 1 END AS version FROM customer"""
+
 QUERIES = {
     "zipped_tables": (zipped_tables, ZIPPED),
     "workbook_rows": (workbook_rows, WORKBOOK),
     "listing_records": (listing_records, LISTINGS),
     "text_fields": (text_fields, FIELDS),
+    "checked_orders": (checked_orders, CHECKED),
+    "merged_versions": (merged_versions, MERGED),
 }

@@ -5,12 +5,12 @@ An extension of I4, K1 and K20: a re-read overlap becomes the watermark's delay.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.window import Window
 
-from sparkloom.operators.keyed import keep_one, upsert
+from sparkloom.operators.tables import ManifestTable
 
 
 def deduplicated(stream: DataFrame, time: str, keys: list[str], delay: str = "14 days") -> DataFrame:
@@ -24,18 +24,16 @@ def windowed_counts(stream: DataFrame, time: str, by: list[str], length: str = "
     return timed.groupBy(F.window(time, length), *by).agg(F.count("*").alias("n"))
 
 
-def upsert_batches(stream: DataFrame, folder: str, keys: list[str], order: list[str], checkpoint: str) -> StreamingQuery:
-    """Upserts each micro-batch into a versioned Parquet table below ``folder``.
+def upsert_batches(stream: DataFrame, folder: str, keys: list[str], order: list[str], checkpoint: str, buckets: int = 64, keep: int = 2) -> StreamingQuery:
+    """Upserts each micro-batch into the :class:`ManifestTable` below ``folder``: only buckets with changed keys are rewritten.
 
-    Batch ``n`` writes version ``n`` whole and is a function of version ``n - 1`` and the batch, so a
-    replay after a failure writes the same again.
+    The manifest names the last batch, so a replay after a failure changes nothing; versions before the newest ``keep`` are deleted.
     """
 
     def write(batch: DataFrame, number: int) -> None:
-        spark: SparkSession = batch.sparkSession
-        newest = keep_one(batch, keys, [F.desc(c) for c in order])
-        table = upsert(spark.read.schema(batch.schema).parquet(f"{folder}/v{number - 1}"), newest, keys) if number else newest
-        table.write.mode("overwrite").parquet(f"{folder}/v{number}")
+        table = ManifestTable(batch.sparkSession, folder, keys, buckets)
+        table.merge(batch, [F.desc(c) for c in order], number)
+        table.vacuum(keep)
 
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from sparkloom.operators import joins, keyed, shape, spatial
 from sparkloom.sources import files
+from sparkloom.operators import tables
 from sparkloom.streaming import upserts
 
 
@@ -104,4 +105,4 @@ def test_streamed_upserts(spark, tmp_path):
     stream = spark.readStream.schema("k int, t int, v string").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in" / "*"))
     query = upserts.upsert_batches(stream, str(tmp_path / "out"), ["k"], ["t"], str(tmp_path / "ck"))
     query.awaitTermination(60)
-    assert rows(spark.read.parquet(str(tmp_path / "out" / "v1"))) == [(1, 3, "c"), (2, 1, "d")]
+    assert rows(tables.ManifestTable(spark, str(tmp_path / "out"), ["k"]).read()) == [(1, 3, "c"), (2, 1, "d")]
