@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from sparkloom.operators import extraction, layout, tables
+from sparkloom.operators import extraction, fits, layout, tables
 from sparkloom.operators.mapping import Constant, Either, Joined, Json, Many, Record, Text, Value, map_records
 from sparkloom.session import shared_folder, table
 from sparkloom.sources import archives
@@ -137,6 +137,22 @@ def merged_versions(spark, sf_dir):
 
 MERGED = """SELECT nullif(c_custkey, 0) AS key, c_acctbal + CASE WHEN c_nationkey = 3 THEN 1 ELSE 0 END AS balance, c_nationkey, CASE WHEN c_nationkey = 3 THEN 2 ELSE 1 END AS version FROM customer"""
 
+def page_fits(spark, sf_dir):
+    """Lines of a supplier as anchors (quantity to price, tax to discount plus date): scale, shift and confidence after two rounds without what lies far off."""
+    lines = table(spark, sf_dir, "lineitem").select("l_suppkey", F.col("l_quantity").alias("x"), (F.col("l_linenumber") * 10.0 + F.col("l_tax") * 100).alias("y"), (F.col("l_extendedprice") / 100).alias("to_x"), (F.col("l_discount") * 100 + F.col("l_linenumber") * 7).alias("to_y"))
+    found = fits.fit_pages(lines, "l_suppkey", rounds=2)
+    return found.select("l_suppkey", "anchors", *[F.round(c, 3).alias(c) for c in ("sx", "tx", "sy", "ty", "confidence")])
+
+
+ROUND = """f{n} AS (SELECT p, regr_slope(u, x) AS sx, regr_intercept(u, x) AS tx, regr_slope(v, y) AS sy, regr_intercept(v, y) AS ty FROM a{n} GROUP BY p),
+r{n} AS (SELECT a.*, sqrt((sx * x + tx - u) ** 2 + (sy * y + ty - v) ** 2) AS d FROM a{n} a JOIN f{n} USING (p)),
+a{m} AS (SELECT p, x, y, u, v FROM r{n} JOIN (SELECT p, median(d) * 3 + 1e-9 AS most FROM r{n} GROUP BY p) USING (p) WHERE d <= most)"""
+FITS = f"""WITH a0 AS (SELECT l_suppkey AS p, l_quantity AS x, l_linenumber * 10.0::DOUBLE + l_tax * 100 AS y, l_extendedprice / 100 AS u, l_discount * 100 + l_linenumber * 7 AS v FROM lineitem),
+{ROUND.format(n=0, m=1)},
+{ROUND.format(n=1, m=2)},
+g AS (SELECT p, count(*) AS anchors, regr_slope(u, x) AS sx, regr_intercept(u, x) AS tx, regr_slope(v, y) AS sy, regr_intercept(v, y) AS ty FROM a2 GROUP BY p)
+SELECT p AS l_suppkey, anchors, round(sx, 3) AS sx, round(tx, 3) AS tx, round(sy, 3) AS sy, round(ty, 3) AS ty, round(0.85 + 0.15 * least(abs(sx), abs(sy)) / greatest(abs(sx), abs(sy)), 3) AS confidence FROM g WHERE sx <> 0 AND sy <> 0"""
+
 QUERIES = {
     "zipped_tables": (zipped_tables, ZIPPED),
     "workbook_rows": (workbook_rows, WORKBOOK),
@@ -144,4 +160,5 @@ QUERIES = {
     "text_fields": (text_fields, FIELDS),
     "checked_orders": (checked_orders, CHECKED),
     "merged_versions": (merged_versions, MERGED),
+    "page_fits": (page_fits, FITS),
 }
