@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sparkloom.plans import archives, changes, extras, layouts, lookups, matching, medallion, records, texts
+from sparkloom.plans import archives, changes, elements, extras, layouts, lookups, matching, medallion, records, texts
 
 Query = Callable[[SparkSession, str], DataFrame]
-MODULES = (medallion, changes, lookups, texts, extras, records, layouts, matching, archives)
+MODULES = (medallion, changes, lookups, texts, extras, records, layouts, matching, archives, elements)
 
 
 def queries() -> dict[str, Query]:
