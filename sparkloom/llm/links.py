@@ -12,7 +12,7 @@ double precision; the graph only proposes. A link is found once and counts at bo
 
 A task returns link counts of its rows and which groups of two shards are linked, so a large group gives as many rows as
 it has members, not their square. Equal vectors are one node that counts
-for all its rows. Vectors that are null or zero, or hold null or non-finite components, are
+for all its rows, whatever their ids; rows that share an id stay rows of their own, each with the links of its own vector. Vectors that are null or zero, or hold null or non-finite components, are
 components of their own without links. Extra columns are not read; an empty table gives no rows.
 """
 
@@ -258,29 +258,31 @@ def near_duplicates(vectors: DataFrame, vector: str = "embedding", id_column: st
     work = Workspace(vectors.sparkSession, "links")
     name = lambda v: F.md5(F.array_join(v.cast("array<string>"), ",", "null"))
     fine = usable(vectors, vector, id_column).withColumn("name", name(F.col("v")))
-    nodes = work.keep(fine.groupBy("name").agg(F.any_value("v").alias("v"), F.min("id").alias("id"), F.count("*").alias("n")), "nodes")
+    # a node's key is its least id, made positive, and its name: in order of ids, and of its own where vectors share an id
+    placed_id = F.lpad((F.min("id").cast("decimal(20,0)") + F.lit(str(2**63)).cast("decimal(20,0)")).cast("string"), 20, "0")
+    nodes = work.keep(fine.groupBy("name").agg(F.any_value("v").alias("v"), F.concat(placed_id, "name").alias("key"), F.count("*").alias("n")), "nodes")
     count = nodes.count()
     shards = max(SHARDS_AT_LEAST, -(-count // SHARD))
-    dealt = nodes.select("id", "v", "n", F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int").alias("shard"), F.size("v").alias("w"))
+    dealt = nodes.select("key", "v", "n", F.pmod(F.xxhash64("key"), F.lit(shards)).cast("int").alias("shard"), F.size("v").alias("w"))
 
     def grow(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("id")
-        x, ids, n = units(rows), rows["id"].to_numpy(), rows["n"].to_numpy()
+        rows = rows.sort_values("key")
+        x, keys, n = units(rows), rows["key"].to_numpy(), rows["n"].to_numpy()
         graph = Graph(x)
         found = both_ways(linked(graph, x, least, own=True))
         others = [int(n[row].sum() - n[i] * (row == i).sum()) for i, row in enumerate(found)]
-        return rows.assign(family=ids[groups_of(found)], links=others, graph=graph.stored())
+        return rows.assign(family=keys[groups_of(found)], links=others, graph=graph.stored())
 
-    grown = work.keep(dealt.groupBy("w", "shard").applyInPandas(grow, "id bigint, v array<double>, n bigint, shard int, w int, family bigint, links bigint, graph binary"), "graphs")
+    grown = work.keep(dealt.groupBy("w", "shard").applyInPandas(grow, "key string, v array<double>, n bigint, shard int, w int, family string, links bigint, graph binary"), "graphs")
     behind = F.explode(F.sequence(F.col("shard") + 1, F.lit(shards - 1)))
     before = F.explode(F.sequence(F.lit(0), F.col("shard") - 1))
-    asked = grown.where(F.col("shard") < shards - 1).select("id", "v", "n", "w", "family", F.col("shard").alias("block"), behind.alias("shard"))
-    held = grown.where("shard > 0").select("id", "v", "n", "w", "family", "graph", "shard", before.alias("block"))
+    asked = grown.where(F.col("shard") < shards - 1).select("key", "v", "n", "w", "family", F.col("shard").alias("block"), behind.alias("shard"))
+    held = grown.where("shard > 0").select("key", "v", "n", "w", "family", "graph", "shard", before.alias("block"))
 
     def meet(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
-            return pd.DataFrame({"id": [], "links": [], "family": [], "other": []}).astype("int64")
-        left, right = left.sort_values("id"), right.sort_values("id")
+            return pd.DataFrame({"key": [], "links": [], "family": [], "other": []}, dtype=object)
+        left, right = left.sort_values("key"), right.sort_values("key")
         graph = Graph.restored(units(right), right["graph"].to_list())
         found = linked(graph, units(left), least)
         many, other = left["n"].to_numpy(), right["n"].to_numpy()
@@ -290,18 +292,21 @@ def near_duplicates(vectors: DataFrame, vector: str = "embedding", id_column: st
             if len(row):
                 here[i] = other[row].sum()
                 there[row] += many[i]
-                pairs.update((int(families[i]), int(f)) for f in np.unique(their[row]))
-        counts = pd.DataFrame({"id": np.concatenate([left["id"], right["id"]]), "links": np.concatenate([here, there])})
-        joined = pd.DataFrame(sorted(pairs), columns=["family", "other"], dtype="Int64")
-        return pd.concat([counts[counts["links"] > 0].astype("Int64"), joined])[["id", "links", "family", "other"]]
-
-    found = asked.groupBy("w", "block", "shard").cogroup(held.groupBy("w", "block", "shard")).applyInPandas(meet, "id bigint, links bigint, family bigint, other bigint")
+                pairs.update((families[i], f) for f in set(their[row]))
+        counts = pd.DataFrame({"key": np.concatenate([left["key"], right["key"]]), "links": np.concatenate([here, there])})
+        counts, joined = counts[counts["links"] > 0], sorted(pairs)
+        empty, none = [None] * len(counts), [None] * len(joined)
+        columns = {"key": [*counts["key"], *none], "links": [*counts["links"].tolist(), *none], "family": [*empty, *(a for a, _ in joined)], "other": [*empty, *(b for _, b in joined)]}
+        return pd.DataFrame(columns, dtype=object)
+
+    found = asked.groupBy("w", "block", "shard").cogroup(held.groupBy("w", "block", "shard")).applyInPandas(meet, "key string, links bigint, family string, other string")
     found = work.keep(found, "found")
-    more = found.where("id IS NOT NULL").groupBy("id").agg(F.sum("links").alias("more"))
+    more = found.where("key IS NOT NULL").groupBy("key").agg(F.sum("links").alias("more"))
     named = connected_components(found.where("family IS NOT NULL").select("family", "other"), "family", "other")
-    placed = grown.select("id", "links", "family").join(more, "id", "left").join(named.withColumnRenamed("node", "family"), "family", "left")
-    placed = nodes.select("name", "id", "n").join(placed, "id")
-    placed = placed.select("name", F.coalesce("component", "family").alias("component"), (F.col("links") + F.coalesce("more", F.lit(0)) + F.col("n") - 1).alias("links"))
+    placed = grown.select("key", "links", "family").join(more, "key", "left").join(named.withColumnRenamed("node", "family"), "family", "left")
+    placed = nodes.select("name", "key", "n").join(placed, "key")
+    component = (F.substring(F.coalesce("component", "family"), 1, 20).cast("decimal(20,0)") - F.lit(str(2**63)).cast("decimal(20,0)")).cast("bigint")
+    placed = placed.select("name", component.alias("component"), (F.col("links") + F.coalesce("more", F.lit(0)) + F.col("n") - 1).alias("links"))
     placed = materialize(placed, "linked")
     work.drop("nodes", "graphs", "found")
     rows = vectors.select(F.col(id_column), name(F.col(vector).cast("array<double>")).alias("name"))
