@@ -5,7 +5,7 @@ the generalised path (tags with classes, digits made equal) of its best. Spark s
 and path, and joins a page's own container paths to all votes of its host. Second pass: a page takes its
 containers at the path with the best product of its own score and the logarithm of the votes, or at a path
 below that one which scores more on the page (so a general path doesn't stand for a layout's own).
-Inside a container, menus, asides, footers, forms, notices, adverts and reader comments are left out.
+Inside a container, menus, asides, footers, forms, notices, adverts and reader comments are left out, inline ones too.
 
 A null or empty page has an empty text. A page that ends early is read to its end. Repeated rows are read each for
 itself, but vote twice. Pages without a host vote together. Extra columns are not read.
@@ -26,18 +26,25 @@ from pyspark.sql import functions as F
 
 from sparkloom.llm.common import few, materialize
 
-#: Every loop is possessive and every markup may end with the page, so that reading takes time in proportion to the page.
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+'|[\"'])*+)(?:>|\Z)", re.S)
+#: Every loop is possessive and every markup may end with the page, so that reading takes time in proportion to the page. A quote opens a value behind ``=`` only.
+TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')?+)*+)(?:>|\Z)", re.S)
 ATTRIBUTE = re.compile(r"([^\s=/\"'>]++)(?:\s*+=\s*+(\"[^\"]*+\"?|'[^']*+'?|[^\s>]++))?")
 RAW = {"script", "style", "noscript", "template", "svg", "iframe", "textarea", "title", "canvas"}
 LEFT_OUT = {"nav", "footer", "aside", "form", "button", "select", "dialog", "menu", "head"}
 CONTAINERS = {"body", "main", "article", "section", "div", "td", "center"}
-BLOCKS = {"address", "article", "blockquote", "body", "center", "dd", "details", "div", "dl", "dt", "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hr", "html", "li", "main", "nav", "ol", "p", "pre", "section", "summary", "table", "tbody", "td", "tfoot", "th", "thead", "tr", "ul", "aside"}
+BLOCKS = {"address", "article", "blockquote", "body", "center", "dd", "details", "div", "dl", "dt", "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hr", "html", "li", "main", "nav", "ol", "p", "pre", "section", "summary", "table", "tbody", "td", "tfoot", "th", "thead", "tr", "ul", "aside", "dialog", "menu"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 CLOSES_P = BLOCKS - {"td", "th", "tr"}
 BAD_WORDS = {"ad", "ads", "advert", "adverts", "advertisement", "advertising", "banner", "breadcrumb", "breadcrumbs", "comment", "comments", "consent", "cookie", "cookies", "disqus", "footer", "gdpr", "header", "menu", "modal", "nav", "navbar", "navigation", "newsletter", "notice", "pagination", "popup", "promo", "promotion", "replies", "respond", "sidebar", "signup", "sponsor", "sponsored", "subscribe", "toolbar", "topbar", "widget", "masthead", "reactions", "login"}
 BAD_ROLES = {"navigation", "banner", "contentinfo", "complementary", "dialog", "form", "menu"}
 WORDS = re.compile(r"[a-z]+|[0-9]+")
+#: What may stand behind a bad word in a name of several words: ``sidebar-left`` is a sidebar, ``header-files`` isn't a header.
+PLACES = {"area", "bar", "block", "bottom", "box", "button", "column", "container", "content", "footer", "form", "group", "holder", "inner", "item", "items", "left", "link", "links", "list", "main", "outer", "panel", "primary", "region", "right", "secondary", "section", "slot", "text", "title", "top", "unit", "widgets", "wrap", "wrapper"}
+#: Names with these words say what a page has or lacks, not what the element is.
+ABOUT = {"has", "hide", "is", "no", "non", "not", "show", "with", "without"}
+#: Inline elements are left out by these words alone, or by their tag.
+ADVERTS = {"ad", "ads", "advert", "adverts", "advertisement", "advertising", "banner", "promo", "promotion", "sponsor", "sponsored"}
+INLINE_OUT = {"button", "select"}
 
 
 class Element:
@@ -74,7 +81,23 @@ def left_out(tag: str, found: dict[str, str], inside_main: bool) -> bool:
         return True
     if tag in ("body", "html", "main", "article", "h1", "h2"):
         return False
-    return any(w in BAD_WORDS for name in ("class", "id") for w in WORDS.findall(found.get(name, "").lower()))
+    return any(named(found.get(name, ""), BAD_WORDS) for name in ("class", "id"))
+
+
+def named(value: str, bad: set[str]) -> bool:
+    """True if a name of the attribute is a bad word, ends with one, or begins with one and goes on with a place or number."""
+    for name in value.lower().split():
+        words = WORDS.findall(name)
+        if words and not ABOUT.intersection(words):
+            tail = [w for w in words if not w.isdigit()] or [""]
+            if tail[-1] in bad or tail[0] in bad and all(w in bad or w in PLACES for w in tail[1:]):
+                return True
+    return False
+
+
+def inline_out(tag: str, found: dict[str, str]) -> bool:
+    """True for inline elements that are never main text: controls and adverts."""
+    return tag in INLINE_OUT or any(named(found.get(name, ""), ADVERTS) for name in ("class", "id"))
 
 
 def blocks_of(page: str) -> list[tuple[str, Element, int]]:
@@ -134,11 +157,11 @@ def blocks_of(page: str) -> list[tuple[str, Element, int]]:
             close("p")
         if tag == "li" and stack[-1].tag == "li":
             close("li")
-        if tag not in BLOCKS and tag != "span":  # inline elements don't hold blocks together
+        parent, found = stack[-1], attributes(m.group(3))
+        inline = tag not in BLOCKS and tag != "span"
+        if inline and not parent.out and not inline_out(tag, found):  # inline elements don't hold blocks together
             continue
-        found = attributes(m.group(3))
-        parent = stack[-1]
-        out = parent.out or left_out(tag, found, is_open["article"] + is_open["main"] > 0)
+        out = parent.out or inline or left_out(tag, found, is_open["article"] + is_open["main"] > 0)
         name = tag + "".join("." + re.sub("[0-9]+", "0", c) for c in sorted(found.get("class", "").split()))
         stack.append(Element(tag, name, out, parent))
         is_open[tag] += 1
