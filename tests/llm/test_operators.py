@@ -493,3 +493,46 @@ def test_stored_graphs_are_restored():
     again = links.Graph.restored(x, graph.stored())
     assert len(graph.layers) == len(again.layers)
     assert all((a == c).all() and (b == d).all() for (a, b), (c, d) in zip(graph.layers, again.layers, strict=True))
+
+
+def test_names_of_elements_are_read_as_wholes(spark):
+    story = "<p>some words that are long enough to count here</p>"
+    odd = {
+        1: f'<body><div class="content no-sidebar">{story}</div>',
+        2: f'<body><article>{story}<div class="ad-hoc-networks"><p>Ad hoc.</p></div><section id="header-files"><p>Files.</p></section></article>',
+        3: f'<body><article>{story}<div class="site-header">X</div><div id="sidebar-left">Y</div><div class="ad-slot-3">Z</div><div class="comment-list">Q</div></article>',
+        4: f"<body><article>{story}<p>Sub <button>Subscribe <b>now</b> or <b>later</b></button>Pick <select><option>a<option>b</select>one</p><dialog>We use cookies</dialog><menu><li>Save</li></menu><p>End</p></article>",
+        5: f'<body><article>{story}<p>Before <a class="advert" href="/x">Buy <a>this</a> or <i>that</i></a><ins class="ads">Buy</ins>after <a class="header-link">link</a>.</p></article>',
+        6: f'<body><article>{story}<img alt="5" screen"><p>lost text here</p><p title=\'a > "b\'>kept "too".</p></article>',
+        7: f'<body><div class="page-with-sidebar is-header">{story}</div>',
+    }
+    rows = [(i, f"http://h{i}/", t) for i, t in odd.items()]
+    got = {r.page_id: r.text for r in pages.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    first = "some words that are long enough to count here"
+    assert got[1] == got[3] == got[7] == first
+    assert got[2] == f"{first}\n\nAd hoc.\n\nFiles." and got[4] == f"{first}\n\nSub Pick one\n\nEnd"
+    assert got[5].startswith(f"{first}\n\nBefore ") and got[5].endswith("after link.") and "Buy" not in got[5]
+    assert got[6] == f'{first}\n\nlost text here\n\nkept "too".'
+
+
+def test_vectors_that_share_an_id(spark):
+    rng = np.random.default_rng(21)
+    a, b, c = (rng.normal(size=8) for _ in range(3))
+    given = [(5, a), (5, b), (-7, a * 2), (6, b * 3), (6, b * 3), (9, c)]
+    rows = [(i, [float(x) for x in v]) for i, v in given]
+    got = sorted(tuple(r) for r in links.near_duplicates(vectors(spark, rows)).select("vec_id", "n_links", "component_id", "kept").collect())
+    assert got == [(-7, 1, -7, True), (5, 1, -7, False), (5, 2, 5, True), (6, 2, 5, False), (6, 2, 5, False), (9, 0, 9, True)]
+
+
+def test_searches_with_repeated_queries_and_ids(spark):
+    rng = np.random.default_rng(22)
+    x = rng.normal(size=(300, 4)).astype(np.float32).astype(float)
+    rows = [(0, list(x[0]))] * 40 + [(100, list(x[1])), (100, list(x[2]))] + [(i + 1000, list(v)) for i, v in enumerate(x)] + [(200, [1.0, 2.0]), (201, [1.0, 3.0]), (202, [9.0, 3.0])]
+    table = vectors(spark, [(i, [float(c) for c in v]) for i, v in rows])
+    got = ann.search(table, table.where("vec_id % 100 = 0 AND vec_id < 1000"), recall=1.0).collect()
+    want = []
+    for query, v in {(i, tuple(v)) for i, v in rows if i % 100 == 0 and i < 1000}:
+        near = sorted((float(np.sqrt(((np.array(w) - v) ** 2).sum())), i) for i, w in rows if i != query and len(w) == len(v))[:10]
+        want += [(query, rank + 1, i, s) for rank, (s, i) in enumerate(near)]
+    assert [r[:3] for r in sorted(tuple(r) for r in got)] == [w[:3] for w in sorted(want)]
+    assert len(got) == 32
