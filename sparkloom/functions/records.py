@@ -119,3 +119,72 @@ def snake_keys(json: Column) -> Column:
 def known(value: Column, *sentinels: str) -> Column:
     """Null for a text that only says that nothing is known."""
     return F.when(~F.trim(value).isin(*sentinels), value)
+
+
+def html_lines(html: Column) -> Column:
+    """Lines between line breaks without tags, with the common references read, trimmed; empty ones go."""
+
+    def line(x: Column) -> Column:
+        x = F.regexp_replace(x, "<[^>]+>", "")
+        for pattern, plain in (("&nbsp;?", " "), ("&amp;", "&"), ("&#x27;|&apos;", "'"), ("&quot;", '"'), ("&lt;", "<"), ("&gt;", ">")):
+            x = F.regexp_replace(x, pattern, plain)
+        return F.trim(x)
+
+    return F.filter(F.transform(F.split(html, r"(?i)<br\s*/?>"), line), lambda x: x != "")
+
+
+def key_values(lines: Column, mark: str = ":") -> Column:
+    """A map of the lines that hold ``mark``: what stands before its first one, and behind, both trimmed; a key or value that is empty goes; the last of a key wins."""
+    pairs = F.transform(F.filter(lines, lambda x: x.contains(mark)), lambda x: F.struct(F.trim(F.substring_index(x, mark, 1)).alias("key"), F.trim(F.substr(x, F.instr(x, mark) + F.lit(len(mark)))).alias("value")))
+    kept = F.filter(pairs, lambda p: (p["key"] != "") & (p["value"] != ""))
+    later = lambda all_, i: F.transform(F.slice(all_, i + 2, F.size(all_)), lambda p: p["key"])
+    lasts = F.transform(F.array(kept), lambda all_: F.filter(all_, lambda p, i: ~F.array_contains(later(all_, i), p["key"])))[0]
+    return F.map_from_entries(lasts)
+
+
+def sections(text: Column, header: str) -> Column:
+    """``(place, header, body)`` of each header in a text: the body goes to the next one; what stands before the first has place 0 and no header.
+
+    Headers and bodies come from one pattern, which must not match the empty text; row by row, without a shuffle.
+    """
+    heads = F.regexp_extract_all(text, F.lit(f"({header})"), F.lit(1))
+    bodies = F.split(text, header)
+    return F.transform(bodies, lambda body, i: F.struct(i.cast("bigint").alias("place"), F.when(i > 0, F.get(heads, i - 1)).alias("header"), body.alias("body")))
+
+
+def flat_labels(document: Column) -> Column:
+    """``{language: {"value": text}}`` as a map of language to text; entries without a text go, nothing left is an empty map (M5)."""
+    parsed = F.from_json(document, "map<string, struct<value: string>>")
+    found = F.map_filter(F.transform_values(parsed, lambda _, v: v["value"]), lambda _, v: v.isNotNull())
+    return F.coalesce(found, F.create_map().cast("map<string, string>"))
+
+
+def split_building_ids(document: Column) -> Column:
+    """A JSON list with ids ``12/34-5`` as ``12/34``, and ``5`` as a sheet number of their object; anything but a list stays as it is (M7)."""
+    items = F.try_variant_get(F.try_parse_json(document), "$", "array<map<string, variant>>")
+
+    def rewritten(item: Column) -> Column:
+        ref = F.try_variant_get(F.try_element_at(item, F.lit("building_id")), "$", "string")
+        parts = lambda group: F.regexp_extract(ref, r"^([0-9]+/[0-9]+)-([0-9]+)\z", group).cast("variant")
+        new = F.map_from_arrays(F.array(F.lit("building_id"), F.lit("feuillet_number")), F.array(parts(1), parts(2)))
+        return F.when(ref.rlike(r"^[0-9]+/[0-9]+-[0-9]+\z"), merged_map(item, new)).otherwise(item)
+
+    return F.when(items.isNotNull(), F.to_json(F.transform(items, rewritten))).otherwise(document)
+
+
+def by_language(items: Column, language: str) -> Column:
+    """The text of the first of ``(language, text)`` in a language, whatever its case; null without one."""
+    return F.try_element_at(F.filter(items, lambda x: F.lower(x["language"]) == language.lower()), F.lit(1))["text"]
+
+
+def tidy_record(document: Column, *listed: str) -> Column:
+    """A JSON object without its null keys; of the keys in ``listed`` an empty list or object goes, any other becomes its JSON text.
+
+    Values of other keys keep their kind. Keys come in their own order; what is no object gives null.
+    """
+    entries = F.map_entries(F.try_variant_get(F.try_parse_json(document), "$", "map<string, variant>"))
+    nested = lambda e: e["key"].isin(*listed) & F.to_json(e["value"]).rlike(r"^[\[{]")
+    blank = lambda e: F.is_variant_null(e["value"]) | (nested(e) & F.to_json(e["value"]).isin("[]", "{}"))
+    text = lambda e: F.when(nested(e), F.to_json(e["value"]).cast("variant")).otherwise(e["value"])
+    kept = F.transform(F.filter(entries, lambda e: ~blank(e)), lambda e: F.struct(e["key"].alias("key"), text(e).alias("value")))
+    return F.to_json(F.map_from_entries(kept))

@@ -50,3 +50,96 @@ def fill_if_empty(old: Column, new: Column) -> Column:
 def within_vocabulary(labels: Column, allowed: Column) -> Column:
     """True if every label is in the list."""
     return F.size(F.array_except(labels, allowed)) == 0
+
+
+#: Patterns of property types in notices and their names, in the order in which they count; codes are matched as written.
+PROPERTY_TYPES = (
+    (r"(?-i)\bPPE\b", "PPE"),
+    (r"(?-i)\bCOP\b", "COP"),
+    (r"(?-i)\bB-F\b", "B-F"),
+    (r"\bterrain\s+b[aâ]ti\b", "terrain bati"),
+    (r"\bterrain\s+non\s+b[aâ]ti\b", "terrain non bati"),
+    (r"\bhabitation\s+individuelle\b", "habitation individuelle"),
+    (r"\bappartement\b", "appartement"),
+    (r"\bvilla\b", "villa"),
+    (r"\bimmeuble\b", "immeuble"),
+    (r"\brurale?\b", "rural"),
+    (r"\bgarage\b", "garage"),
+    (r"\bplace\s+de\s+parc\b", "place de parc"),
+    (r"\bchalet\b", "chalet"),
+    (r"\bparcelle\b", "parcelle"),
+    (r"\bpart\s+de\s+copropri[eé]t[eé]\b", "COP"),
+    (r"\bEigentumswohnung\b", "PPE"),
+    (r"\bStockwerkeigentum\b", "PPE"),
+)
+#: Cantons whose language is German.
+GERMAN_CANTONS = ("ZH", "BE", "AG", "BL", "BS", "GR", "LU", "SG", "SH", "SO", "SZ", "TG", "UR", "ZG", "OW", "NW", "GL", "AR", "AI")
+#: Words that no label of a legend holds.
+SKIPPED_LABELS = ("echelle", "legende", "légende", "commune de", "plan directeur", "urbaplan")
+#: Connectors at the end of a label that goes on elsewhere.
+CONNECTORS = "à|de|du|des|et|en|au|aux|par|pour|sur|sous|la|le|les|liée?s?\\s+à"
+#: A sentence break, a colon at the end, a bullet, a number or range alone, two sentences.
+PARAGRAPHS = (
+    r"\.\s+[A-ZÉÈÊÀÂÎÔÛÇ]",
+    r":\s*$",
+    r"^\s*(?:[>•·]|-\s|–\s|—\s)",
+    r"^\s*\d+(?:\.\d+)?(?:\s*[-–]\s*\d+(?:\.\d+)?)?\s*$",
+    r"[.!?]\s+[\p{L}\p{N}_]+.*[.!?]",
+)
+
+
+def property_type(x: Column) -> Column:
+    """The first of :data:`PROPERTY_TYPES` in a text, null without one; letters with marks are letters, also at a word's end."""
+    return first_match(x, [(f"(?U){pattern}", label) for pattern, label in PROPERTY_TYPES])
+
+
+def portal(ref: Column, default: str) -> Column:
+    """Where an id comes from by its form: ``mig-`` ahead, or two groups of four and one of three digits; ``unknown`` without an id."""
+    return F.when(F.coalesce(ref, F.lit("")) == "", "unknown").when(ref.startswith("mig-"), "migrated").when(ref.rlike(r"^[A-Z0-9]{4}-[A-Z0-9]{4}-[0-9]{3}\z"), "newhome").otherwise(default)
+
+
+def canton_language(language: Column, canton: Column) -> Column:
+    """A stated language's first two letters, else the canton's language, French by default."""
+    stated = F.lower(F.left(F.nullif(language, F.lit("")), F.lit(2)))
+    return F.coalesce(stated, F.when(canton == "TI", "it").when(canton.isin(*GERMAN_CANTONS), "de"), F.lit("fr"))
+
+
+def extra_properties(items: Column) -> Column:
+    """A struct of what a listing's free remarks say, by substring, the last of a kind; each remark counts as its first kind (M9)."""
+    kinds = {"floor": ("floor", "étage"), "availability": ("available", "disponible"), "parcel_m2": ("surface propriété",), "usable_m2": ("surface utilisable",), "built": ("construit en",)}
+
+    def kind_of(x: Column) -> Column:
+        low = F.lower(x)
+        chain = F.lit(None).cast("string")
+        for name, words in reversed(kinds.items()):
+            found = low.contains(words[0])
+            for word in words[1:]:
+                found = found | low.contains(word)
+            chain = F.when(found, name).otherwise(chain)
+        return chain
+
+    last = lambda name: F.try_element_at(F.filter(items, lambda x: kind_of(x) == name), F.lit(-1))
+    number = lambda name: F.nullif(F.regexp_extract(last(name), "[0-9]+", 0), F.lit("")).try_cast("bigint")
+    return F.struct(last("floor").alias("floor"), last("availability").alias("availability"), *[number(k).alias(k) for k in ("parcel_m2", "usable_m2", "built")])
+
+
+def truncated_label(label: Column) -> Column:
+    """True for a label that ends with one of :data:`CONNECTORS` behind a blank."""
+    return F.coalesce(label.rlike(rf"(?iu)\s+(?:{CONNECTORS})\s*$"), F.lit(False))
+
+
+def noise_label(label: Column) -> Column:
+    """True for what is no label: a skipped word, a scale bar, fewer than three characters between blanks and dashes; null is noise."""
+    low = F.lower(F.regexp_replace(label, "^[ /–—-]+|[ /–—-]+$", ""))
+    found = (F.length(low) < 3) | low.rlike(r"^[0-9\s'’.,m]+$")
+    for word in SKIPPED_LABELS:
+        found = found | low.contains(word)
+    return F.coalesce(found, F.lit(True))
+
+
+def paragraph_label(label: Column) -> Column:
+    """True for a text with one of the five shapes of running text in :data:`PARAGRAPHS` (F8)."""
+    found = F.lit(False)
+    for pattern in PARAGRAPHS:
+        found = found | label.rlike(pattern)
+    return F.coalesce(found, F.lit(False))

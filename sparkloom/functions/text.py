@@ -148,3 +148,41 @@ def file_name(*parts: Column, url: Column) -> Column:
 def absolute_url(x: Column, base: str) -> Column:
     """Relative addresses below ``base``."""
     return F.when(x.rlike(r"^https?://"), x).when(x.startswith("//"), F.concat(F.lit("https:"), x)).otherwise(F.concat(F.lit(base.rstrip("/") + "/"), F.regexp_replace(x, "^/+", "")))
+
+
+def house_style(html: Column, dropped_domains: tuple[str, ...] = ()) -> Column:
+    """Dashes, blanks before punctuation and amounts as the house writes them; links to some domains lose their tag, other outer ones open a new page.
+
+    ``1'500 francs`` becomes ``CHF 1'500.-`` and ``12.50 CHF`` becomes ``CHF 12.50``.
+    """
+    x = F.replace(F.replace(html, F.lit("—"), F.lit(" - ")), F.lit("–"), F.lit("-"))
+    x = F.regexp_replace(x, r"[\s ]+([;:!?])", "$1")
+    # a mark behind amounts with a fraction keeps the second rule off them
+    x = F.regexp_replace(F.translate(x, "\u0001", ""), r"(?i)([0-9][0-9']*\.[0-9]{2})[\s ]*(?:CHF|francs?)", "CHF $1\u0001")
+    x = F.regexp_replace(x, r"(?i)([0-9][0-9']*)[\s ]*(?:CHF|francs?)", "CHF $1.-")
+    x = F.regexp_replace(F.translate(x, "\u0001", ""), "  +", " ")
+    x = F.regexp_replace(x, EDGE_SPACE, "")
+    for domain in dropped_domains:
+        host = domain.replace(".", r"\.")
+        x = F.regexp_replace(x, rf'(?i)<a\s[^>]*href="[^"]*{host}[^"]*"[^>]*>(.*?)</a>', "$1")
+    return F.regexp_replace(x, r'(?i)<a\s+(href="https?://[^"]*")', '<a $1 target="_blank" rel="noopener"')
+
+
+def without_phrases(x: Column, site: str) -> Column:
+    """A description without a site's own phrases, links to it and notes on visits; at most one blank line in a row; nothing left is null."""
+    # The phrases, with the site's name as a parameter.
+    phrases = (
+        rf"Dis[- ]?moi que tu m[''’]as vue? sur {site}\s*!?",
+        rf"Tell me that you saw me on {site}\s*!?",
+        rf"Dime que me viste en {site}\s*!?",
+        rf"Oui,?\s*je suis sur {site} et j[''’]aime [çc]a\s*!?",
+        rf"Invitez[- ]moi [àa] vous rendre visite [àa] {site}\s*!?",
+        r"Pour voir mes photos non censur[ée]es\s*:?\s*",
+        rf"https?://(?:www\.)?{site}\.ch/ad/[^\s)}}\]\"]*",
+        r"Incall\s*:?\s*Je re[çc]ois en (?:appartement priv[ée]|salon)\.?\s*",
+        r"Incall\s*:?\s*Recibo en apartamento privado\.?\s*[¡!]?\s*",
+        r"Outcall\s*:?\s*Je (?:peux me d[ée]placer|ne me d[ée]place pas)\.?\s*",
+    )
+    for phrase in phrases:
+        x = F.regexp_replace(x, f"(?iu){phrase}", "")
+    return F.nullif(F.regexp_replace(F.regexp_replace(x, r"\n{3,}", "\n\n"), EDGE_SPACE, ""), F.lit(""))

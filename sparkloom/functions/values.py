@@ -102,3 +102,40 @@ def lv03_to_wgs84(east: Column, north: Column) -> tuple[Column, Column]:
     lon = 2.6779094 + 4.728982 * y + 0.791484 * y * x + 0.1306 * y * x * x - 0.0436 * y * y * y
     lat = 16.9023892 + 3.238272 * x - 0.270978 * y * y - 0.002528 * x * x - 0.0447 * y * y * x - 0.0140 * x * x * x
     return lon * 100 / 36, lat * 100 / 36
+
+
+def prefix_integer(x: Column) -> Column:
+    """The whole number that a text begins with, whatever follows; null without one."""
+    return F.nullif(F.regexp_extract(x, r"^\s*([-+]?[0-9]+)", 1), F.lit("")).try_cast("bigint")
+
+
+def day_first(x: Column) -> Column:
+    """``d/m/yyyy`` as ``yyyy-mm-dd``; a text of any other number of parts passes through, trimmed."""
+    parts = F.split(F.trim(x), "/")
+    two = lambda i: F.when(F.length(parts[i]) < 2, F.lpad(parts[i], 2, "0")).otherwise(parts[i])
+    return F.when(F.size(parts) == 3, F.concat_ws("-", F.get(parts, F.lit(2)), two(1), two(0))).otherwise(F.trim(x))
+
+
+def candle_times(open_ms: Column, interval_ms: Column) -> Column:
+    """Opening and closing time (a millisecond before the next one opens), hour and day of week with Sunday as 0, from milliseconds."""
+    opened = F.timestamp_millis(open_ms)
+    return F.struct(opened.alias("open_time"), F.timestamp_millis(open_ms + interval_ms - 1).alias("close_time"), F.hour(opened).alias("hour_utc"), sunday_first(opened).alias("dow_utc"))
+
+
+def fetch_from(newest: Column, today: Column, days: int) -> Column:
+    """First day to fetch: ``days`` before today, or the newest day known where that is earlier, so that no gap is left."""
+    return F.least(newest.cast("date"), F.date_sub(today, days))
+
+
+def swiss_point(lines: Column) -> Column:
+    """``(lon, lat)`` of the first line ``2600000.5/1200000``, null without one."""
+    pattern = r"^([0-9]{7}\.?[0-9]*)/([0-9]{7}\.?[0-9]*)\z"
+    line = F.try_element_at(F.filter(lines, lambda x: x.rlike(pattern)), F.lit(1))
+    metres = [F.regexp_extract(line, pattern, i).try_cast("double") - d for i, d in ((1, 2e6), (2, 1e6))]
+    lon, lat = lv03_to_wgs84(*metres)
+    return F.when(line.isNotNull(), F.struct(lon.alias("lon"), lat.alias("lat")))
+
+
+def ewkt(point: Column) -> Column:
+    """A point ``(lon, lat)`` as text with its reference system."""
+    return F.concat(F.lit("SRID=4326;POINT("), point["lon"].cast("string"), F.lit(" "), point["lat"].cast("string"), F.lit(")"))

@@ -94,3 +94,19 @@ def mark_stale(df: DataFrame, seen: Column, now: Column, days: int, fetched: int
         return df
     stale = (F.col(state) == "online") & (seen < F.date_sub(now, days))
     return df.withColumn(state, F.when(stale, "offline").otherwise(F.col(state)))
+
+
+def work_list(df: DataFrame, known: DataFrame, keys: list[str], mode: str, share: float = 0.1) -> DataFrame:
+    """Rows to fetch: all of them to seed; daily, those whose keys aren't known yet and a fixed ``share`` of the known.
+
+    The share goes by a digest of the keys, so a replay takes the same rows. Adds ``is_new``. Null keys are keys like any other.
+    """
+    if mode not in ("seed", "daily"):
+        raise ValueError(f"unknown mode: {mode}")
+    had = known.select(*keys).distinct().withColumn("__had", F.lit(True)).alias("old")
+    marked = df.alias("new").join(had, same_keys("new", "old", keys), "left").select("new.*", F.col("__had").isNull().alias("is_new"))
+    if mode == "seed":
+        return marked
+    named = F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("~")) for k in keys])
+    drawn = F.conv(F.substring(F.md5(named), 1, 4), 16, 10).cast("int")
+    return marked.where(F.col("is_new") | (drawn < int(share * 65536)))

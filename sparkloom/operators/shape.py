@@ -68,3 +68,15 @@ def streaks(df: DataFrame, keys: list[str], order: list[str | Column], failed: C
 def first_children(df: DataFrame, parent: str, order: Column, value: str) -> DataFrame:
     """The value of the first child of each parent, combined map-side."""
     return df.groupBy(parent).agg(F.min_by(value, order).alias(value))
+
+
+def writable(df: DataFrame, known: list[str], excluded: tuple[str, ...] = (), **constants: object) -> DataFrame:
+    """The columns that a target knows, in its order, but for the ``excluded`` ones; ``constants`` fill theirs in every row.
+
+    What the target doesn't know goes; known columns that the rows lack aren't made up.
+    """
+    wanted = [c for c in known if c not in excluded]
+    unknown = [c for c in constants if c not in wanted]
+    if unknown:
+        raise ValueError(f"not writable: {', '.join(unknown)}")
+    return df.select(*[F.lit(constants[c]).alias(c) if c in constants else F.col(f"`{c}`") for c in wanted if c in constants or c in df.columns])

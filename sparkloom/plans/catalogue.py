@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sparkloom.plans import archives, changes, elements, extras, layouts, lookups, matching, medallion, records, runs, texts
+from sparkloom.plans import archives, changes, elements, extras, fields, layouts, lookups, matching, medallion, records, runs, texts
 
 Query = Callable[[SparkSession, str], DataFrame]
-MODULES = (medallion, changes, lookups, texts, extras, records, layouts, matching, archives, elements, runs)
+MODULES = (medallion, changes, lookups, texts, extras, records, layouts, matching, archives, elements, runs, fields)
 
 
 def queries() -> dict[str, Query]:

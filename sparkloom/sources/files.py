@@ -75,17 +75,39 @@ def read_json_pages(spark: SparkSession, path: str, records: str | None = None)
     return pages.select(F.explode(records).alias("r")).select("r.*") if records else pages
 
 
-def read_xml(spark: SparkSession, path: str, row_tag: str, schema: StructType | None = None) -> DataFrame:
+def read_xml(spark: SparkSession, path: str, row_tag: str, schema: StructType | str | None = None) -> DataFrame:
     """XML rows without name spaces."""
     reader = spark.read.format("xml").option("rowTag", row_tag).option("ignoreNamespace", True)
     return (reader.schema(schema) if schema else reader).load(path)
 
 
-def read_jsonl_log(spark: SparkSession, path: str) -> DataFrame:
-    """A run log; broken lines are left out."""
+def read_jsonl_log(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+    """A run log; broken lines are left out (K14). With a ``schema`` the log is read once, else once more to infer it."""
     lines = spark.read.text(path).where(F.try_parse_json("value").isNotNull())
-    fields = [f for f in spark.read.json(path).schema.fields if f.name != "_corrupt_record"]
-    return lines.select(F.from_json("value", StructType(fields)).alias("row")).select("row.*")
+    fields = (schema or spark.read.json(path).schema).fields
+    return lines.select(F.from_json("value", StructType([f for f in fields if f.name != "_corrupt_record"])).alias("row")).select("row.*")
+
+
+def append_jsonl_log(df: DataFrame, path: str) -> None:
+    """Adds rows to a run log, a JSON object a line; what is there stays."""
+    df.write.mode("append").option("ignoreNullFields", "false").json(path)
+
+
+def routed(frames: dict[str, DataFrame], routes: dict[str, dict], field: str = "table") -> dict[str, DataFrame]:
+    """Target table to what goes there, for one destination: ``field`` picks the table's name in each set's route, ``renames`` the columns' (I18).
+
+    Sets whose route names no table for this destination are left out; two that name the same one, or a set without a route, are an error.
+    """
+    found: dict[str, DataFrame] = {}
+    for name, df in frames.items():
+        route = routes[name]
+        target = route.get(field)
+        if not target:
+            continue
+        if target in found:
+            raise ValueError(f"two sets go to {target}")
+        found[target] = df.withColumnsRenamed(route.get("renames", {}))
+    return found
 
 
 def read_table(spark: SparkSession, url: str, name: str, **options: str) -> DataFrame:
