@@ -131,15 +131,10 @@ def truncated_label(label: Column) -> Column:
 def noise_label(label: Column) -> Column:
     """True for what is no label: a skipped word, a scale bar, fewer than three characters between blanks and dashes; null is noise."""
     low = F.lower(F.regexp_replace(label, "^[ /–—-]+|[ /–—-]+$", ""))
-    found = (F.length(low) < 3) | low.rlike(r"^[0-9\s'’.,m]+$")
-    for word in SKIPPED_LABELS:
-        found = found | low.contains(word)
-    return F.coalesce(found, F.lit(True))
+    # one pattern, as inside a lambda each use of a column is computed again
+    return F.coalesce(low.rlike(rf"(?s)^.{{0,2}}\z|^[0-9\s'’.,m]+$|{'|'.join(SKIPPED_LABELS)}"), F.lit(True))
 
 
 def paragraph_label(label: Column) -> Column:
     """True for a text with one of the five shapes of running text in :data:`PARAGRAPHS` (F8)."""
-    found = F.lit(False)
-    for pattern in PARAGRAPHS:
-        found = found | label.rlike(pattern)
-    return F.coalesce(found, F.lit(False))
+    return F.coalesce(label.rlike("|".join(PARAGRAPHS)), F.lit(False))
