@@ -10,7 +10,8 @@ Of windows that overlap, the one with most hits less misses is the notice (a ful
 ties by coefficient); the others are sought again in the words that are left. Templates are a parameter: pairs of a name
 and a text; by default, one-sentence notices and the full texts in ``licence_texts``.
 
-Null and empty texts have no notices; ties go to the template listed first; repeated rows are scanned each for itself.
+Null and empty texts have no notices; ties go to the template listed first, then to the earlier place; repeated rows are scanned each
+for itself; an empty table gives no rows; columns other than the id and the text aren't read.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from __future__ import annotations
 import heapq
 import math
 import re
-from bisect import bisect_right, insort
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from importlib import resources
@@ -29,6 +30,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 LEAST = 0.8
+#: Windows of templates up to so many bigrams are computed for all starts at once.
+SHORT = 64
 
 # Public notices as their licences word them.
 NOTICES = (
@@ -86,26 +89,76 @@ class Matcher:
         self.most = [math.floor(n * (2 - least) / least + 1e-9) for n in self.sizes]
         self.fewest = min(self.need, default=math.inf)
 
-    def window(self, k: int, place: np.ndarray, kind: np.ndarray, at: int, end: int) -> tuple | None:
+    def prior(self, k: int, kind: np.ndarray) -> np.ndarray:
+        """For each hit the hit of its kind as many places before as the template holds it, else -1: it counts in a window that starts behind that."""
+        order = np.argsort(kind, kind="stable")
+        ranked = kind[order]
+        held = self.counts[k][ranked]
+        at = np.arange(len(kind))
+        full = at - np.searchsorted(ranked, ranked) >= held
+        out = np.full(len(kind), -1, np.int64)
+        out[order[full]] = order[at[full] - held[full]]
+        return out
+
+    def window(self, k: int, place: np.ndarray, prior: np.ndarray, at: int, end: int) -> tuple | None:
         """Best window of template ``k`` that starts at hit ``at`` and ends before bigram ``end``."""
         stop = np.searchsorted(place, min(end, place[at] + self.most[k]))
-        own = kind[at:stop]
-        # a kind counts as often as the template holds it
-        order = np.argsort(own, kind="stable")
-        ranked = own[order]
-        rank = np.empty(len(own), np.int64)
-        rank[order] = np.arange(len(own)) - np.searchsorted(ranked, ranked)
-        hits = np.cumsum(rank < self.counts[k][own])
-        size = place[at:stop] - place[at] + 1
-        dice = 2 * hits / (size + self.sizes[k])
-        worth = np.where(dice >= self.least, 2 * hits - size, -math.inf)
-        if not len(worth) or worth.max() == -math.inf:
+        if stop <= at:
             return None
-        best = np.lexsort((-dice, -worth))[0]
-        return (-int(worth[best]), -float(dice[best]), k, int(place[at]), int(place[at + best]) + 1, at)
+        hits = np.cumsum(prior[at:stop] < at, dtype=np.int32)
+        size = place[at:stop] - (place[at] - 1)
+        worth = 2 * hits - size
+        total = self.sizes[k]
+        # of equal worth the longest window has the best coefficient
+        best = len(worth) - 1 - int(worth[::-1].argmax())
+        if 2 * hits[best] / (size[best] + total) < self.least:
+            if worth[best] < self.least * total - (1 - self.least) * self.most[k] - 1e-6:
+                return None
+            able = 2 * hits / (size + total) >= self.least
+            if not able.any():
+                return None
+            worth = np.where(able, worth, worth.min() - 1)
+            best = len(worth) - 1 - int(worth[::-1].argmax())
+        return (-int(worth[best]), -float(2 * hits[best] / (size[best] + total)), k, int(place[at]), int(place[at + best]) + 1, at)
+
+    def windows(self, k: int, place: np.ndarray, prior: np.ndarray, starts: np.ndarray) -> Iterator[tuple]:
+        """The best window of each start of a short template, some thousand starts at a time."""
+        for low in range(0, len(starts), 4096):
+            at = starts[low : low + 4096, None]
+            stop = np.searchsorted(place, place[at] + self.most[k])
+            reach = at + np.arange(int((stop - at).max()))
+            inside = reach < stop
+            reach = np.minimum(reach, len(place) - 1)
+            hits = np.cumsum((prior[reach] < at) & inside, axis=1)
+            size = place[reach] - place[at] + 1
+            dice = 2 * hits / (size + self.sizes[k])
+            worth = np.where(inside & (dice >= self.least), 2 * hits - size, -math.inf)
+            most = worth.max(1)
+            best = np.where(worth == most[:, None], dice, -1).argmax(1)
+            for i in np.flatnonzero(most > -math.inf):
+                yield (-int(most[i]), -float(dice[i, best[i]]), k, int(place[at[i, 0]]), int(place[at[i, 0] + best[i]]) + 1, int(at[i, 0]))
+
+    def bound(self, k: int, place: np.ndarray, prior: np.ndarray, low: int, high: int, end: int) -> tuple | None:
+        """A block of starts ``low`` to ``high`` (exclusive) with a worth that none of its windows before bigram ``end`` exceeds; None if none can count."""
+        last, total = high - 1, self.sizes[k]
+        stop = np.searchsorted(place, min(end, place[last] + self.most[k]))
+        if stop <= low:
+            return None
+        hits = np.minimum(np.cumsum(prior[low:stop] < last, dtype=np.int32), total)
+        size = np.maximum(place[low:stop] - (place[last] - 1), 1)
+        able = 2 * hits >= self.least * (size + total) - 1e-9
+        worth = (2 * hits - size)[able]
+        if not len(worth):
+            return None
+        most = min(int(worth.max()), int(total))  # a window's worth is at most its hits
+        return (-most, -float((most + self.most[k]) / (self.most[k] + total)) if most < total else -1.0, k, int(place[low]), high, -1 - low)
 
     def notices(self, text: str) -> list[tuple[float, str]]:
-        """Coefficient and name of each notice; a notice's words are in no other."""
+        """Coefficient and name of each notice; a notice's words are in no other.
+
+        Starts of a long template wait in blocks under a bound of their worth. Only a block at the head of the queue is split,
+        so that most starts lie in a notice that is taken before they are looked at.
+        """
         words = WORD.findall(text.lower())
         kinds = np.fromiter(map(self.kinds.get, zip(words, words[1:], strict=False), repeat(-1)), np.int64, max(0, len(words) - 1))
         places = np.flatnonzero(kinds >= 0)
@@ -113,28 +166,66 @@ class Matcher:
             return []
         kinds = kinds[places]
         hits, heap = {}, []
-        for k in np.flatnonzero(self.held[:, kinds].sum(1) >= self.need):
+        for k in np.flatnonzero(np.bincount(kinds, minlength=len(self.kinds)) @ self.held.T >= self.need):
+            k = int(k)
             own = self.held[k][kinds]
-            place, kind, need = places[own], kinds[own], self.need[k]
+            place, need = places[own], self.need[k]
             starts = np.flatnonzero(place[need - 1 :] - place[: len(place) - need + 1] < self.most[k])
-            if len(starts):
-                hits[k] = place, kind
-                heap += [w for at in starts if (w := self.window(k, place, kind, int(at), len(words)))]
+            if not len(starts):
+                continue
+            prior = self.prior(k, kinds[own])
+            hits[k] = place, prior
+            if self.sizes[k] <= SHORT:
+                heap += self.windows(k, place, prior, starts)
+                continue
+            # blocks of starts beside each other
+            size = max(1, int(self.sizes[k]) // 8)
+            for low in np.unique(starts // size) * size:
+                block = self.bound(k, place, prior, int(low), min(int(low) + size, len(place)), len(words))
+                heap += [block] if block else []
         heapq.heapify(heap)
-        taken: list[tuple[int, int]] = []
+        taken: list[tuple[int, int]] = []  # stretches of words, those beside each other as one
         found = []
+
+        def free_from(word: int) -> tuple[int, int]:
+            """The first word from ``word`` that isn't taken, and the first one behind it that is."""
+            i = bisect_right(taken, (word, math.inf))
+            if i and taken[i - 1][1] >= word:
+                word = taken[i - 1][1] + 1
+            return word, taken[i][0] if i < len(taken) else len(words) + 1
+
         while heap:
-            _, dice, k, low, high, at = heapq.heappop(heap)  # words low to high
-            i = bisect_right(taken, (low, math.inf))
-            if i and taken[i - 1][1] >= low:
+            _, dice, k, low, high, at = heapq.heappop(heap)
+            place, prior = hits[k]
+            if at < 0:  # starts -1 - at to high
+                low = max(-1 - at, int(np.searchsorted(place, free_from(low)[0])))
+                step = max(1, -(-(high - low) // 8))
+                for start in range(low, high, step):
+                    stop = min(start + step, high)
+                    word, until = free_from(int(place[start]))
+                    if stop - start == 1:
+                        part = self.window(k, place, prior, start, until - 1) if word == place[start] else None
+                    else:
+                        part = self.bound(k, place, prior, start, stop, until - 1 if place[stop - 1] < until and word == place[start] else len(words))
+                    if part:
+                        heapq.heappush(heap, part)
                 continue
-            if i < len(taken) and taken[i][0] <= high:
-                again = self.window(k, *hits[k], at, taken[i][0] - 1)
+            word, until = free_from(low)  # words low to high
+            if word > low:
+                continue
+            if until <= high:
+                again = self.window(k, place, prior, at, until - 1)
                 if again:
                     heapq.heappush(heap, again)
                 continue
-            insort(taken, (low, high))
             found.append((-dice, self.names[k]))
+            i = bisect_right(taken, (low, math.inf))
+            if i < len(taken) and taken[i][0] == high + 1:
+                high = taken.pop(i)[1]
+            if i and taken[i - 1][1] == low - 1:
+                low = taken.pop(i - 1)[0]
+                i -= 1
+            taken.insert(i, (low, high))
         return found
 
 

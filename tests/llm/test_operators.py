@@ -443,6 +443,66 @@ def test_licence_windows_against_brute_force():
         assert bool(found) == (best >= 0.8) and all(0.8 <= d <= best for d, _ in found)
 
 
+def greedy_notices(words: list[str], templates, least: float) -> list[tuple[float, str]]:
+    """Windows of all starts and ends, the one of most worth first, until none is left."""
+    grams = list(zip(words, words[1:], strict=False))
+    own = [(name, licences.bigrams(t)) for name, t in templates]
+    free, found = [True] * len(words), []
+    while True:
+        best = None
+        for k, (_, template) in enumerate(own):
+            total = template.total()
+            for i, first in enumerate(grams):
+                left, hits = template.copy(), 0
+                if first not in template:
+                    continue
+                for j in range(i, len(grams)):
+                    if not (free[j] and free[j + 1]):
+                        break
+                    if left[grams[j]] > 0:
+                        left[grams[j]] -= 1
+                        hits += 1
+                    size = j - i + 1
+                    dice = 2 * hits / (size + total)
+                    if grams[j] in template and dice >= least and (best is None or (size - 2 * hits, -dice, k, i) < best[0]):
+                        best = (size - 2 * hits, -dice, k, i), j
+        if best is None:
+            return found
+        (_, dice, k, i), j = best
+        free[i : j + 2] = [False] * (j + 2 - i)
+        found.append((-dice, own[k][0]))
+
+
+@pytest.mark.parametrize("short", [0, 64])
+def test_licence_notices_equal_a_greedy_search(monkeypatch, short):
+    monkeypatch.setattr(licences, "SHORT", short)
+    rng = np.random.default_rng(short)
+    vocabulary = [f"w{i}" for i in range(9)]
+    templates = [(n, " ".join(rng.choice(vocabulary, size))) for n, size in (("a", 24), ("b", 24), ("c", 11), ("d", 40))]
+    templates.append(("e", templates[0][1] + " w1 w2"))
+    matcher = licences.Matcher(templates)
+    some = 0
+    for _ in range(60):
+        words: list[str] = []
+        for _ in range(rng.integers(1, 5)):
+            piece = templates[rng.integers(len(templates))][1].split()
+            changed = rng.random(len(piece)) < rng.choice([0, 0.04, 0.1])
+            words += [rng.choice(vocabulary) if c else w for w, c in zip(piece, changed, strict=True)][rng.integers(0, 3) :]
+            words += ["x"] * rng.integers(0, 3)
+        expected = greedy_notices(words, templates, 0.8)
+        some += len(expected)
+        assert matcher.notices(" ".join(words)) == expected
+    assert some > 60
+
+
+def test_licences_many_in_one_document_and_odd_tables(spark):
+    full = dict(licences.full_texts())
+    many = spark.createDataFrame([(1, full["GPL-3.0"] * 16, 1), (1, full["GPL-3.0"] * 16, 2), (2, "Released under the MIT License. " * 3000, 3), (None, "Released under the MIT License.", 4)], "doc_id long, text string, best int")
+    got = sorted((tuple(r) for r in licences.scan(many).collect()), key=str)
+    assert got == [(1, 16, "GPL-3.0", 1.0)] * 2 + [(2, 3000, "MIT", 1.0), (None, 1, "MIT", 1.0)]
+    assert licences.scan(many.where("doc_id > 5")).count() == 0
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline
 
