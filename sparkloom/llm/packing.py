@@ -22,6 +22,8 @@ import re
 import zlib
 from array import array
 from collections.abc import Iterator
+from itertools import groupby
+from operator import itemgetter
 
 import numpy as np
 import pandas as pd
@@ -46,13 +48,16 @@ class WordIds:
 
     Texts of Latin letters are taken in lower case, as the vocabulary's normalizer does, and full stops and commas
     behind words as words of their own, so that fewer different words are met. A batch's words are numbered by Arrow,
-    each different one is looked up once, and numpy lays the ids out. A word of letters, the common case, goes to the
-    library's merge model as the library's own steps before it would hand it over (bytes as letters); all other words
-    go through the library whole. The table is cleared when it is full, and serves all tasks of a worker process.
+    each different one is looked up once, and Arrow lays the ids out. A word of letters, the common case, goes to the
+    library's merge model as the library's own steps before it would hand it over (bytes as letters); marks behind
+    letters are a piece of their own; all other words go through the library whole. When half the table is full, the
+    other half goes, and words met since stay. The table serves all tasks of a worker process.
     """
 
-    MOST, LONGEST = 300_000, 80
+    MOST, LONGEST = 240_000, 80
     LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+    #: Letters with marks behind them; an apostrophe may take letters into its piece, and "<" may begin a special token.
+    MARKED = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:;=-@\[-`{-~]+)")
     #: A mark behind another: these are one piece, which a space would part.
     MARKS_MEET = re.compile(r"[.,] (?<=[^\w\s].\x20)")
     #: Characters of the texts that are laid out together.
@@ -65,10 +70,13 @@ class WordIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         letters = [chr(c) for c in range(0xDF, 0x100) if chr(c).isalpha()]
-        self.as_bytes = str.maketrans({c: self.tokenizer.pre_tokenizer.pre_tokenize_str(c)[0][0] for c in letters})
+        self.as_bytes = {c: self.tokenizer.pre_tokenizer.pre_tokenize_str(c)[0][0] for c in letters}
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.marks: dict[str, bytes] = {}
         probe = ["haus", "été", "straße", "a", "niño", "word", "zoë"]
         self.direct = self.of_letters(probe) == [self.whole(w) for w in probe] == [self.whole(w.title()) for w in probe]
+        self.parted = self.direct and self.of_marked([(w, "$.!") for w in probe]) == [self.whole(f"{w}$.!") for w in probe]
 
     @classmethod
     def of(cls, path: str) -> WordIds:
@@ -77,16 +85,25 @@ class WordIds:
         return cls.shared[path]
 
     def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def of_letters(self, words: list[str]) -> list[bytes]:
         """Ids of words of Latin letters."""
         tokenize = self.tokenizer.model.tokenize
         ready = "\n".join(words).lower()
         if not ready.isascii():
-            ready = ready.translate(self.as_bytes)
+            for letter, pair in self.as_bytes.items():  # no pair holds a letter of these
+                ready = ready.replace(letter, pair)
         return [array("I", [t.id for t in tokenize(w)]).tobytes() for w in ready.split("\n")]
 
+    def of_marked(self, parts: list[tuple[str, str]]) -> list[bytes]:
+        """Ids of words of Latin letters with marks behind them."""
+        if len(self.marks) > self.MOST // 10:
+            self.marks.clear()
+        for marks in {m for _, m in parts}.difference(self.marks):
+            self.marks[marks] = self.whole(marks)
+        return [ids + self.marks[m] for ids, (_, m) in zip(self.of_letters([w for w, _ in parts]), parts, strict=True)]
+
     def ready(self, text: str) -> str:
         """A text whose words stand between single spaces."""
         text = text.replace("\n", " ")
@@ -98,33 +115,40 @@ class WordIds:
 
     def learn(self, words: list[str]) -> list[bytes]:
         """Ids of different words."""
-        if len(self.known) > self.MOST:
-            self.known.clear()
+        if len(self.known) > self.MOST // 2:
+            self.older, self.known = self.known, {}
         out = list(map(self.known.get, words))
-        new = [w for w, ids in zip(words, out, strict=True) if ids is None]
-        letters = [bool(self.direct and self.LETTERS.fullmatch(w)) for w in new]
-        fresh: dict[str, bytes] = {}
-        for ascii_only in (True, False):
-            some = [w for w, plain in zip(new, letters, strict=True) if plain and w.isascii() == ascii_only]
-            fresh.update(zip(some, self.of_letters(some), strict=True) if some else ())
-        fresh.update((w, self.whole(w)) for w, plain in zip(new, letters, strict=True) if not plain)
-        self.known.update(fresh if max(map(len, new), default=0) <= self.LONGEST else {w: ids for w, ids in fresh.items() if len(w) <= self.LONGEST})
+        missed = [w for w, ids in zip(words, out, strict=True) if ids is None]
+        fresh = {w: ids for w, ids in zip(missed, map(self.older.get, missed), strict=True) if ids is not None}
+        new = [w for w in missed if w not in fresh] if fresh else missed
+        if self.direct:
+            plain = [w for w in new if w.isascii() and w.isalpha()]
+            other = [w for w in new if not (w.isascii() and w.isalpha())]
+            letters = [w for w in other if self.LETTERS.fullmatch(w)]
+            for some in (plain, letters):  # apart, as only the second ones need their bytes replaced
+                fresh.update(zip(some, self.of_letters(some), strict=True) if some else ())
+            new = [w for w in other if w not in fresh] if letters else other
+        if self.parted:
+            marked = {w: found.groups() for w in new if (found := self.MARKED.fullmatch(w))}
+            fresh.update(zip(marked, self.of_marked(list(marked.values())), strict=True) if marked else ())
+            new = [w for w in new if w not in marked]
+        fresh.update((w, self.whole(w)) for w in new)
+        self.known.update(fresh if max(map(len, missed), default=0) <= self.LONGEST else {w: ids for w, ids in fresh.items() if len(w) <= self.LONGEST})
         return [fresh[w] if ids is None else ids for w, ids in zip(words, out, strict=True)]
 
     def encode(self, texts: list[str], end: int) -> pa.Array:
         """Little-endian 32-bit ids of each whole text, with the id ``end`` behind."""
         ready = [self.ready(t) for t in texts]
         words = pc.split_pattern(pa.array([" ".join(ready)], pa.large_string()), " ").values.dictionary_encode()
-        ids = self.learn(words.dictionary.to_pylist())
-        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-        begin, flat = np.cumsum(size) - size, np.frombuffer(b"".join(ids), "<u4")
-        code = words.indices.to_numpy()
-        many = size[code]
-        stops = np.cumsum(many)
-        out = flat[np.arange(stops[-1]) + np.repeat(begin[code] - (stops - many), many)]
-        stops = stops[np.cumsum([t.count(" ") + 1 for t in ready]) - 1]
-        offsets = np.concatenate([[0], 4 * (stops + np.arange(1, len(texts) + 1))]).astype(np.int32)
-        return pa.Array.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer(offsets), pa.py_buffer(np.insert(out, stops, end).astype("<u4"))])
+        # one string that Python splits: a word at a time takes longer than its lookup
+        different = pc.binary_join(pa.ListArray.from_arrays([0, len(words.dictionary)], words.dictionary), pa.scalar(" ", pa.large_string()))
+        ids = self.learn(different[0].as_py().split(" "))
+        stops = np.cumsum([t.count(" ") + 1 for t in ready])
+        code = np.insert(words.indices.to_numpy(), stops, len(ids))
+        laid = pa.array([*ids, array("I", [end]).tobytes()], pa.large_binary()).take(pa.array(code))
+        places = np.frombuffer(laid.buffers()[1], np.int64)[: len(code) + 1]
+        offsets = places[np.concatenate([[0], stops + np.arange(1, len(texts) + 1)])].astype(np.int32)
+        return pa.Array.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer(offsets), laid.buffers()[2]])
 
 
 def is_latin(text: str) -> bool:
@@ -178,11 +202,12 @@ def round_robin(block: int, rows: pd.DataFrame, before: int, total: int, blocks:
     """Pieces ``(uid, start, length, sequence_id, offset)`` of one block; ``before``: tokens in the blocks before it."""
     rows = rows.sort_values(["queue", "at"], kind="stable")
     queues = []
-    for _, part in rows.groupby("queue", sort=True):
-        queued = int(part["queued"].iloc[0])
+    columns = zip(*(rows[c].tolist() for c in ("queue", "queued", "uid", "start", "length")), strict=True)
+    for (_, queued), part in groupby(columns, itemgetter(0, 1)):
+        documents = [x[2:] for x in part]
         share = queued / total
         credit = queued * block / blocks - block_start(queued, block, blocks)
-        queues.append([share, credit, int(part["length"].sum()), list(zip(part["uid"], part["start"], part["length"], strict=True)), 0, 0])
+        queues.append([share, credit, sum(x[2] for x in documents), documents, 0, 0])
     pieces, place, left = [], before, sum(q[2] for q in queues)
 
     def serve(q: list, tokens: int) -> None:
@@ -196,7 +221,7 @@ def round_robin(block: int, rows: pd.DataFrame, before: int, total: int, blocks:
             if pieces and pieces[-1][0] == uid and pieces[-1][1] + pieces[-1][2] == start + q[5] and pieces[-1][3] == place // window:
                 pieces[-1] = (*pieces[-1][:2], pieces[-1][2] + take, *pieces[-1][3:])
             else:
-                pieces.append((int(uid), int(start + q[5]), int(take), place // window, place % window))
+                pieces.append((uid, start + q[5], take, place // window, place % window))
             place, tokens, q[5] = place + take, tokens - take, q[5] + take
             if q[5] == length:
                 q[4], q[5] = q[4] + 1, 0
@@ -265,20 +290,18 @@ def pack(docs: DataFrame, path: str, text: str = "text", id_column: str = "doc_i
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys, queues, sizes, ids, found = (batch.column(i) for i in range(5))
-            rows: list[list] = [[] for _ in range(8)]
-            kept, texts = [], []
-            for i in range(batch.num_rows):
-                data = ids[i].as_py()
-                for piece in found[i].as_py():
-                    for start, length, sequence, offset in powers(piece["start"], piece["length"], piece["sequence_id"], piece["offset"], last, tail):
-                        chunk = data[4 * start : 4 * (start + length)]
-                        kept.append(i)
-                        for column, value in zip(rows, (start, length, zlib.crc32(chunk), sizes[i].as_py(), sequence, offset), strict=False):
-                            column.append(value)
-                        if with_ids:
-                            texts.append(chunk)
-            take = pa.array(kept, pa.int64())
-            arrays = [keys.take(take), *[pa.array(c, pa.int64()) for c in rows[:6]], queues.take(take)] + [pa.array(texts, pa.binary())] * with_ids
+            flat = found.flatten()
+            rows = np.repeat(np.arange(batch.num_rows), pc.list_value_length(found).to_numpy())
+            start, length, sequence, offset = (flat.field(i).to_numpy() for i in range(4))
+            if (sequence == last).any():
+                cut = [(i, *part) for i, *piece in zip(*(x.tolist() for x in (rows, start, length, sequence, offset)), strict=True) for part in powers(*piece, last, tail)]
+                rows, start, length, sequence, offset = (np.array(x, np.int64) for x in zip(*cut, strict=True))
+            data = memoryview(ids.buffers()[2])
+            begin = np.frombuffer(ids.buffers()[1], np.int32)[ids.offset :][rows] + 4 * start
+            chunks = [data[low:high] for low, high in zip(begin.tolist(), (begin + 4 * length).tolist(), strict=True)]
+            take, crc = pa.array(rows), pa.array(map(zlib.crc32, chunks), pa.int64())
+            arrays = [keys.take(take), pa.array(start), pa.array(length), crc, sizes.take(take), pa.array(sequence), pa.array(offset), queues.take(take)]
+            arrays += [pa.array(map(bytes, chunks), pa.binary())] * with_ids
             yield pa.RecordBatch.from_arrays(arrays, names=[c.split(" ")[0] for c in columns.split(", ")])
 
     return tokens.join(by_row, "uid").select(id_column, "queue", "n", "ids", "pieces").mapInArrow(emit, columns)

@@ -83,6 +83,24 @@ def test_packing_words_against_the_library():
     assert words.encode([""], 2).to_pylist() == [end]
 
 
+def test_packing_words_are_parted_and_looked_up_again(monkeypatch):
+    """Marks behind letters go to the library once, and words met again stay when half the table goes."""
+    words = packing.WordIds(vocabulary_path("word_bpe_49k.json"))
+    marks = [a + b for a in "!#$%&()*+,-./:;=>?@[]^_`{|}~" for b in ["", "!", "$$"]]
+    texts = [f"{w}{m} x" for w in ("Haus", "été", "straße", "word") for m in [*marks, "<", "'s!", "!'s", "<|endoftext|>", "é", "\u0338!"]]
+    want = [words.whole(t) + np.array([2], "<u4").tobytes() for t in texts]
+    whole, asked = words.whole, []
+    monkeypatch.setattr(words, "whole", lambda text: asked.append(text) or whole(text))
+    assert words.encode(texts, 2).to_pylist() == want and words.encode(texts[:50] * 2, 2).to_pylist() == want[:50] * 2
+    assert len([a for a in asked if len(a) > 3]) < len(texts) / 4
+    monkeypatch.setattr(packing.WordIds, "MOST", 100)
+    words.known, words.older = {}, {}
+    asked.clear()
+    for i in range(40):
+        words.encode(["stays0 " + " ".join(f"w{i}a{j}" for j in range(20))], 2)
+    assert asked.count("stays0") == 1 and len(words.known) + len(words.older) < 160
+
+
 def test_packing_covers_every_id_once(spark, documents, odd):
     from tokenizers import Tokenizer
 
