@@ -281,11 +281,14 @@ def spans_of(rows: DataFrame, keys: list[str], model: tuple) -> DataFrame:
     run = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     placed = each.withColumn("end", F.sum(F.col("x.gap") + F.length("x.found")).over(run)).withColumn("start", F.col("end") - F.length("x.found"))
     kind, base = F.col("x.kind"), F.col("x.kind").isin(*KINDS)
-    inputs = features(kind, F.col("x.found"), F.col("x.before"))
+    # computed once a proposed span, as the trees name them some hundred times
+    placed = placed.withColumn("inputs", F.when(~base, F.array(*features(kind, F.col("x.found"), F.col("x.before")))))
+    inputs = [F.col("inputs")[j] for j in range(len(FEATURES))]
     margin = sum((tree_column(t, inputs) for t in trees), F.lit(0.0))
-    kept = F.when(kind.isNull(), False).when(base, valid(kind, F.col("x.found"))).otherwise(margin >= cut)
+    placed = placed.withColumn("margin", F.when(base, F.lit(1e9)).otherwise(margin))
+    kept = F.when(kind.isNull(), False).when(base, valid(kind, F.col("x.found"))).otherwise(F.col("margin") >= cut)
     rank = F.array_position(F.array(*[F.lit(k) for k in (*KINDS, *PROPOSED)]), kind)
-    scored = placed.select(*keys, "start", "end", rank.alias("rank"), kind.alias("kind"), base.alias("base"), F.when(base, F.lit(1e9)).otherwise(margin).alias("margin"), kept.alias("kept"))
+    scored = placed.select(*keys, "start", "end", rank.alias("rank"), kind.alias("kind"), base.alias("base"), "margin", kept.alias("kept"))
     fixed = F.col("kept") & F.col("base")
     ahead = Window.partitionBy(row).orderBy("start").rangeBetween(Window.unboundedPreceding, Window.currentRow)
     behind = Window.partitionBy(row).orderBy(F.desc("start")).rangeBetween(Window.unboundedPreceding, Window.currentRow)

@@ -77,25 +77,35 @@ def sample_features(labelled: DataFrame, text: str, label: str) -> tuple[np.ndar
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = WordTable(lambda f: f)
         for batch in batches:
-            ids, weights = [], []
+            sizes, features = [], []
             for value in batch.column(0):
                 words, again = words_of(value.as_py())
                 flat = np.fromiter((x for w in words for x in table[w]), np.int32)
                 flat = np.concatenate([flat, np.full(again, table[AGAIN][0], np.int32)])
                 found, counts = np.unique(flat, return_counts=True)
-                ids.append(found.astype("<i4").tobytes())
-                weights.append((counts / max(1, counts.sum())).astype("<f4").tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.binary()), pa.array(weights, pa.binary()), batch.column(1)], names=["ids", "weights", "label"])
-
-    rows = labelled.select(text, F.col(label).cast("int").alias("label")).mapInArrow(run, "ids binary, weights binary, label int").collect()
-    ids = [np.frombuffer(r["ids"], "<i4") for r in rows]
-    weights = [np.frombuffer(r["weights"], "<f4") for r in rows]
-    return (
-        np.cumsum([0, *[len(x) for x in ids]]),
-        np.concatenate(ids) if ids else np.empty(0, np.int32),
-        np.concatenate(weights) if ids else np.empty(0, np.float32),
-        np.array([r["label"] for r in rows]),
-    )
+                sizes.append(len(found))
+                features.append(packed(found, counts))
+            yield pa.RecordBatch.from_arrays([pa.array(sizes, pa.int32()), pa.array(features, pa.binary()), batch.column(1)], names=["size", "features", "label"])
+
+    rows = labelled.select(text, F.col(label).cast("int").alias("label")).mapInArrow(run, "size int, features binary, label int").collect()
+    starts = np.cumsum([0, *[r["size"] for r in rows]])
+    labels = np.array([r["label"] for r in rows])
+    ids, weights = np.empty(starts[-1], np.int32), np.empty(starts[-1], np.float32)
+    for i in range(len(rows) - 1, -1, -1):  # each row is let go as it is read
+        at = slice(starts[i], starts[i + 1])
+        ids[at], counts = unpacked(rows.pop()["features"])
+        weights[at] = counts / max(1, counts.sum())
+    return starts, ids, weights, labels
+
+
+def packed(ids: np.ndarray, counts: np.ndarray) -> bytes:
+    """Ascending ids and their counts, compressed: both are held by the driver several times on their way to it."""
+    return zlib.compress(np.concatenate([np.diff(ids, prepend=0), counts]).astype("<i4").tobytes(), 1)
+
+
+def unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    steps, counts = np.split(np.frombuffer(zlib.decompress(data), "<i4"), 2)
+    return np.cumsum(steps), counts
 
 
 def train(starts: np.ndarray, ids: np.ndarray, weights: np.ndarray, labels: np.ndarray, seed: int = 7) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

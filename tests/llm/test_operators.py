@@ -272,6 +272,18 @@ def test_pii_many_spans_in_one_text_and_overlaps(spark):
     assert clean[2] == "card [CARD_LIKE] and card [CARD]" and clean[3] == "[PHONE] call [PHONE_LOCAL]" and clean[1].count("[IP]") == 7000
 
 
+def test_pii_plan_holds_each_feature_once(spark):
+    """The driver keeps, optimizes and logs the plan, which named the inputs anew at each node of the trees."""
+    model = pii.train(spark, n=1500)
+    docs = spark.createDataFrame([(1, "call (020) 555-1234")], SCHEMA)
+    spark.conf.set("spark.sql.debug.maxToStringFields", "100000")
+    try:
+        plan = pii.redact(docs, model=model)._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.debug.maxToStringFields")
+    assert sum(map(len, model[0])) > 100 and 0 < plan.count("call|phone") <= 2 and len(plan) < 100_000
+
+
 def test_pii_held_out_precision(spark):
     trees, x, y = pii.fitted(spark, pii.EXAMPLES)
     margins = np.array([sum(pii.value(t, row) for t in trees) for row in x])
@@ -614,3 +626,17 @@ def test_searches_with_repeated_queries_and_ids(spark):
         want += [(query, rank + 1, i, s) for rank, (s, i) in enumerate(near)]
     assert [r[:3] for r in sorted(tuple(r) for r in got)] == [w[:3] for w in sorted(want)]
     assert len(got) == 32
+
+
+def test_quality_features_reach_the_driver_small_and_whole(spark, documents):
+    rows = documents.select("doc_id", "text", F.lit(1).alias("label")).limit(300).union(spark.createDataFrame([(-1, None, 0), (-2, "", 1), (-3, "a a a b", 0)], "doc_id bigint, text string, label int"))
+    starts, ids, weights, labels = quality.sample_features(rows, "text", "label")
+    assert labels.tolist() == [r.label for r in rows.collect()] and starts[-1] == len(ids) == len(weights)
+    size = 0
+    for i, r in enumerate(rows.collect()):
+        words, again = quality.words_of(r.text)
+        found, counts = np.unique([b for w in words + [quality.AGAIN] * again for b in quality.word_features(w)], return_counts=True)
+        own = slice(starts[i], starts[i + 1])
+        assert ids[own].tolist() == found.tolist() and np.array_equal(weights[own], (counts / max(1, counts.sum())).astype("<f4"))
+        size += len(quality.packed(found, counts))
+    assert size < 4 * len(ids)
