@@ -65,9 +65,9 @@ FROM reach r JOIN sized USING (doc_id) GROUP BY r.doc_id, n
 
 
 def op7_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents without the bytes of strings of 400 bytes that occur twice or more, as digests."""
+    """All documents without the bytes of strings of 400 bytes that occur twice or more, as digests; words in repeated strings of 51 words."""
     cut = repeats.remove_repeats(table(spark, sf_dir, "documents"))
-    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"), "n_repeated_words")
 
 
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

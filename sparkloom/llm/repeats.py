@@ -19,8 +19,9 @@ Ranks are 128-bit digests of the bytes, so no accidental match is to be expected
 counts, and gathers no group's rows. A document's own runs that repeat without a gap (periods) are one row from the
 start, so a hot passage gives one row a document.
 
-The same runs over words instead of bytes (``Words``): then a string of so many words is the unit, whatever its
-bytes, and white space between words doesn't count.
+The same runs over words instead of bytes (``Words``, ``PlainWords``): then a string of so many words is the unit,
+whatever its bytes, and white space between words doesn't count. Searches for both kinds of strings go through the same
+tables (``Search``), so that texts are read and dealt once.
 
 Null texts count as empty; texts under ``LENGTH`` bytes are kept whole. Equal texts share a key, as they lose the same
 bytes; repeated rows are places like any others, so all copies lose their repeats. Extra columns are not read; an empty
@@ -32,16 +33,19 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkloom.llm.common import Workspace
+from sparkloom.llm.common import Workspace, by_size
 from sparkloom.llm.minhash import GOLDEN, mix
 
 LENGTH, FIRST, STEP = 400, 100, 8
+#: Passages of over 50 words: strings of so many that are there twice are counted beside the bytes.
+WORDS, FIRST_WORDS = 51, 8
 #: Windows that are looked at together; a longer text is taken in stretches of so many.
 STRETCH = 1 << 20
 PLACE_BITS = np.uint64(22)
@@ -97,6 +101,88 @@ class Words:
         return [m.start() for m in self.WORD.finditer(text)] + [len(text)]
 
 
+ANCHORS = ["kind", "key", "first", "whole", "n", "place", "low", "high", "stop"]
+ANCHOR_KINDS = [pa.int8(), *[pa.binary()] * 3, *[pa.int32()] * 5]
+
+
+class PlainWords:
+    """Words as op 4 takes them (what stands between ASCII white space), hashed for a whole batch of texts at once."""
+
+    width = 8
+    #: Bytes of texts that are taken together.
+    TOGETHER = 1 << 20
+    SPACE = np.isin(np.arange(256), [32, *range(9, 14)])
+    LETTER = mix(np.arange(1, 257, dtype=np.uint64) * GOLDEN)
+    BASE = 0xD1342543DE82EF95
+    LANES = (np.uint64(0x2545F4914F6CDD1D), np.uint64(0x9FB21C651E98DF25))
+
+    def __init__(self):
+        self.up = self.down = np.ones(0, np.uint64)
+
+    def hashes(self, data: np.ndarray, borders: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """64 bits a word of the texts between ``borders``, and where each word starts."""
+        n = len(data)
+        if len(self.up) < n:
+            self.up, self.down = (np.multiply.accumulate(np.append(np.uint64(1), np.full(n - 1, b, np.uint64))) for b in (self.BASE, pow(self.BASE, -1, 1 << 64)))
+        total = np.zeros(n + 1, np.uint64)
+        np.cumsum(self.LETTER[data] * self.up[:n], out=total[1:])
+        space, border = self.SPACE[data], np.zeros(n + 1, bool)
+        border[borders] = True
+        starts = np.flatnonzero((np.append(True, space[:-1]) | border[:-1]) & ~space)
+        ends = np.flatnonzero((np.append(space[1:], True) | border[1:]) & ~space) + 1
+        return mix((total[ends] - total[starts]) * self.down[starts] + (ends - starts).astype(np.uint64) * GOLDEN), starts
+
+    def read(self, text: str) -> tuple[bytes, None]:
+        """64 bits a word in one string of bytes."""
+        data = np.frombuffer(text.encode(), np.uint8)
+        return self.hashes(data, np.array([0, len(data)]))[0].tobytes(), None
+
+    def anchor_table(self, kind: int, batch: pa.RecordBatch, length: int, first: int) -> pa.RecordBatch | None:
+        """What ``anchor_rows`` gives for bytes; ``first`` is a power of two."""
+        column = batch.column(1).cast(pa.large_binary())
+        offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
+        words, starts = self.hashes(np.frombuffer(column.buffers()[2], np.uint8)[offsets[0] : offsets[-1]], offsets - offsets[0])
+        if len(words) < length:
+            return None
+        at = np.searchsorted(starts, offsets - offsets[0])
+        text_of = np.repeat(np.arange(len(column)), np.diff(at))
+        place, low, high = (np.concatenate(x) for x in zip(*anchor_runs(mix(words[:-1] * GOLDEN + words[1:]), len(words), length, first), strict=True))
+        text = text_of[place]
+        low, high = np.maximum(low, at[text]), np.minimum(high, at[text + 1] - length)  # windows don't cross texts
+        text, place, low, stop = (x[low <= high] for x in (text, place, low, high + length))
+        firsts, wholes = [], []
+        for lane in self.LANES:
+            ranks, size = mix(words ^ lane), 1
+            while size < first:
+                ranks = mix(ranks[:-size] * lane + ranks[size:])
+                size *= 2
+            whole = mix((stop - low).astype(np.uint64) + lane)
+            for ahead in range(0, 2 * length - first, first):
+                whole = mix(whole * lane + ranks[np.minimum(low + ahead, stop - first)])
+            firsts.append(ranks[place])
+            wholes.append(whole)
+        # equal runs of a text that touch are one row that counts for all
+        order = np.lexsort((low, *firsts, *wholes, text))
+        text, place, low, stop, *ranks = (x[order] for x in (text, place, low, stop, *firsts, *wholes))
+        new = np.append(True, low[1:] > stop[:-1])[: len(low)]
+        for x in (text, *ranks):
+            new[1:] |= x[1:] != x[:-1]
+        head = np.flatnonzero(new)
+        n = np.diff(np.append(head, len(new)))
+        last, begin = stop[head + n - 1], at[text[head]]
+        binary = lambda a, b: pa.Array.from_buffers(pa.binary(), len(head), [None, pa.py_buffer(np.arange(len(head) + 1, dtype=np.int32) * 16), pa.py_buffer(np.stack([a[head], b[head]], 1).tobytes())])
+        numbers = [pa.array(x.astype(np.int32)) for x in (n, place[head] - begin, low[head] - begin, stop[head] - length - begin, last - begin)]
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(head), kind, np.int8)), batch.column(0).take(pa.array(text[head])), binary(*ranks[:2]), binary(*ranks[2:]), *numbers], names=ANCHORS)
+
+
+class Search(NamedTuple):
+    """Strings of ``length`` units; ``first``: the part at an anchor that is ranked at once."""
+
+    unit: type
+    length: int
+    first: int
+
+
 def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
     """Least of each ``width`` neighbours."""
     n = len(values) - width + 1
@@ -108,7 +194,7 @@ def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(behind[:n], ahead[width - 1 : width - 1 + n])
 
 
-def anchors(order: np.ndarray, size: int, length: int, first: int) -> Iterator[tuple[list[int], list[int], list[int]]]:
+def anchor_runs(order: np.ndarray, size: int, length: int, first: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Anchor places and the first and last window of each run of windows that share one, a stretch at a time."""
     for at in range(0, size - length + 1, STRETCH):
         windows = min(STRETCH, size - length + 1 - at)
@@ -117,7 +203,7 @@ def anchors(order: np.ndarray, size: int, length: int, first: int) -> Iterator[t
         place = (sliding_least(packed, length - first + 1) & np.uint64((1 << 22) - 1)).astype(np.int64) + at
         cut = np.flatnonzero(np.diff(place)) + 1
         low, high = np.concatenate([[0], cut]), np.concatenate([cut - 1, [windows - 1]])
-        yield place[low].tolist(), (low + at).tolist(), (high + at).tolist()
+        yield place[low], low + at, high + at
 
 
 def joined_runs(rows: list[list]) -> list[list]:
@@ -138,67 +224,76 @@ def table_of(rows: list[list], kinds: list[pa.DataType], names: list[str]) -> pa
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
 
 
-def anchor_rows(texts: DataFrame, length: int, first: int, unit: type = Bytes) -> DataFrame:
-    """An anchor with its windows a row; ``stop``: end of the text that its ``n`` equal runs cover."""
-    kinds, names = [pa.binary()] * 3 + [pa.int32()] * 5, ["key", "first", "whole", "n", "place", "low", "high", "stop"]
+def anchor_rows(texts: DataFrame, searches: list[Search]) -> DataFrame:
+    """An anchor with its windows a row; ``stop``: end of the text that its ``n`` equal runs cover; ``kind``: the search."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        units, w, rows = unit(), unit.width, []
-        for batch in batches:
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                data, order = units.read(text.as_py() or "")
-                for places, lows, highs in anchors(order, len(data) // w, length, first):
-                    own = [[digest(data[w * p : w * (p + first)]), digest(data[w * a : w * (b + length)]), 1, p, a, b, b + length] for p, a, b in zip(places, lows, highs, strict=True)]
-                    rows += [[key, *row] for row in joined_runs(own)]
-                    if len(rows) > ROWS:
-                        yield table_of(rows, kinds, names)
-                        rows = []
+        readers, rows = [s.unit() for s in searches], []
+        for batch in by_size(batches, 1, PlainWords.TOGETHER):
+            for kind, (units, (unit, length, first)) in enumerate(zip(readers, searches, strict=True)):
+                if unit is PlainWords:
+                    if (table := units.anchor_table(kind, batch, length, first)) is not None:
+                        yield table
+                    continue
+                w = units.width
+                for key, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                    data, order = units.read(text.as_py() or "")
+                    for places, lows, highs in anchor_runs(order, len(data) // w, length, first):
+                        found = zip(places.tolist(), lows.tolist(), highs.tolist(), strict=True)
+                        own = [[digest(data[w * p : w * (p + first)]), digest(data[w * a : w * (b + length)]), 1, p, a, b, b + length] for p, a, b in found]
+                        rows += [[kind, key, *row] for row in joined_runs(own)]
+                        if len(rows) > ROWS:
+                            yield table_of(rows, ANCHOR_KINDS, ANCHORS)
+                            rows = []
         if rows:
-            yield table_of(rows, kinds, names)
+            yield table_of(rows, ANCHOR_KINDS, ANCHORS)
 
-    return texts.mapInArrow(run, "key binary, first binary, whole binary, n int, place int, low int, high int, stop int")
+    return texts.mapInArrow(run, "kind tinyint, key binary, first binary, whole binary, n int, place int, low int, high int, stop int")
 
 
-def context_rows(texts: DataFrame, length: int, unit: type = Bytes) -> DataFrame:
+def context_rows(texts: DataFrame, searches: list[Search]) -> DataFrame:
     """The listed anchors with the text around them: ``base`` is the place where it begins; places count from there."""
-    kinds = [pa.binary(), pa.binary(), pa.bool_(), pa.int32(), pa.int32(), pa.int32(), pa.binary()]
-    names = ["key", "rank", "single", "base", "place", "high", "context"]
+    kinds = [pa.int8(), pa.binary(), pa.binary(), pa.bool_(), pa.int32(), pa.int32(), pa.int32(), pa.binary()]
+    names = ["kind", "key", "rank", "single", "base", "place", "high", "context"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        units, w = unit(), unit.width
+        readers = [s.unit() for s in searches]
         for batch in batches:
             rows, done = [], set()
             for key, text, found in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
                 if key in done:  # an equal text
                     continue
                 done.add(key)
-                data, _ = units.read(text.as_py())
+                whole, read = text.as_py(), {}
                 for x in found.as_py():
-                    low, high = x["low"], x["high"]
-                    rows.append((key, x["first"], x["n"] == 1, low, x["place"] - low, high - low, data[w * low : w * (high + length)]))
+                    kind, low, high = x["kind"], x["low"], x["high"]
+                    if kind not in read:
+                        read[kind] = readers[kind].read(whole)[0]
+                    data, w, length = read[kind], searches[kind].unit.width, searches[kind].length
+                    rows.append((kind, key, x["first"], x["n"] == 1, low, x["place"] - low, high - low, data[w * low : w * (high + length)]))
                 if len(rows) > ROWS // 10:
                     yield table_of(rows, kinds, names)
                     rows = []
             if rows:
                 yield table_of(rows, kinds, names)
 
-    return texts.mapInArrow(run, "key binary, rank binary, single boolean, base int, place int, high int, context binary")
+    return texts.mapInArrow(run, "kind tinyint, key binary, rank binary, single boolean, base int, place int, high int, context binary")
 
 
-def pair_rows(runs: DataFrame, size: int, before: int, length: int, first: int, unit: type = Bytes) -> DataFrame:
-    """Runs ``(id, place, context, parts)`` cut into runs of ``size`` windows at most, each with its pair of ranks.
+def pair_rows(runs: DataFrame, size: int, befores: list[int], searches: list[Search]) -> DataFrame:
+    """Runs ``(id, kind, place, context, parts)`` cut into runs of ``size`` windows at most, each with its pair of ranks.
 
-    Cuts lie at multiples of ``size`` before the anchor, so equal windows fall into equal runs. ``before`` is the size of
-    the parts: what their windows share is ranked already, and the second of the pair ranks what this round adds.
+    Cuts lie at multiples of ``size`` before the anchor, so equal windows fall into equal runs. ``befores``: a kind's
+    size of the parts: what their windows share is ranked already, and the second of the pair ranks what this round adds.
     """
-    kinds = [pa.int64(), pa.bool_(), pa.binary(), pa.binary(), pa.binary(), pa.int32(), pa.int32()]
-    names = ["id", "single", "rank", "next", "whole", "low", "high"]
-    most = length - first
-
+    kinds = [pa.int64(), pa.int8(), pa.bool_(), pa.binary(), pa.binary(), pa.binary(), pa.int32(), pa.int32()]
+    names = ["id", "kind", "single", "rank", "next", "whole", "low", "high"]
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        w, rows = unit.width, []
+        rows = []
         for batch in batches:
-            for own, place, context, parts in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+            for own, kind, place, context, parts in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
+                (unit, length, first), before = searches[kind], befores[kind]
+                w, most = unit.width, length - first
                 for x in parts:
                     low, high = x["low"], x["high"]
                     far = (place - high) // before * before
@@ -207,14 +302,14 @@ def pair_rows(runs: DataFrame, size: int, before: int, length: int, first: int,
                         near, last = j * size, min(j * size + size - 1, most)
                         a, b = max(low, place - last), min(high, place - near)
                         added = digest(context[w * (place - near) : w * old] + context[w * old_end : w * (place - last + length)], (near - far).to_bytes(4, "little"))
-                        rows.append((own, x["single"], x["rank"], added, digest(context[w * a : w * (b + length)]), a, b))
+                        rows.append((own, kind, x["single"], x["rank"], added, digest(context[w * a : w * (b + length)]), a, b))
                 if len(rows) > ROWS:
                     yield table_of(rows, kinds, names)
                     rows = []
         if rows:
             yield table_of(rows, kinds, names)
 
-    return runs.mapInArrow(run, "id bigint, single boolean, rank binary, next binary, whole binary, low int, high int")
+    return runs.mapInArrow(run, "id bigint, kind tinyint, single boolean, rank binary, next binary, whole binary, low int, high int")
 
 
 def sizes_of_rounds(windows: int) -> list[int]:
@@ -225,28 +320,36 @@ def sizes_of_rounds(windows: int) -> list[int]:
     return sizes
 
 
-def repeated_spans(texts: DataFrame, work: Workspace, length: int = LENGTH, first: int = FIRST, unit: type = Bytes) -> DataFrame:
-    """``(key, spans)``: for each text key with repeats, overlapping ranges of units that cover all of them."""
-    found = work.keep(anchor_rows(texts, length, first, unit), "anchors")
+def repeated_spans(texts: DataFrame, work: Workspace, searches: list[Search]) -> DataFrame:
+    """``(key, spans)``: for each text key with repeats, overlapping ranges of units that cover all of them.
+
+    ``spans``: ``kind`` (the search's place in ``searches``), ``low``, ``high``. Ranks of different kinds never meet.
+    """
+    found = work.keep(anchor_rows(texts, searches), "anchors")
     again = found.groupBy("first").agg(F.sum("n").alias("times")).where("times > 1").select("first")
     shared = work.keep(found.join(again, "first"), "shared")
     work.drop("anchors")
-    at = F.struct("key", "place", "low", "high")
+    at = F.struct("key", "kind", "place", "low", "high")
     groups = work.keep(shared.groupBy("first", "whole").agg(F.sum("n").alias("n"), F.min(at).alias("at")), "groups")
     equal = shared.join(groups.where("n > 1").select("first", "whole"), ["first", "whole"], "left_semi")
-    settled = work.keep(equal.select("key", "low", F.col("stop").alias("high")), "settled")
+    settled = work.keep(equal.select("key", "kind", "low", F.col("stop").alias("high")), "settled")
     several = groups.groupBy("first").agg(F.count("*").alias("kinds"), F.min("n").alias("least")).where("kinds > 1 AND least = 1").select("first")
-    listed = groups.join(several, "first").groupBy("at.key").agg(F.collect_list(F.struct("first", "at.place", "at.low", "at.high", "n")).alias("anchors"))
+    listed = groups.join(several, "first").groupBy("at.key").agg(F.collect_list(F.struct("first", "at.kind", "at.place", "at.low", "at.high", "n")).alias("anchors"))
     listed = work.keep(listed, "listed")
     work.drop("shared", "groups")
-    around = context_rows(texts.join(listed, "key").select("key", "text", "anchors"), length, unit)
+    around = context_rows(texts.join(listed, "key").select("key", "text", "anchors"), searches)
     runs = work.keep(around.withColumn("id", F.monotonically_increasing_id()), "runs")
     work.drop("listed")
     whole_run = F.struct("rank", F.lit(0).alias("low"), "high", "single")
-    open_runs = runs.select("id", "place", "context", F.array(whole_run).alias("parts"))
-    before, ends = length - first + 1, []
-    for size in sizes_of_rounds(before):
-        rows = work.keep(pair_rows(open_runs, size, before, length, first, unit), f"pairs-{size}")
+    befores = [s.length - s.first + 1 for s in searches]
+    rounds = [sizes_of_rounds(windows) for windows in befores]
+    sizes, open_runs, ends = max(rounds, key=len), None, []
+    for size in sizes:
+        begin = [kind for kind, own in enumerate(rounds) if own[0] == size]
+        if begin:
+            new = runs.where(F.col("kind").isin(begin)).select("id", "kind", "place", "context", F.array(whole_run).alias("parts"))
+            open_runs = open_runs.unionByName(new) if open_runs else new
+        rows = work.keep(pair_rows(open_runs, size, befores, searches), f"pairs-{size}")
         own = F.struct("id", "low", "high", "single")
         ranked = work.keep(rows.groupBy("rank", "next", "whole").agg(F.count("*").alias("n"), F.min(own).alias("at"), F.max("single").alias("single")), f"ranked-{size}")
         twice = ranked.where("n > 1 AND single").select("rank", "next", "whole")
@@ -257,14 +360,14 @@ def repeated_spans(texts: DataFrame, work: Workspace, length: int = LENGTH, firs
         parts = ranked.join(several, ["rank", "next"]).select("at.id", F.struct(new_rank.alias("rank"), "at.low", "at.high", still.alias("single")).alias("part"))
         parts = work.keep(parts.groupBy("id").agg(F.collect_list("part").alias("parts")), f"parts-{size}")
         work.drop(f"pairs-{size}", f"ranked-{size}")
-        open_runs = runs.select("id", "place", "context").join(parts, "id").select("id", "place", "context", "parts")
-        before = size
+        open_runs = runs.select("id", "kind", "place", "context").join(parts, "id").select("id", "kind", "place", "context", "parts")
+        befores = [size if size in own else before for own, before in zip(rounds, befores, strict=True)]
     last = ends[0]
     for more in ends[1:]:
         last = last.union(more)
-    last = last.join(runs.select("id", "key", "base"), "id").select("key", (F.col("base") + F.col("low")).alias("low"), (F.col("base") + F.col("high") + length).alias("high"))
-    spans = work.keep(settled.union(last).groupBy("key").agg(F.collect_set(F.struct("low", "high")).alias("spans")), "spans")
-    sizes = sizes_of_rounds(length - first + 1)
+    length = F.array(*[F.lit(s.length) for s in searches])[F.col("kind")]
+    last = last.join(runs.select("id", "kind", "key", "base"), "id").select("key", "kind", (F.col("base") + F.col("low")).alias("low"), (F.col("base") + F.col("high") + length).alias("high"))
+    spans = work.keep(settled.union(last).groupBy("key").agg(F.collect_set(F.struct("kind", "low", "high")).alias("spans")), "spans")
     work.drop("settled", "runs", *[f"{name}-{size}" for name in ("ends", "parts") for size in sizes])
     return spans
 
@@ -275,27 +378,33 @@ def content_key(text: str):
 
 
 def remove_repeats(docs: DataFrame, text: str = "text", id_column: str = "doc_id", length: int = LENGTH, first: int = FIRST) -> DataFrame:
-    """``(id, n_bytes, n_removed, n_spans, kept)`` a row; ``kept``: the remaining bytes."""
+    """``(id, n_bytes, n_removed, n_spans, kept, n_repeated_words)`` a row.
+
+    ``kept``: the remaining bytes; ``n_repeated_words``: words in strings of ``WORDS`` words that start at two or more
+    places, also where these are too short to be removed. White space between words doesn't count for those.
+    """
     kind = docs.schema[id_column].dataType.simpleString()
     texts = docs.select(content_key(text).alias("key"), F.col(text).alias("text"), F.col(id_column).alias("own_id"))
-    spans = repeated_spans(texts.where(F.octet_length("text") >= length).select("key", "text"), Workspace(docs.sparkSession, "repeats"), length, first)
+    long = texts.where(F.octet_length("text") >= min(length, 2 * WORDS - 1)).select("key", "text")
+    spans = repeated_spans(long, Workspace(docs.sparkSession, "repeats"), [Search(Bytes, length, first), Search(PlainWords, WORDS, FIRST_WORDS)])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = ([], [], [], [])
+            rows = ([], [], [], [], [])
             for text, found in zip(batch.column(1), batch.column(2), strict=True):
-                data, runs = (text.as_py() or "").encode(), merged(found.as_py() or [])
+                data, found = (text.as_py() or "").encode(), found.as_py() or []
+                runs, words = (merged([x for x in found if x["kind"] == kind]) for kind in (0, 1))
                 kept, at = [], 0
                 for low, high in runs:
                     kept.append(data[at:low])
                     at = high
                 kept.append(data[at:])
-                for column, value in zip(rows, (len(data), sum(h - lo for lo, h in runs), len(runs), b"".join(kept)), strict=True):
+                for column, value in zip(rows, (len(data), sum(h - lo for lo, h in runs), len(runs), b"".join(kept), sum(h - lo for lo, h in words)), strict=True):
                     column.append(value)
-            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(c, pa.int64()) for c in rows[:3]], pa.array(rows[3], pa.binary())], names=[id_column, "n_bytes", "n_removed", "n_spans", "kept"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(c, pa.int64()) for c in rows[:3]], pa.array(rows[3], pa.binary()), pa.array(rows[4], pa.int64())], names=[id_column, "n_bytes", "n_removed", "n_spans", "kept", "n_repeated_words"])
 
     joined = texts.join(spans, "key", "left")
-    return joined.select("own_id", "text", "spans").mapInArrow(cut, f"{id_column} {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary")
+    return joined.select("own_id", "text", "spans").mapInArrow(cut, f"{id_column} {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary, n_repeated_words bigint")
 
 
 def without_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH, first: int = FIRST, unit: type = Bytes) -> DataFrame:
@@ -307,7 +416,7 @@ def without_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH, f
     names, at = docs.columns, docs.columns.index(text)
     keyed = docs.withColumn("__key", content_key(text))
     texts = keyed.where(F.octet_length(text) >= length).select(F.col("__key").alias("key"), F.col(text).alias("text"))
-    spans = repeated_spans(texts, Workspace(docs.sparkSession, "repeats"), length, first, unit)
+    spans = repeated_spans(texts, Workspace(docs.sparkSession, "repeats"), [Search(unit, length, first)])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words() if unit is Words else None
@@ -371,10 +480,10 @@ def removed_by_brute_force(texts: list[str | None], length: int = LENGTH) -> lis
     return out
 
 
-def words_left_by_brute_force(texts: list[str], length: int) -> list[list[str]]:
+def words_left_by_brute_force(texts: list[str], length: int, word: re.Pattern = Words.WORD) -> list[list[str]]:
     """Words outside all strings of ``length`` words that start at two or more places, for small tests."""
     counts: dict[tuple[str, ...], int] = {}
-    data = [Words.WORD.findall(t) for t in texts]
+    data = [word.findall(t) for t in texts]
     for d in data:
         for i in range(len(d) - length + 1):
             counts[tuple(d[i : i + length])] = counts.get(tuple(d[i : i + length]), 0) + 1

@@ -226,6 +226,27 @@ def test_repeat_stage_takes_passages_of_51_words(spark):
             assert repeats.Words.WORD.findall(got[i].text) == words and got[i].n_chars == len(got[i].text)
 
 
+def test_repeats_count_words_of_short_passages(spark):
+    """Passages of 51 words and more whose bytes are too few to be removed are counted, and those of 50 aren't."""
+    rng = np.random.default_rng(9)
+    some = lambda n: [str(w) for w in rng.choice([f"{a}{b}" for a in "abcdefghij" for b in ["", "e", "éla", "irt", "ontou"]], n)]
+    texts = []
+    for n in (50, 51, 52, 60, 94, 200):
+        passage = some(n)
+        texts += [" ".join(some(40) + passage + some(30)), "\t" + " ".join(some(7)) + "\n" + "\x0b".join(passage) + "  " + " ".join(some(90)) + " "]
+    short, line = ["a"] * 51, some(7)
+    edge = some(51)
+    texts += [" ".join(short), "b " + " ".join(short[:50]), " ".join(line * 40), "x " + " ".join(line * 30), " ".join(edge), "x" + " ".join(edge), " ".join(edge) + "x"]
+    texts += [" ".join(some(3000)), "w" * 900, "\u3000".join(some(60)), None, "", " \n", "one two", *[" ".join(some(20) + edge[:30])] * 2, *[" ".join(some(70))] * 2]
+    docs = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], SCHEMA + ", spans string").repartition(3)
+    got = repeats.remove_repeats(docs).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256), "n_repeated_words").orderBy("doc_id").collect()
+    assert [tuple(r)[1:5] for r in got] == repeats.removed_by_brute_force(texts)
+    word = re.compile(r"[^\x20\x09-\x0D]+")
+    left = repeats.words_left_by_brute_force([t or "" for t in texts], 51, word)
+    assert [r.n_repeated_words for r in got] == [len(word.findall(t or "")) - len(x) for t, x in zip(texts, left, strict=True)]
+    assert [r.n_repeated_words for r in got[:8]] == [0, 0, 51, 51, 52, 52, 60, 60] and not any(r.n_removed for r in got[2:8])
+
+
 PLAIN = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
 
 
