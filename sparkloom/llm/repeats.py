@@ -37,6 +37,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -224,6 +225,12 @@ def table_of(rows: list[list], kinds: list[pa.DataType], names: list[str]) -> pa
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
 
 
+def entries(lists: pa.Array) -> tuple[list[int], list[list]]:
+    """Lists of records as columns: where each row's records begin and where the last ones end, and the records' fields."""
+    ends = np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False))
+    return [0, *ends.tolist()], [field.to_numpy(zero_copy_only=False).tolist() for field in lists.flatten().flatten()]
+
+
 def anchor_rows(texts: DataFrame, searches: list[Search]) -> DataFrame:
     """An anchor with its windows a row; ``stop``: end of the text that its ``n`` equal runs cover; ``kind``: the search."""
 
@@ -260,17 +267,17 @@ def context_rows(texts: DataFrame, searches: list[Search]) -> DataFrame:
         readers = [s.unit() for s in searches]
         for batch in batches:
             rows, done = [], set()
-            for key, text, found in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
+            at, found = entries(batch.column(2))
+            for i, (key, text) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1), strict=True)):
                 if key in done:  # an equal text
                     continue
                 done.add(key)
                 whole, read = text.as_py(), {}
-                for x in found.as_py():
-                    kind, low, high = x["kind"], x["low"], x["high"]
+                for first, kind, place, low, high, n in zip(*(field[at[i] : at[i + 1]] for field in found), strict=True):
                     if kind not in read:
                         read[kind] = readers[kind].read(whole)[0]
                     data, w, length = read[kind], searches[kind].unit.width, searches[kind].length
-                    rows.append((kind, key, x["first"], x["n"] == 1, low, x["place"] - low, high - low, data[w * low : w * (high + length)]))
+                    rows.append((kind, key, first, n == 1, low, place - low, high - low, data[w * low : w * (high + length)]))
                 if len(rows) > ROWS // 10:
                     yield table_of(rows, kinds, names)
                     rows = []
@@ -288,21 +295,22 @@ def pair_rows(runs: DataFrame, size: int, befores: list[int], searches: list[Sea
     """
     kinds = [pa.int64(), pa.int8(), pa.bool_(), pa.binary(), pa.binary(), pa.binary(), pa.int32(), pa.int32()]
     names = ["id", "kind", "single", "rank", "next", "whole", "low", "high"]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = []
         for batch in batches:
-            for own, kind, place, context, parts in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
+            at, parts = entries(batch.column(4))
+            for i, (own, kind, place, context) in enumerate(zip(*(batch.column(c).to_pylist() for c in range(4)), strict=True)):
                 (unit, length, first), before = searches[kind], befores[kind]
                 w, most = unit.width, length - first
-                for x in parts:
-                    low, high = x["low"], x["high"]
+                for rank, low, high, single in zip(*(field[at[i] : at[i + 1]] for field in parts), strict=True):
                     far = (place - high) // before * before
                     old, old_end = place - far, place - min(far + before - 1, most) + length
                     for j in range((place - high) // size, (place - low) // size + 1):
                         near, last = j * size, min(j * size + size - 1, most)
                         a, b = max(low, place - last), min(high, place - near)
                         added = digest(context[w * (place - near) : w * old] + context[w * old_end : w * (place - last + length)], (near - far).to_bytes(4, "little"))
-                        rows.append((own, kind, x["single"], x["rank"], added, digest(context[w * a : w * (b + length)]), a, b))
+                        rows.append((own, kind, single, rank, added, digest(context[w * a : w * (b + length)]), a, b))
                 if len(rows) > ROWS:
                     yield table_of(rows, kinds, names)
                     rows = []
@@ -391,9 +399,12 @@ def remove_repeats(docs: DataFrame, text: str = "text", id_column: str = "doc_id
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = ([], [], [], [], [])
-            for text, found in zip(batch.column(1), batch.column(2), strict=True):
-                data, found = (text.as_py() or "").encode(), found.as_py() or []
-                runs, words = (merged([x for x in found if x["kind"] == kind]) for kind in (0, 1))
+            at_row, (kinds, lows, highs) = entries(batch.column(2))
+            for i, text in enumerate(batch.column(1)):
+                data, found = (text.as_py() or "").encode(), ([], [])
+                for j in range(at_row[i], at_row[i + 1]):
+                    found[kinds[j]].append((lows[j], highs[j]))
+                runs, words = map(united, found)
                 kept, at = [], 0
                 for low, high in runs:
                     kept.append(data[at:low])
@@ -454,9 +465,14 @@ def without_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH, f
 
 
 def merged(spans: list[dict]) -> list[tuple[int, int]]:
+    """``united`` for records."""
+    return united([(x["low"], x["high"]) for x in spans])
+
+
+def united(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """Sorted ranges without overlap; ranges that touch become one."""
     out: list[tuple[int, int]] = []
-    for low, high in sorted((x["low"], x["high"]) for x in spans):
+    for low, high in sorted(spans):
         if out and low <= out[-1][1]:
             out[-1] = (out[-1][0], max(out[-1][1], high))
         else:
