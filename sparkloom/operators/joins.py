@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Rows of one class that travel as one list.
+LIST = 1000
+
 
 def cells(low: Column, high: Column, size: float) -> Column:
     """Grid cells that an interval touches; the interval's length over ``size`` bounds their number."""
@@ -34,6 +37,34 @@ def box_join(left: DataFrame, right: DataFrame, l: tuple[str, str, str, str], r:
     return joined.where((F.col("__cx") == first_x) & (F.col("__cy") == first_y) & meets).drop("__cx", "__cy")
 
 
+def tasks(spark: SparkSession) -> int:
+    """Tasks for rows whose number and size say little about the work that they make: a few for each core."""
+    return 4 * spark.sparkContext.defaultParallelism
+
+
+def expand(pairs: DataFrame, left: DataFrame, right: DataFrame, l_key: list[str], r_key: list[str]) -> DataFrame:
+    """Pairs of classes as pairs of rows: each row of ``left`` of the one with each row of ``right`` of the other.
+
+    ``pairs`` holds the keys of both classes and what holds for all of their rows. Rows travel in lists of about ``LIST``, so that
+    what is shuffled is a small part of the result, and a class of many rows is dealt to as many tasks as it has pairs of lists.
+    """
+    lists = []
+    for side, rows, key in (("l", left, l_key), ("r", right, r_key)):
+        rest = [c for c in rows.columns if c not in key]
+        crowded = rows.groupBy(*key).count().where(F.col("count") > LIST).select(*key, F.ceil(F.col("count") / LIST).alias("__parts"))
+        part = F.coalesce(F.pmod(F.xxhash64(*rest), F.col("__parts")), F.lit(0)).alias(f"__{side}part")
+        lists.append(rows.join(crowded, key, "left").groupBy(*key, part).agg(F.collect_list(F.struct(*rest)).alias(f"__{side}rows")))
+        parts = F.sequence(F.lit(0).cast("bigint"), F.coalesce("__parts", F.lit(1)) - 1)
+        pairs = pairs.join(crowded, key, "left").withColumn(f"__{side}part", F.explode(parts)).drop("__parts")
+    ends = [*l_key, "__lpart", *r_key, "__rpart"]
+    # few short rows here stand for many in the result, so their number says nothing about how many tasks they need
+    pairs = pairs.repartition(tasks(pairs.sparkSession), *ends)
+    pairs = pairs.join(lists[0], [*l_key, "__lpart"]).join(lists[1], [*r_key, "__rpart"])
+    kept = [c for c in pairs.columns if not c.startswith("__")]
+    pairs = pairs.select(*kept, F.inline("__lrows"), "__rrows")
+    return pairs.select(*[c for c in pairs.columns if c != "__rrows"], F.inline("__rrows"))
+
+
 def overlap_area(l: tuple[str, str, str, str], r: tuple[str, str, str, str]) -> Column:  # noqa: E741
     """Area that two boxes share."""
     w = F.least(F.col(l[2]), F.col(r[2])) - F.greatest(F.col(l[0]), F.col(r[0]))

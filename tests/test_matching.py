@@ -4,10 +4,11 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from sparkloom.operators import fuzzy, keywords, overlay
+from sparkloom.operators import fuzzy, joins, keywords, overlay
 from tests.conftest import canonical
 
 
@@ -90,6 +91,36 @@ def test_overlay_equals_all_pairs(spark):
         assert (row.area, row.left_share, row.right_share) == pytest.approx(wanted[key], rel=1e-6)
 
 
+def test_areas_of_many_pairs_at_once(monkeypatch):
+    rng = np.random.default_rng(6)
+    a, b = ([random_polygon(rng) for _ in range(60)] for _ in range(2))
+    a[1], a[2], b[3], b[4] = [], [a[2][0][:2]], [ring_star(rng, 10, 10, 9, 80)], [b[4][0], b[4][0] + 1]
+    kind = pa.list_(pa.list_(pa.struct([("x", pa.float64()), ("y", pa.float64())])))
+    column = lambda side: pa.array([[[{"x": x, "y": y} for x, y in r.tolist()] for r in p] for p in side], kind)
+    for room in (overlay.ROOM, 500):
+        monkeypatch.setattr(overlay, "ROOM", room)
+        for skip in (0, 7):
+            sides = [overlay.columns_of(column(side)[skip:], False) for side in (a, b)]
+            wanted = [overlay.shared_area(p, q) for p, q in zip(a[skip:], b[skip:], strict=True)]
+            assert overlay.shared_areas(*sides[0], *sides[1]) == pytest.approx(wanted, abs=1e-9) and sum(wanted) > 0
+    none = overlay.columns_of(column([]), False)
+    assert len(overlay.shared_areas(*none, *none)) == 0
+
+
+def test_overlay_of_copies_and_of_polygons_inside_others(spark, monkeypatch):
+    monkeypatch.setattr(joins, "LIST", 3)  # the rows of a shape travel in many lists
+    rng = np.random.default_rng(7)
+    inner = [[ring_star(rng, *rng.uniform(5, 15, 2), 2, 9)] for _ in range(30)]
+    as_rings = lambda p: [[(float(x), float(y)) for x, y in r] for r in p]
+    left = spark.createDataFrame([(10 * i + k, as_rings(p)) for i, p in enumerate(inner) for k in range(10)] + [(None, as_rings(inner[0]))], f"a bigint, rings {overlay.RINGS}")
+    outer = [ring_star(rng, 10, 10, 60, 23)]
+    right = spark.createDataFrame([(k, as_rings(outer)) for k in range(8)], f"b bigint, rings {overlay.RINGS}")
+    got = overlay.overlay(left, right, "a", "b", "rings", size=20.0).collect()
+    assert sorted((r.a, r.b) for r in got) == [(a, b) for a in range(300) for b in range(8)]
+    for r in got:
+        assert r.left_share <= 1 and (r.area, r.left_share, r.right_share) == pytest.approx((signed(inner[r.a // 10][0]), 1, signed(inner[r.a // 10][0]) / signed(outer[0])))
+
+
 def test_geodesic_area_of_a_degree(spark):
     square = [[(7.0, 46.0), (8.0, 46.0), (8.0, 47.0), (7.0, 47.0)]]
     df = spark.createDataFrame([(1, square)], f"a bigint, rings {overlay.RINGS}")
