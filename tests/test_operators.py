@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sparkloom.operators import joins, keyed, shape, spatial
+from sparkloom.plans import lookups
 from sparkloom.sources import files
 from sparkloom.operators import tables
 from sparkloom.streaming import upserts
@@ -72,6 +73,24 @@ def test_box_join_finds_each_pair_once(spark):
     assert rows(got) == [(1, 7, 400.0)]
 
 
+def test_rows_of_one_box_are_dealt_out(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(joins, "LIST", 100, raising=False)
+    spark.range(2000).selectExpr("id * 100 AS s_suppkey", "3 AS s_nationkey").write.parquet(f"{tmp_path}/supplier.parquet")
+    spark.range(1000).selectExpr("id * 100 AS c_custkey", "3 AS c_nationkey").write.parquet(f"{tmp_path}/customer.parquet")
+    met = lookups.theta_bbox_join(spark, str(tmp_path))
+    parts = met.groupBy(F.spark_partition_id().alias("part")).agg(F.count("*").alias("n"), F.sum("skey").alias("s"), F.sum("nkey").alias("k"), F.min("overlap_pct").alias("p")).collect()
+    assert [sum(r[c] for r in parts) for c in ("n", "s", "k")] == [2_000_000, 1000 * 100 * 1999 * 1000, 2000 * 100 * 999 * 500] and {r.p for r in parts} == {100.0}
+    assert max(r.n for r in parts) < 1_000_000
+
+
+def test_expand_keeps_repeated_and_null_rows(spark):
+    left = spark.createDataFrame([(1, 5), (1, 5), (1, None), (2, 6), (None, 7)], "a int, l int")
+    right = spark.createDataFrame([(9, "x"), (9, None)], "b int, r string")
+    pairs = spark.createDataFrame([(1, 9, 0.5), (3, 9, 0.1), (2, 8, 0.2)], "a int, b int, share double")
+    got = joins.expand(pairs, left, right, ["a"], ["b"])
+    assert rows(got.select("l", "r", "share").na.fill("~").na.fill(0)) == [(0, "x", 0.5), (0, "~", 0.5), (5, "x", 0.5), (5, "x", 0.5), (5, "~", 0.5), (5, "~", 0.5)]
+
+
 def test_polygon_expressions(spark):
     ring = F.array(*[F.struct(F.lit(float(x)).alias("x"), F.lit(float(y)).alias("y")) for x, y in ((0, 0), (0, 2), (2, 2), (2, 0))])
     r = spark.range(1).select(spatial.ring_area(ring).alias("a"), spatial.contains_point(ring, F.lit(1.0), F.lit(1.0)).alias("i"), spatial.contains_point(ring, F.lit(3.0), F.lit(1.0)).alias("o")).first()
