@@ -32,8 +32,8 @@ from pyspark.sql import functions as F
 
 from sparkloom.llm.common import Workspace, by_size, few
 
-#: Characters of a block, and of new stretches that are encoded together.
-BLOCK, PIECE = 8_000_000, 100_000
+#: Characters of a block, and of new stretches that are encoded together; blocks of a row group.
+BLOCK, PIECE, ROWS = 3_000_000, 100_000, 8
 SPACE = "▁"
 SAFE = re.compile(r"(?<=\S)(?=[ \n]\S)")
 LONGS = ("n_a", "n_b", "n_groups", "n_links")
@@ -210,6 +210,7 @@ def block_of(both: Vocabularies, part: pa.RecordBatch, as_text: bool) -> list[pa
             # a tuple stands for a stretch that holds more white space, so that it is encoded alone
             rows.append([table[s[1:] if s[0] == " " and s[1:2] != "\n" else s] if not re.search(r"\s", s[1:]) else table[(s,)] for s in SAFE.split(" " + text)])
     keys = list(table)
+    table.default_factory = None  # else the table holds itself, and a worker keeps the stretches of all its blocks until a full collection
     found = Stretches(both, [k[0] if isinstance(k, tuple) else k if k[0] == "\n" else " " + k for k in keys], [isinstance(k, tuple) for k in keys])
     if found.bad.any():
         rows = [[] if found.bad[np.array(r, np.int64)].any() else r for r in rows]
@@ -244,24 +245,19 @@ def between(values: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return np.diff(total[ends], prepend=0)
 
 
-def score_blocks(batches: Iterator[pa.RecordBatch], id_column: str) -> Iterator[pa.RecordBatch]:
-    """Per document the sum of its links' counts and the number of its best links."""
-    for batch in batches:
-        for r in range(batch.num_rows):
-            row = {name: batch.column(i)[r] for i, name in enumerate(["docs", "pair_of", "link_ends", "units", "unit_ends", "scores"])}
-            pair_of, units = np.frombuffer(row["pair_of"].as_py(), np.int32), np.frombuffer(row["units"].as_py(), np.int32)
-            link_ends, unit_ends = (np.frombuffer(row[x].as_py(), np.int64) for x in ("link_ends", "unit_ends"))
-            made = []
-            scores = row["scores"].values
-            at = scores.field("at").to_numpy() if scores is not None else np.empty(0, np.int64)
-            for name in ("best", "count"):
-                values = np.zeros(len(at), np.int64)
-                if len(at):
-                    values[at] = scores.field(name).to_numpy()
-                made.append(pa.array(between(between(values[pair_of], link_ends)[units], unit_ends)))
-            docs = row["docs"].values
-            fields = [docs.field(x) for x in ("id", *LONGS)] + made + [docs.field("groups")]
-            yield pa.RecordBatch.from_arrays(fields, names=[id_column, *LONGS, "n_best", "count_sum", "groups"])
+def score_block(block: pa.Table, scores: pa.Table, id_column: str) -> pa.Table:
+    """Per document of a block the sum of its links' counts and the number of its best links."""
+    row = {name: block.column(name)[0] for name in ("docs", "pair_of", "link_ends", "units", "unit_ends")}
+    pair_of, units = np.frombuffer(row["pair_of"].as_py(), np.int32), np.frombuffer(row["units"].as_py(), np.int32)
+    link_ends, unit_ends = (np.frombuffer(row[x].as_py(), np.int64) for x in ("link_ends", "unit_ends"))
+    at, made = scores.column("at").to_numpy(), []
+    for name in ("best", "count"):
+        values = np.zeros(len(at), np.int64)
+        values[at] = scores.column(name).to_numpy()
+        made.append(pa.array(between(between(values[pair_of], link_ends)[units], unit_ends)))
+    docs = row["docs"].values
+    fields = [docs.field(x) for x in ("id", *LONGS)] + made + [docs.field("groups")]
+    return pa.Table.from_arrays(fields, names=[id_column, *LONGS, "n_best", "count_sum", "groups"])
 
 
 def align(docs: DataFrame, a_path: str, b_path: str, text: str = "text", id_column: str = "doc_id", as_text: bool = True) -> DataFrame:
@@ -281,14 +277,14 @@ def align(docs: DataFrame, a_path: str, b_path: str, text: str = "text", id_colu
 
     longs = ", ".join(f"{x}: bigint" for x in LONGS)
     schema = f"block string, docs array<struct<id: {kind}, {longs}, groups: string>>, pairs array<bigint>, counts array<bigint>, pair_of binary, link_ends binary, units binary, unit_ends binary"
-    blocks = space.keep(docs.select(id_column, text).mapInArrow(run, schema), "blocks", codec="zstd")
+    # a few rows a row group: each is some megabytes, and a row group is written and read as a whole
+    blocks = space.keep(docs.select(id_column, text).mapInArrow(run, schema), "blocks", codec="zstd", **{"parquet.block.row.count.limit": ROWS})
     counted = blocks.select(F.explode(F.arrays_zip("pairs", "counts")).alias("x")).groupBy(F.col("x.pairs").alias("pair")).agg(F.sum("x.counts").alias("count"))
     counted = space.keep(counted.withColumn("b", F.expr("pair & 4294967295")), "counted")
     highest = counted.groupBy("b").agg(F.max("count").alias("most"))
     scores = space.keep(counted.join(few(highest, 24), "b").select("pair", "count", (F.col("count") == F.col("most")).cast("bigint").alias("best")), "scores")
-    # each block fetches the sums of its own pairs
-    wanted = blocks.select("block", F.posexplode("pairs").alias("at", "pair")).join(few(scores, 40), "pair")
-    fetched = wanted.groupBy("block").agg(F.collect_list(F.struct("at", "count", "best")).alias("scores"))
-    whole = blocks.join(fetched, "block", "left").select("docs", "pair_of", "link_ends", "units", "unit_ends", "scores")
+    # each block fetches the sums of its own pairs; a task scores one block after the other
+    wanted = blocks.select("block", F.posexplode("pairs").alias("at", "pair")).join(few(scores, 40), "pair").select(F.col("block").alias("of"), "at", "count", "best")
+    whole = blocks.select("block", "docs", "pair_of", "link_ends", "units", "unit_ends").groupBy("block").cogroup(wanted.groupBy("of"))
     out = f"{id_column} {kind}, {', '.join(f'{x} bigint' for x in LONGS)}, n_best bigint, count_sum bigint, groups string"
-    return whole.mapInArrow(functools.partial(score_blocks, id_column=id_column), out)
+    return whole.applyInArrow(lambda block, scores: score_block(block, scores, id_column), out)

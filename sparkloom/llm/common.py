@@ -38,9 +38,9 @@ class Workspace:
     def __init__(self, spark: SparkSession, label: str):
         self.spark, self.root = spark, f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
-    def keep(self, df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
+    def keep(self, df: DataFrame, name: str, codec: str = "snappy", **options: object) -> DataFrame:
         """``df`` written as table ``name`` and read back."""
-        df.write.option("compression", codec).parquet(f"{self.root}/{name}")
+        df.write.options(compression=codec, **options).parquet(f"{self.root}/{name}")
         return self.spark.read.schema(df.schema).parquet(f"{self.root}/{name}")
 
     def drop(self, *names: str) -> None:

@@ -1,5 +1,6 @@
 """Alignment, decontamination and spelling variants against brute force, with odd rows."""
 
+import gc
 import hashlib
 import itertools
 import random
@@ -8,6 +9,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -93,6 +95,21 @@ def test_alignment_over_documents(spark, sf_dir):
     assert canonical(alignment.align(docs, A, B).collect()) == canonical(plainly_aligned(rows))
 
 
+def test_alignment_lets_go_of_a_block():
+    both = alignment.vocabularies(A, B)
+    part = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array(["some words and more", "some  other words"])], names=["doc_id", "text"])
+    alignment.block_of(both, part, False)
+    gc.collect()
+    gc.disable()
+    try:
+        held = lambda: sum(isinstance(x, defaultdict) for x in gc.get_objects())
+        before = held()
+        alignment.block_of(both, part, False)
+        assert held() == before
+    finally:
+        gc.enable()
+
+
 def test_shared_ends_finds_every_common_end():
     rng = np.random.default_rng(5)
     for _ in range(200):
