@@ -26,14 +26,14 @@ from pyspark.sql import functions as F
 from sparkloom.llm.ann import usable
 from sparkloom.llm.common import Workspace, connected_components, materialize
 
-SHARD, SHARDS_AT_LEAST, DEGREE, BEAM, WIDEST, AUDIT = 20_000, 4, 16, 32, 512, 64
+SHARD, SHARDS_AT_LEAST, DEGREE, BEAM, WIDEST, AUDIT = 50_000, 4, 16, 32, 512, 64
 
 
 class Graph:
     """Layers of neighbour tables over unit vectors; nodes go in by blocks, each linked to what is there."""
 
     def __init__(self, x: np.ndarray, seed: int = 3):
-        self.x = x
+        self.x, self.rough = x, x.astype(np.float32)  # beams only propose
         n = len(x)
         level = np.minimum((-np.log(np.random.default_rng(seed).random(n)) / np.log(DEGREE)).astype(int), 6)
         order = np.argsort(-level, kind="stable")
@@ -61,7 +61,7 @@ class Graph:
         graph, parts = cls.__new__(cls), [np.frombuffer(s, "<i4") for s in stored]
         order = np.argsort([p[0] for p in parts])
         heights = np.array([(len(parts[i]) - 1) // (2 * DEGREE) for i in order])
-        graph.x, graph.layers = x, []
+        graph.x, graph.rough, graph.layers = x, x.astype(np.float32), []
         for at in range(heights.max(), 0, -1):
             count = int((heights >= at).sum())  # higher nodes come first
             rows = [parts[i][1 + (at - 1) * 2 * DEGREE : 1 + at * 2 * DEGREE] for i in order[:count]]
@@ -72,7 +72,7 @@ class Graph:
         """Neighbour table of one layer: by beam search in the part that stands, and links back."""
         n, most = len(nodes), 2 * DEGREE
         table = np.full((n, most), -1, np.int64)
-        x = self.x[nodes]
+        x = self.rough[nodes]
         begun = min(n, 256)
         near = x[:begun] @ x[:begun].T
         np.fill_diagonal(near, -2)
@@ -88,7 +88,7 @@ class Graph:
             within = x[block] @ x[block].T  # nodes of one block see each other too
             np.fill_diagonal(within, -2)
             k = min(DEGREE // 2, len(block) - 1)
-            mates = block[np.argsort(-within, axis=1, kind="stable")[:, :k]] if k else np.empty((len(block), 0), np.int64)
+            mates = block[np.argpartition(-within, k - 1, axis=1)[:, :k]] if k else np.empty((len(block), 0), np.int64)
             both = np.concatenate([chosen, mates], axis=1)
             score = np.where(both >= 0, np.einsum("bd,bkd->bk", x[block], x[both]), -3)
             best = np.take_along_axis(both, np.argsort(-score, axis=1, kind="stable")[:, : DEGREE + DEGREE // 2], 1)
@@ -108,11 +108,12 @@ class Graph:
         return table
 
     def search(self, queries: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-        """Nearest nodes and their cosines, best first, by descent and a beam of ``width``."""
+        """Nearest nodes and their cosines in single precision, best first, by descent and a beam of ``width``."""
+        queries = queries.astype(np.float32)
         entry = np.zeros((len(queries), 1), np.int64)
         for depth, (nodes, table) in enumerate(self.layers):
             last = depth == len(self.layers) - 1
-            found, score = beam(self.x[nodes], table, queries, entry, width if last else 4)
+            found, score = beam(self.rough[nodes], table, queries, entry, width if last else 4)
             entry = found[:, : 4 if not last else width]
             if last:
                 return np.where(found >= 0, nodes[found], -1), score
@@ -130,12 +131,12 @@ class Graph:
         start, stop = np.concatenate([here, there]), np.concatenate([there, here])
         stop = stop[np.argsort(start, kind="stable")]
         begin = np.concatenate([[0], np.cumsum(np.bincount(start, minlength=n))])
-        out = []
+        out, seen = [], np.zeros(64 * n, bool)
         for at in range(0, len(queries), 64):
             part, own = queries[at : at + 64], seeds[at : at + 64]
-            seen, near = np.zeros(len(part) * n, bool), np.zeros(len(part) * n, bool)
             front = np.concatenate([i * n + place[s] for i, s in enumerate(own)])
-            seen[front] = near[front] = True
+            seen[front] = True
+            touched, near = [front], [front]
             while len(front):
                 at_node = front % n
                 many = begin[at_node + 1] - begin[at_node]
@@ -143,10 +144,13 @@ class Graph:
                 key = np.unique(np.repeat(front - at_node, many) + stop[ahead])
                 key = key[~seen[key]]
                 seen[key] = True
+                touched.append(key)
                 score = np.einsum("kd,kd->k", part[key // n], x[key % n])
-                near[key[score >= least]] = True
+                near.append(key[score >= least])
                 front = key[score >= least - slack]
-            out += [nodes[np.flatnonzero(row)] for row in near.reshape(len(part), n)]
+            seen[np.concatenate(touched)] = False
+            key = np.sort(np.concatenate(near))
+            out += [nodes[k - i * n] for i, k in enumerate(np.split(key, np.searchsorted(key, np.arange(1, len(part)) * n)))]
         return out
 
 
@@ -154,7 +158,7 @@ def beam(x: np.ndarray, table: np.ndarray, queries: np.ndarray, entry: np.ndarra
     """Best-first search of all queries in lockstep: each step opens every query's best unopened nodes."""
     m = len(queries)
     ids = np.full((m, width), -1, np.int64)
-    score = np.full((m, width), -4.0)
+    score = np.full((m, width), -4, x.dtype)
     opened = np.ones((m, width), bool)
     k = min(entry.shape[1], width)
     ids[:, :k] = entry[:, :k]
@@ -172,10 +176,12 @@ def beam(x: np.ndarray, table: np.ndarray, queries: np.ndarray, entry: np.ndarra
         fresh = table[ids[live, at]]
         seen = (fresh[:, :, None] == ids[live][:, None, :]).any(2) | (fresh < 0)
         fresh = np.where(seen, -1, fresh)
-        got = np.where(seen, -4.0, np.einsum("bd,bkd->bk", queries[live], x[fresh]))
+        row, column = np.nonzero(~seen)
+        got = np.full(fresh.shape, -4, score.dtype)
+        got[row, column] = np.einsum("kd,kd->k", queries[live[row]], x[fresh[row, column]])
         both_ids, both = np.concatenate([ids[live], fresh], 1), np.concatenate([score[live], got], 1)
         both_open = np.concatenate([opened[live], seen], 1)
-        order = np.argsort(-both, axis=1, kind="stable")[:, :width]
+        order = np.argpartition(-both, width - 1, axis=1)[:, :width]  # the last step sorts
         ids[live] = np.take_along_axis(both_ids, order, 1)
         score[live] = np.take_along_axis(both, order, 1)
         opened[live] = np.take_along_axis(both_open, order, 1)
@@ -194,9 +200,9 @@ def linked(graph: Graph, queries: np.ndarray, least: float, seed: int = 1, own:
     """Nodes with a cosine of at least ``least`` for each query; ``own``: the queries are the nodes themselves.
 
     A beam finds the first of them; from these the search goes on over neighbours within the threshold, less a
-    slack. Beam and slack widen until the audited queries have all their links; else all are compared.
+    slack. Nodes start from their own place, and need a beam only if that isn't enough. Beam and slack widen until the audited queries have all their links; else all are compared.
     """
-    n, width, slack = len(graph.x), BEAM, 0.05
+    n, width, slack = len(graph.x), 0 if own else BEAM, 0.05
     truth: dict[int, np.ndarray] = {}
     seen, order = 0, np.random.default_rng(seed).permutation(len(queries))
     for at in range(0, len(order), 64):
@@ -211,17 +217,23 @@ def linked(graph: Graph, queries: np.ndarray, least: float, seed: int = 1, own:
         step = max(16, 400_000 // (width + 64))
         for at in range(0, len(queries), step):
             some_queries = np.arange(at, min(at + step, len(queries)))
-            ids, score = graph.search(queries[some_queries], min(width, n))
-            near = (score >= least) & (ids >= 0)
-            some = np.flatnonzero(near.any(1))
-            for q, row in zip(some_queries[some], graph.reach(queries[some_queries[some]], [ids[i][near[i]] for i in some], least, slack), strict=True):
+            seeds = [np.array([q])[: int(own)] for q in some_queries]
+            if width:
+                ids, score = graph.search(queries[some_queries], min(width, n))
+                row, at_rank = np.nonzero((score >= least - 1e-5) & (ids >= 0))
+                node = ids[row, at_rank]
+                fine = np.einsum("kd,kd->k", queries[some_queries[row]], graph.x[node]) >= least
+                found = np.split(node[fine], np.searchsorted(row[fine], np.arange(1, len(some_queries))))
+                seeds = [np.union1d(s, more) for s, more in zip(seeds, found, strict=True)]
+            some = np.flatnonzero([len(s) for s in seeds])
+            for q, row in zip(some_queries[some], graph.reach(queries[some_queries[some]], [seeds[i] for i in some], least, slack), strict=True):
                 out[q] = row
         if all(len(np.intersect1d(out[q], t)) == len(t) for q, t in truth.items()):
             return [truth.get(q, row) for q, row in enumerate(out)]
         if width >= min(n, WIDEST):
             for at in range(0, len(queries), 64):
                 truth.update(enumerate(exact(graph.x, queries[at : at + 64], least), at))
-        width, slack = width * 4, slack * 2
+        width, slack = max(BEAM, width * 4), slack * 2
     return [truth[q] for q in range(len(queries))]
 
 

@@ -352,6 +352,21 @@ class Blind(links.Graph):
         return np.full_like(ids, -1), score
 
 
+class Still(links.Graph):
+    """A graph that can't be searched from its entry."""
+
+    def search(self, queries, width):
+        raise AssertionError("a node's own links are looked for from its place")
+
+
+def test_own_links_need_no_beam():
+    rng = np.random.default_rng(8)
+    x = np.repeat(rng.normal(size=(300, 32)), 5, axis=0) + rng.normal(size=(1500, 32)) * 0.1
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    got = links.linked(Still(x), x, 0.9, own=True)
+    assert [sorted(row) for row in got] == [np.flatnonzero(row).tolist() for row in x @ x.T >= 0.9]
+
+
 def test_vector_links_that_the_graph_misses():
     rng = np.random.default_rng(6)
     x, other = (v / np.linalg.norm(v, axis=1, keepdims=True) for v in rng.normal(size=(2, 900, 16)))
